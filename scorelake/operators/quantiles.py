@@ -48,17 +48,20 @@ def quantiles(
         ).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in cols}
 
-    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+    # One narrow pass: counts, and the bracket around each wanted rank from a sketch.
+    eps = 2.0 / SKETCH_ACCURACY
+    around = [p for q in probs for p in (max(0.0, q - eps), min(1.0, q + eps))]
+    row = df.agg(
+        *[F.count(c).alias(f"n_{c}") for c in cols],
+        *[F.percentile_approx(F.col(c).cast("double"), around, SKETCH_ACCURACY).alias(f"q_{c}") for c in cols],
+    ).first()
+    counts = {c: row[f"n_{c}"] for c in cols}
     brackets: dict[str, list[tuple[float, float]]] = {}
     if sum(counts.values()) > small_cells:
-        eps = 2.0 / SKETCH_ACCURACY
-        around = [p for q in probs for p in (max(0.0, q - eps), min(1.0, q + eps))]
-        row = df.agg(
-            *[F.percentile_approx(F.col(c).cast("double"), around, SKETCH_ACCURACY).alias(c) for c in cols]
-        ).first()
         for c in cols:
-            if row[c] is not None:
-                brackets[c] = _merge(list(zip(row[c][0::2], row[c][1::2])))
+            cut = row[f"q_{c}"]
+            if cut is not None:
+                brackets[c] = _merge(list(zip(cut[0::2], cut[1::2])))
     return _select(df, [c for c in cols if counts[c]], probs, counts, brackets, rows_per_bucket) | {
         c: [None] * len(probs) for c in cols if not counts[c]
     }

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["queries_data"]
+MODULES = ["queries_data", "queries_score"]
 
 
 def load_queries() -> None:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 STAGING_CONF = "spark.checkpoint.dir"
@@ -60,3 +62,8 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def ship_by_value(module_name: str) -> None:
+    """Send functions of a module inside the task, so executors need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module_name])
