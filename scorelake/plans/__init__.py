@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["queries_data", "queries_score"]
+MODULES = ["queries_data", "queries_score", "queries_monitor"]
 
 
 def load_queries() -> None:
