@@ -120,7 +120,7 @@ def grid_search(
     c, pen = combos[best]
     final = lr.copy({lr.regParam: 1.0 / (c * n), lr.elasticNetParam: mix[pen]}).fit(data)
     return GridResult(
-        c, pen, 2 * cv.avgMetrics[best] - 1, [float(x) for x in final.coefficients], float(final.intercept)
+        c, pen, float(2 * cv.avgMetrics[best] - 1), [float(x) for x in final.coefficients], float(final.intercept)
     )
 
 

@@ -6,14 +6,14 @@ a watermark.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from scorelake.operators.chunks import micros
-from scorelake.session import ship_by_value
+from scorelake.session import ship_by_value, stage
 
 ship_by_value(__name__)
 
@@ -193,50 +193,65 @@ def rate_limit(
     """
     width = window_s * 1_000_000
     seg_us = max(segment_s or 60 * window_s, window_s) * 1_000_000
-    rows = _epoch_us(df, ts)
-    instants = rows.select(key, "_us").distinct().withColumn("_seg", F.floor(F.col("_us") / F.lit(seg_us)).cast("bigint"))
+    rows = _epoch_us(df, ts).withColumn("_seg", F.floor(F.col("_us") / F.lit(seg_us)).cast("bigint"))
+    segments = stage(
+        rows.groupBy(F.col(key).alias("_key"), "_seg").agg(F.sort_array(F.collect_set("_us")).alias("us")), "segments"
+    )
     key_type = df.schema[key].dataType.simpleString()
 
-    def exits(names: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        us = np.sort(pdf["_us"].to_numpy())
-        jump = np.searchsorted(us, us + width)
-        last = np.arange(len(us))
-        while (move := jump[last] < len(us)).any():
-            last = np.where(move, jump[last], last)
-        start = names[1] * seg_us
-        n = int(np.searchsorted(us, start + width)) + 1
-        return pd.DataFrame({key: [names[0]], "_seg": [names[1]], "ent": [us[:n].tolist()], "ext": [us[last[:n]].tolist()]})
-
-    maps = instants.groupBy(key, "_seg").applyInPandas(
-        exits, f"`{key}` {key_type}, _seg bigint, ent array<bigint>, ext array<bigint>"
+    def exits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ent, ext = [], []
+            for seg, us in zip(pdf["_seg"], pdf["us"]):
+                us = np.asarray(us)
+                jump = np.searchsorted(us, us + width)
+                last = np.arange(len(us))
+                while (move := jump[last] < len(us)).any():
+                    last = np.where(move, jump[last], last)
+                n = int(np.searchsorted(us, seg * seg_us + width)) + 1
+                ent.append(us[:n])
+                ext.append(us[last[:n]])
+            yield pd.DataFrame({"_key": pdf["_key"], "_seg": pdf["_seg"], "ent": ent, "ext": ext})
+
+    maps = segments.mapInPandas(exits, f"_key {key_type}, _seg bigint, ent array<bigint>, ext array<bigint>")
+
+    # A caller has one entry per active segment here: bounded by elapsed time, not by events.
+    callers = maps.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_seg", "ent", "ext"))).alias("s")).select(
+        "_key", F.col("s._seg").alias("segs"), F.col("s.ent").alias("ent"), F.col("s.ext").alias("ext")
     )
 
-    def chain(names: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_seg")
-        ends, end = [], -(2**62)
-        for ent, ext in zip(pdf["ent"], pdf["ext"]):
-            ends.append(end)
-            i = int(np.searchsorted(np.asarray(ent), end))
-            if i < len(ent):
-                end = int(ext[i]) + width
-        return pd.DataFrame({key: names[0], "_seg": pdf["_seg"].to_numpy(), "_end": ends})
-
-    # A caller has one row per active segment here: bounded by elapsed time, not by events.
-    entry = maps.groupBy(key).applyInPandas(chain, f"`{key}` {key_type}, _seg bigint, _end bigint")
-
-    def layout(names: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        us = np.sort(pdf["_us"].to_numpy())
-        end = int(pdf["_end"].iloc[0])
-        at = _opened(us, int(np.searchsorted(us, end)), width)
-        which = np.searchsorted(at, np.arange(len(us)), side="right") - 1
-        start = np.full(len(us), end - width, dtype="int64")
-        start[which >= 0] = us[at[which[which >= 0]]]
-        return pd.DataFrame({key: names[0], "_us": us, "window_us": start})
-
-    laid = instants.join(entry, [key, "_seg"]).groupBy(key, "_seg").applyInPandas(
-        layout, f"`{key}` {key_type}, _us bigint, window_us bigint"
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ends = []
+            for ent, ext in zip(pdf["ent"], pdf["ext"]):
+                mine, end = [], -(2**62)
+                for e, x in zip(ent, ext):
+                    mine.append(end)
+                    i = int(np.searchsorted(np.asarray(e), end))
+                    if i < len(e):
+                        end = int(x[i]) + width
+                ends.append(mine)
+            yield pd.DataFrame({"_key": pdf["_key"], "segs": pdf["segs"], "ends": ends})
+
+    entry = callers.mapInPandas(chain, f"_key {key_type}, segs array<bigint>, ends array<bigint>").select(
+        "_key", F.explode(F.arrays_zip("segs", "ends")).alias("e")
+    ).select("_key", F.col("e.segs").alias("_seg"), F.col("e.ends").alias("_end"))
+
+    def layout(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            starts = []
+            for us, end in zip(pdf["us"], pdf["_end"]):
+                us = np.asarray(us)
+                opened = us[_opened(us, int(np.searchsorted(us, end)), width)]
+                starts.append(np.concatenate([[end - width], opened]))
+            yield pd.DataFrame({"_key": pdf["_key"], "_seg": pdf["_seg"], "starts": starts})
+
+    laid = segments.join(entry, ["_key", "_seg"]).mapInPandas(
+        layout, f"_key {key_type}, _seg bigint, starts array<bigint>"
     )
-    placed = rows.join(laid, [key, "_us"])
+    placed = rows.join(laid.withColumnRenamed("_key", key), [key, "_seg"]).withColumn(
+        "window_us", F.array_max(F.filter("starts", lambda s: s <= F.col("_us")))
+    ).drop("starts", "_seg")
     # Only the first `limit` rows of a window survive each task, so a hot window stays small.
     order = Window.partitionBy(key, "window_us").orderBy("_us", row_id)
     first = placed.select(key, "window_us", "_us", row_id).withColumn("_rn", F.row_number().over(order)).filter(

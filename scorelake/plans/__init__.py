@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["queries_data", "queries_score", "queries_monitor"]
+MODULES = ["queries_data", "queries_score", "queries_monitor", "queries_model"]
 
 
 def load_queries() -> None:

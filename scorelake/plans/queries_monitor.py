@@ -364,10 +364,10 @@ def _quantile_sql(value, bounds, probs, hours, digits=6):
     SELECT window_start, {', '.join(q(p) for p in probs)} FROM h"""
 
 
-@query("k3_histogram_quantile", _quantile_sql("latency", credit.LATENCY_BOUNDS, [0.5, 0.95], 6))
+@query("k3_histogram_quantile", _quantile_sql("latency", credit.LATENCY_BOUNDS, [0.5, 0.95], 6, 9))
 def k3(spark, sf):
     out = tm.quantile_series(fx.requests(spark, sf), "ts", "latency", credit.LATENCY_BOUNDS, [0.5, 0.95], "6 hours")
-    return _round(out.drop("window_end"), "q50", "q95")
+    return _round(out.drop("window_end"), "q50", "q95", digits=9)
 
 
 @query("k3_missing_rate_quantile", _quantile_sql("missing_rate", credit.MISSING_BOUNDS, [0.5, 0.9], 6))
