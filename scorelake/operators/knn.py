@@ -31,6 +31,8 @@ GRID_COLUMNS = 3
 MAX_BINS = 16
 BLOCK_ROWS = 4_096
 QUERY_ROWS = 4_096
+MAX_TASKS = 20_000
+TASKS_PER_QUERY_BLOCK = 2
 SLACK = 1.0 - 1e-9
 ANY = -1
 
@@ -218,6 +220,9 @@ def _search(pairs: DataFrame, index: CellIndex, k: int, any_donor: bool) -> Data
         )
 
     keys = ["cell", "block", "grp"]
+    # Few bytes but much arithmetic per group: a fixed count keeps small stages from being merged.
+    parts = int(min(MAX_TASKS, sum(b * g for _, b, g in plan))) or 1
+    salted, donors = salted.repartition(parts, *keys), donors.repartition(parts, *keys)
     return salted.groupBy(*keys).cogroup(donors.groupBy(*keys)).applyInPandas(local_top, HIT_SCHEMA)
 
 
@@ -234,6 +239,7 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
     ``any_donor`` every other row is a donor and ``col`` is -1.
     """
     queries = stage(queries, "queries")
+    queries = queries.repartition(-(-queries.count() // QUERY_ROWS) * TASKS_PER_QUERY_BLOCK or 1)
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -92,7 +92,7 @@ def pr_auc_expr() -> Column:
     """Trapezoids over (recall, precision), starting from recall 0 at precision 1."""
     before = _ratio(_d("tp_above"), _d("tp_above") + _d("fp_above"), 1.0)
     width = F.try_divide(_d("pos"), _d("P"))
-    return F.sum(width * (_precision() + before) / 2.0)
+    return F.least(F.sum(width * (_precision() + before) / 2.0), F.lit(1.0))  # rounding may pass 1
 
 
 def roc_auc(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import PCA, ElementwiseProduct, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -163,28 +163,32 @@ class GroupPCA(_Step):
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         have = self.features(dataset)
-        stages: list = []
+        groups = {
+            name: ([c for c in have if c in set(wanted)], size)
+            for name, (wanted, size) in json.loads(self.getOrDefault(self.groups)).items()
+        }
+        grouped = [c for cols, _ in groups.values() for c in cols]
+        means = dataset.agg(*[F.avg(c).alias(c) for c in grouped]).first().asDict() if grouped else {}
+        centre = ScaleModel({c: (m or 0.0, 1.0) for c, m in means.items()})
+        centred = centre.transform(dataset)
+        stages: list = [centre]
         layout: dict = {"groups": {}, "inputs": [], "helpers": [], "keep": self.getOrDefault(self.keep)}
-        for name, (wanted, size) in json.loads(self.getOrDefault(self.groups)).items():
-            cols = [c for c in have if c in set(wanted)]
+        for name, (cols, size) in groups.items():
             if not cols:
                 continue
             size = max(1, min(size, len(cols)))
-            raw, mid, comp, out = (f"_{name}_{s}" for s in ("raw", "mid", "pca", "out"))
-            assemble = VectorAssembler(inputCols=cols, outputCol=raw)
-            centre = StandardScaler(inputCol=raw, outputCol=mid, withMean=True, withStd=False).fit(
-                assemble.transform(dataset)
-            )
-            model = PCA(k=size, inputCol=mid, outputCol=comp).fit(centre.transform(assemble.transform(dataset)))
+            mid, comp, out = (f"_{name}_{s}" for s in ("mid", "pca", "out"))
+            assemble = VectorAssembler(inputCols=cols, outputCol=mid)
+            model = PCA(k=size, inputCol=mid, outputCol=comp).fit(assemble.transform(centred))
             loads = model.pc.toArray()
             signs = np.sign(loads[np.abs(loads).argmax(axis=0), np.arange(size)])
             flip = ElementwiseProduct(
                 scalingVec=Vectors.dense(np.where(signs == 0, 1.0, signs)), inputCol=comp, outputCol=out
             )
-            stages += [assemble, centre, model, flip]
+            stages += [assemble, model, flip]
             layout["groups"][name] = [out, size]
             layout["inputs"] += cols
-            layout["helpers"] += [raw, mid, comp, out]
+            layout["helpers"] += [mid, comp, out]
         return PipelineModel([*stages, ExpandVectors(layout)])
 
 

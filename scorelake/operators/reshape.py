@@ -18,7 +18,8 @@ def unnest_json(df: DataFrame, col: str, fields: Sequence[str] | None = None) ->
     fields = list(fields) if fields is not None else json_keys(df, col)
     schema = ", ".join(f"`{f}` double" for f in fields)
     rest = [c for c in df.columns if c != col]
-    return df.select(*rest, F.from_json(F.col(col), schema).alias("_f")).select(*rest, "_f.*")
+    # As a generator the parsing happens once, whatever later filters refer to.
+    return df.select(*rest, F.inline(F.array(F.from_json(F.col(col), schema))))
 
 
 def sparse_map(cols: Sequence[str]) -> Column:

@@ -56,15 +56,19 @@ def parse_requests(df: DataFrame, body: str, fields: Sequence[str]) -> DataFrame
     lists the fields whose value is not a number; an unreadable body is the error ``body``.
     """
     names = F.array(*[F.lit(f) for f in fields])
-    parsed = df.withColumn("_m", F.from_json(F.col(body), "map<string,string>"))
-    cols, bad = [], []
-    for f in fields:
+    # Generators keep later filters from being inlined into, and so repeating, the parsing.
+    parsed = df.select("*", F.explode(F.array(F.from_json(F.col(body), "map<string,string>"))).alias("_m"))
+    cells = []
+    for i, f in enumerate(fields):
         raw = F.col("_m").getItem(f)
-        cols.append(nan_to_null(_number(raw)).alias(f))
-        bad.append(F.when(raw.isNotNull() & _number(raw).isNull(), F.lit(f)))
+        cells += [_number(raw).alias(f), raw.isNotNull().alias(f"_sent{i}")]
+    typed = parsed.select(*df.columns, "_m", F.inline(F.array(F.struct(*cells))))
+    bad = [F.when(F.col(f"_sent{i}") & F.col(f).isNull(), F.lit(f)) for i, f in enumerate(fields)]
     errors = F.when(F.col("_m").isNull(), F.array(F.lit("body"))).otherwise(F.array_compact(F.array(*bad)))
     extras = F.map_filter("_m", lambda k, _: ~F.array_contains(names, k))
-    return parsed.select(*df.columns, *cols, extras.alias("extras"), errors.alias("errors"))
+    return typed.select(
+        *df.columns, *[nan_to_null(F.col(f)).alias(f) for f in fields], extras.alias("extras"), errors.alias("errors")
+    )
 
 
 def response_rules() -> dict[str, Column]:
