@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from scorelake.operators.prefix import running_totals
+from scorelake.operators.split import hash60
 from scorelake.sources.logs import append, deployment_event, read_log
 
 
@@ -88,14 +90,16 @@ def assign_aliases(
 
 
 def register_runs(runs: DataFrame, versions: DataFrame, model: str = "model_name") -> DataFrame:
-    """Next version numbers for new runs of each model, in ``run_id`` order. Single writer.
+    """Next version numbers for new runs of each model, in the order of a run id hash. Single writer.
 
-    Registration batches are small (runs trained since the last call); the history is only
-    aggregated to one row per model.
+    Numbers come from running totals, so a model with most of the runs is not one task.
     """
     current = versions.groupBy(model).agg(F.max(F.col("version").cast("bigint")).alias("_top"))
-    order = Window.partitionBy(model).orderBy("run_id")
-    fresh = runs.withColumn("_rn", F.row_number().over(order))
-    return fresh.join(current, model, "left").select(
-        model, "run_id", (F.coalesce("_top", F.lit(0)) + F.col("_rn")).alias("version")
+    keyed = runs.withColumn("_h", hash60(0, "run_id"))
+    order = running_totals(keyed.groupBy(model, "_h").agg(F.count("*").alias("_n")), "_h", ["_n"], by=[model])
+    start = order.select(model, "_h", (F.col("cum__n") - F.col("_n")).alias("_before"))
+    same = Window.partitionBy(model, "_h").orderBy("run_id")  # runs whose hashes collide
+    placed = keyed.join(start, [model, "_h"]).withColumn("_rn", F.row_number().over(same))
+    return placed.join(current, model, "left").select(
+        model, "run_id", (F.coalesce("_top", F.lit(0)) + F.col("_before") + F.col("_rn")).alias("version")
     )

@@ -545,7 +545,7 @@ def l6(spark, sf):
     "l7_register_runs",
     """WITH v AS (SELECT o_orderpriority AS model_name, max(o_custkey) AS top FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
     r AS (SELECT o_orderpriority AS model_name, 'run-' || o_orderkey AS run_id FROM orders WHERE o_orderstatus = 'P')
-    SELECT model_name, run_id, (coalesce(top, 0) + row_number() OVER (PARTITION BY model_name ORDER BY run_id))::BIGINT AS version FROM r LEFT JOIN v USING (model_name)""",
+    SELECT model_name, run_id, (coalesce(top, 0) + row_number() OVER (PARTITION BY model_name ORDER BY ('0x' || substr(md5('0|' || run_id), 1, 15))::BIGINT, run_id))::BIGINT AS version FROM r LEFT JOIN v USING (model_name)""",
 )
 def l7(spark, sf):
     orders = fx.table(spark, sf, "orders").withColumn("model_name", F.col("o_orderpriority"))

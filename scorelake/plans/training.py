@@ -143,7 +143,8 @@ def run_training(
     spark.createDataFrame(card.iv_rows(), "feature string, iv double").write.mode("overwrite").csv(
         f"{root}/iv_table/{data_version}", header=True
     )
-    _register(spark, root, wide.select("run_id", "model_type").distinct())
+    trained = [(f"{data_version}-{feature_tag}-{kind}", kind) for kind in scorers]
+    _register(spark, root, spark.createDataFrame(trained, "run_id string, model_type string"))
     return TrainingResult(data_version, steps, challenger, champion, card, spark.read.parquet(f"{root}/runs"))
 
 

@@ -95,10 +95,15 @@ def test_equal_frequency_edges_match_pandas(sample):
         np.testing.assert_allclose(got[c], want)
 
 
-def test_sparse_bins_join_the_right_neighbour(spark):
-    values = [1.0] * 100 + [2.0] * 100 + [3.0] * 20
-    df = spark.createDataFrame([(v, 0) for v in values], "x double, label int")
-    assert bn.equal_frequency_edges(df, {"x": 11}, min_obs=80) == {"x": [2.0]}
+@pytest.mark.parametrize("min_obs", [30, 80, 500])
+def test_sparse_bins_join_the_right_neighbour(spark, min_obs):
+    x = np.array([1.0] * 100 + [2.0] * 40 + [3.0] * 40 + [4.0] * 100 + [5.0] * 20)
+    df = spark.createDataFrame([(v, 0) for v in x.tolist()], "x double, label int")
+    _, edges = pd.qcut(x, 15, retbins=True, duplicates="drop")
+    edges[0], edges[-1] = -np.inf, np.inf
+    n = np.array([np.sum((x >= a) & (x < b)) for a, b in zip(edges, edges[1:])])
+    want = sorted({e for e in edges[np.flatnonzero(n >= min_obs) + 1] if np.isfinite(e)})
+    np.testing.assert_allclose(bn.equal_frequency_edges(df, {"x": 15}, min_obs=min_obs)["x"], want)
 
 
 def test_evidence(sample, fitted):
