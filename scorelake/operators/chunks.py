@@ -55,7 +55,9 @@ def assign_chunks(
         return indexed.withColumn(
             "chunk_id", F.least(F.expr(f"_idx div {size}"), F.lit(chunks - 1)).cast("int")
         ).drop("_us", "_idx")
-    bounds = rows_at_ranks(keyed, "_us", row_id, {None: [size * i for i in range(1, chunks)]})
+    bounds = rows_at_ranks(
+        keyed, "_us", row_id, {None: [size * i for i in range(1, chunks)]}, sizes={None: n}
+    )
     ordered = [bounds[k] for k in sorted(bounds, key=lambda k: k[1])]
 
     def pick(lo: int, hi: int) -> Column:

@@ -18,7 +18,7 @@ from scorelake.operators.metrics import all_metrics, score_curve
 from scorelake.operators.prep import ZScaler, with_balanced_weight
 from scorelake.operators.smote import smote
 from scorelake.operators.split import stratified_folds
-from scorelake.session import stage
+from scorelake.session import compact, stage
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:
@@ -49,7 +49,8 @@ def train_challenger(
     keep = [x for x in grown.columns if x not in set(cols)]
     scaler = ZScaler(keep).fit(grown)
     weighted = with_balanced_weight(scaler.transform(grown), label)
-    fit = logistic_model(cols, label, grown.count(), c, weight="_w", max_iter=5000).fit(weighted)
+    n = grown.count()
+    fit = logistic_model(cols, label, n, c, weight="_w", max_iter=5000).fit(compact(weighted, n))
     return PipelineModel([scaler, *fit.stages])
 
 
@@ -74,7 +75,7 @@ def train_boosted(
         subsamplingRate=rows, featureSubsetStrategy=str(columns), minInstancesPerNode=min_rows, seed=seed,
         cacheNodeIds=False,
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="_x"), gbt]).fit(weighted)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="_x"), gbt]).fit(compact(weighted, n.pos + n.neg))
 
 
 def train_fallback(train: DataFrame, cols: Sequence[str], label: str = "label") -> PipelineModel:
@@ -106,6 +107,7 @@ def grid_search(
     folded = stratified_folds(df, row_id, label, folds, seed)
     data = stage(VectorAssembler(inputCols=list(cols), outputCol="_x").transform(folded).select("_x", label, "fold"), "grid")
     n = data.count()
+    data = compact(data, n)
     in_fold = n * (folds - 1) / folds
     lr = LogisticRegression(featuresCol="_x", labelCol=label, maxIter=1000, standardization=False)
     mix = {"l1": 1.0, "l2": 0.0}

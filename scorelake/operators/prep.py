@@ -23,7 +23,7 @@ from scorelake.functions.scalars import clip
 from scorelake.operators.knn import KNNImputer
 from scorelake.operators.quantiles import quantiles
 from scorelake.operators.validate import varying_columns
-from scorelake.session import stage
+from scorelake.session import compact, stage
 
 
 class _Fitted(Model, DefaultParamsReadable, DefaultParamsWritable):
@@ -209,6 +209,7 @@ class RFESelector(_Step):
         assembled = VectorAssembler(inputCols=cols, outputCol="_x").transform(dataset).select(label, "_x")
         rows = stage(with_balanced_weight(assembled, label), "rfe")
         total = rows.count()
+        rows = compact(rows, total)
         while len(left) > min(self.getOrDefault(self.count), len(cols)):
             sliced = VectorSlicer(inputCol="_x", outputCol="_s", indices=left).transform(rows)
             fit = LogisticRegression(

@@ -12,6 +12,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scorelake.operators.prefix import ROWS_PER_BUCKET, running_totals
+from scorelake.session import stage
+
+SMALL_ROWS = 20_000_000
+SKETCH_ACCURACY = 10_000
+SKETCH_SLACK = 2.0 / SKETCH_ACCURACY
 
 Bound = tuple[Any, Any]
 
@@ -23,18 +28,46 @@ def _any(conditions: Sequence[Column]) -> Column:
     return out
 
 
+def _segments(narrow: DataFrame, known: Mapping[Any, Sequence[int]], sizes: Mapping[Any, int]) -> dict[Any, list]:
+    """Per group, disjoint key ranges that hold the wanted ranks, from one sketch pass."""
+    probs = {
+        g: [min(1.0, max(0.0, r / sizes[g] + d)) for r in rs for d in (-SKETCH_SLACK, SKETCH_SLACK)]
+        for g, rs in known.items()
+    }
+    row = narrow.agg(
+        *[
+            F.percentile_approx(F.when(F.col("_g") == F.lit(g), F.col("_k")), ps, SKETCH_ACCURACY).alias(str(i))
+            for i, (g, ps) in enumerate(probs.items())
+        ]
+    ).first()
+    out = {}
+    for i, g in enumerate(probs):
+        merged: list[list] = []
+        for lo, hi in sorted(zip(row[i][0::2], row[i][1::2])):
+            if merged and lo <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], hi)
+            else:
+                merged.append([lo, hi])
+        out[g] = merged
+    return out
+
+
 def rows_at_ranks(
     df: DataFrame,
     key: str,
     tie: str,
     ranks: Mapping[Any, Sequence[int]],
     by: str | None = None,
+    sizes: Mapping[Any, int] | None = None,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    small_rows: float = SMALL_ROWS,
 ) -> dict[tuple[Any, int], Bound]:
     """``{(group, rank): (key, tie)}`` for 1-based ranks in the order (``key``, ``tie``).
 
-    ``ranks`` maps a value of ``by`` (None without groups) to the wanted ranks. ``key`` is
-    numeric, ``tie`` a unique numeric row id. The result is as small as ``ranks``.
+    ``ranks`` maps a value of ``by`` (None without groups) to the wanted ranks, ``sizes`` to
+    the rows of the group if known. ``key`` is numeric, ``tie`` a unique numeric row id. On
+    more than ``small_rows`` rows a sketch brackets the ranks and only keys inside a bracket
+    are shuffled; the others are counted on the map side. The result is as small as ``ranks``.
     """
     wanted = {g: sorted(set(rs)) for g, rs in ranks.items() if rs}
     if not wanted:
@@ -42,43 +75,81 @@ def rows_at_ranks(
     group = F.col(by) if by else F.lit(0)
     narrow = df.select(group.alias("_g"), F.col(key).alias("_k"), F.col(tie).alias("_t"))
     known = {0: wanted[None]} if by is None else wanted
-
-    hist = narrow.groupBy("_g", "_k").agg(
-        F.count("*").alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi")
+    if sizes is None:
+        n = {r._g: r["count"] for r in narrow.groupBy("_g").count().collect()}
+    else:
+        n = {0: sizes[None]} if by is None else dict(sizes)
+    known = {g: [r for r in rs if r <= n.get(g, 0)] for g, rs in known.items()}
+    known = {g: rs for g, rs in known.items() if rs}
+    if not known:
+        return {}
+    brackets = _segments(narrow, known, n) if sum(n.values()) > small_rows else {}
+
+    # Segment 2i+1 is the closed bracket i of a group; even segments are the gaps between.
+    seg, inside = F.lit(1), F.lit(True)
+    for g, ranges in brackets.items():
+        mine, within = F.lit(0), F.lit(False)
+        for i, (lo, hi) in enumerate(ranges):
+            hit = F.col("_k").between(F.lit(lo), F.lit(hi))
+            mine = F.when(F.col("_k") > F.lit(hi), 2 * i + 2).when(hit, 2 * i + 1).otherwise(mine)
+            within = within | hit
+        seg = F.when(F.col("_g") == F.lit(g), mine).otherwise(seg)
+        inside = F.when(F.col("_g") == F.lit(g), within).otherwise(inside)
+    marked = narrow.filter(F.col("_g").isin(list(known))).select(
+        "_g", seg.alias("_s"), F.when(inside, F.col("_k")).alias("_k"), "_t"
+    )
+    hist = stage(
+        marked.groupBy("_g", "_s", "_k").agg(
+            F.count("*").alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi")
+        ),
+        "ranks",
     )
-    cum = running_totals(hist, "_k", ["_n"], by=["_g"], rows_per_bucket=rows_per_bucket)
+    before: dict[tuple[Any, int], int] = {(g, 1): 0 for g in known}
+    if brackets:
+        per = {(r._g, r._s): r.n for r in hist.groupBy("_g", "_s").agg(F.sum("_n").alias("n")).collect()}
+        for g in known:
+            passed = 0
+            for i in range(2 * len(brackets[g]) + 1):
+                before[(g, i)] = passed
+                passed += per.get((g, i), 0)
+    cum = running_totals(
+        hist.filter("_k is not null"), "_k", ["_n"], by=["_g", "_s"], rows_per_bucket=rows_per_bucket, staged=True
+    )
+    start = F.col("cum__n") - F.col("_n")
     hit = [
-        (F.col("_g") == F.lit(g)) & (F.col("cum__n") >= r) & (F.col("cum__n") - F.col("_n") < r)
-        for g, rs in known.items()
-        for r in rs
+        (F.col("_g") == F.lit(g)) & (F.col("_s") == s) & (F.col("cum__n") >= r - b) & (start < r - b)
+        for (g, s), b in before.items()
+        if s % 2
+        for r in known[g]
     ]
     found: dict[tuple[Any, int], Bound] = {}
     open_ties: dict[tuple[Any, Any], list[tuple[int, int]]] = {}
     for row in cum.filter(_any(hit)).collect():
-        start = row.cum__n - row._n
+        first = before[(row._g, row._s)] + row.cum__n - row._n
         for r in known[row._g]:
-            if not start < r <= row.cum__n:
+            if not first < r <= first + row._n:
                 continue
-            if r == start + 1:
+            if r == first + 1:
                 found[(row._g, r)] = (row._k, row._lo)
-            elif r == row.cum__n:
+            elif r == first + row._n:
                 found[(row._g, r)] = (row._k, row._hi)
             else:
-                open_ties.setdefault((row._g, row._k), []).append((r, r - start))
+                open_ties.setdefault((row._g, row._k), []).append((r, r - first))
 
     # A rank inside a run of equal keys: select again by the row id among those rows only.
     for (g, k), inner in open_ties.items():
         same = narrow.filter((F.col("_g") == F.lit(g)) & (F.col("_k") == F.lit(k)))
-        ids = same.groupBy("_t").agg(F.count("*").alias("_n"))
-        cum = running_totals(ids, "_t", ["_n"], rows_per_bucket=rows_per_bucket)
-        local = {i: r for r, i in inner}
-        hits = cum.filter(
-            _any([(F.col("cum__n") >= i) & (F.col("cum__n") - F.col("_n") < i) for i in local])
-        ).collect()
-        for row in hits:
-            for i, r in local.items():
-                if row.cum__n - row._n < i <= row.cum__n:
-                    found[(g, r)] = (k, row._t)
+        again = rows_at_ranks(
+            same, "_t", "_t", {None: [i for _, i in inner]}, rows_per_bucket=rows_per_bucket, small_rows=small_rows
+        )
+        for r, i in inner:
+            found[(g, r)] = (k, again[(None, i)][1])
+    # A rank that missed its bracket is searched in the whole group.
+    missed = {g: [r for r in rs if (g, r) not in found] for g, rs in known.items()}
+    if brackets and any(missed.values()):
+        found |= rows_at_ranks(
+            narrow, "_k", "_t", missed, "_g", n, rows_per_bucket=rows_per_bucket, small_rows=float("inf")
+        )
     if by is None:
         return {(None, r): v for (_, r), v in found.items()}
     return found

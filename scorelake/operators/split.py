@@ -39,9 +39,10 @@ def stratified_split(
     df: DataFrame, row_id: str, label: str = "label", test_size: float = 0.2, seed: int = 42
 ) -> DataFrame:
     """Add ``split`` (train or test) with the label share kept in both."""
-    counts = test_counts(_sizes(df, label), test_size)
+    sizes = _sizes(df, label)
+    counts = test_counts(sizes, test_size)
     keyed = df.withColumn("_h", hash60(seed, row_id))
-    bounds = rows_at_ranks(keyed, "_h", row_id, {l: [c] for l, c in counts.items() if c}, by=label)
+    bounds = rows_at_ranks(keyed, "_h", row_id, {l: [c] for l, c in counts.items() if c}, label, sizes)
     in_test = F.lit(False)
     for (l, _), bound in bounds.items():
         in_test = in_test | ((F.col(label) == F.lit(l)) & not_after("_h", row_id, bound))
@@ -52,11 +53,10 @@ def stratified_folds(
     df: DataFrame, row_id: str, label: str = "label", folds: int = 5, seed: int = 42
 ) -> DataFrame:
     """Add ``fold`` in 0..folds-1, each with the same label share to within one row."""
-    ranks = {
-        l: [n * i // folds for i in range(1, folds) if n * i // folds] for l, n in _sizes(df, label).items()
-    }
+    sizes = _sizes(df, label)
+    ranks = {l: [n * i // folds for i in range(1, folds) if n * i // folds] for l, n in sizes.items()}
     keyed = df.withColumn("_h", hash60(seed, row_id))
-    bounds = rows_at_ranks(keyed, "_h", row_id, ranks, by=label)
+    bounds = rows_at_ranks(keyed, "_h", row_id, ranks, label, sizes)
     fold = F.lit(0)
     for l, rs in ranks.items():
         passed = F.lit(0)

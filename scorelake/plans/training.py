@@ -44,6 +44,8 @@ class TrainingConfig:
     neighbours: int | None = credit.NEIGHBOURS
     trees: int = 150
     depth: int = 6
+    regularisation: Sequence[float] = (0.01, 0.1, 1.0, 10.0)
+    penalties: Sequence[str] = ("l1", "l2")
     test_size: float = 0.2
     seed: int = 42
 
@@ -109,7 +111,8 @@ def run_training(
     challenger = models.train_challenger(ready["train"], cols, cfg.row_id, cfg.label, seed=cfg.seed)
     champion = models.train_boosted(ready["train"], cols, cfg.label, cfg.trees, cfg.depth, seed=cfg.seed)
     card = fit_scorecard(
-        parts["train"], cfg.bins, cfg.equal_frequency, cfg.row_id, cfg.label, fingerprint=feature_tag
+        parts["train"], cfg.bins, cfg.equal_frequency, cfg.row_id, cfg.label, fingerprint=feature_tag,
+        regularisation=cfg.regularisation, penalties=cfg.penalties,
     )
 
     scorers = {

@@ -35,14 +35,16 @@ def test_running_totals(skewed, rows_per_bucket):
     )
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10_000, 50])
-def test_rows_at_ranks(skewed, rows_per_bucket):
+@pytest.mark.parametrize("rows_per_bucket, small_rows, slack", [(10_000, 10**9, 1e-3), (50, 10**9, 1e-3), (50, 0, 1e-3), (50, 0, -1e-3)])
+def test_rows_at_ranks(skewed, monkeypatch, rows_per_bucket, small_rows, slack):
+    """With a negative slack the brackets miss, so the search in full is exercised too."""
+    monkeypatch.setattr("scorelake.operators.ranks.SKETCH_SLACK", slack)
     pdf, df = skewed
     ranks = [1, 2, 100, 1500, 2500, len(pdf)]
     ordered = pdf.sort_values(["v", "id"]).reset_index(drop=True)
-    got = rows_at_ranks(df, "v", "id", {None: ranks}, rows_per_bucket=rows_per_bucket)
+    got = rows_at_ranks(df, "v", "id", {None: ranks}, rows_per_bucket=rows_per_bucket, small_rows=small_rows)
     assert got == {(None, r): (ordered.v[r - 1], ordered.id[r - 1]) for r in ranks}
-    by_group = rows_at_ranks(df, "v", "id", {0: [3, 2000], 1: [5]}, by="g", rows_per_bucket=rows_per_bucket)
+    by_group = rows_at_ranks(df, "v", "id", {0: [3, 2000], 1: [5]}, by="g", rows_per_bucket=rows_per_bucket, small_rows=small_rows)
     for (g, r), found in by_group.items():
         mine = pdf[pdf.g == g].sort_values(["v", "id"]).reset_index(drop=True)
         assert found == (mine.v[r - 1], mine.id[r - 1])

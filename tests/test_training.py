@@ -29,7 +29,8 @@ def applicants(spark):
 
 CONFIG = TrainingConfig(
     groups={"BAL": ["BAL_0", "BAL_1", "BAL_2"]}, components={"BAL": 2}, bins={"BAL_PCA_1": 6, "LOANS": 4, "CARDS": 3},
-    equal_frequency=["BAL_PCA_1"], selected=3, neighbours=5, trees=5, depth=3,
+    equal_frequency=["BAL_PCA_1"], selected=3, neighbours=5, trees=3, depth=3,
+    regularisation=(1.0,), penalties=("l2",),
 )
 
 
