@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scorelake.functions import decision as rules
 from scorelake.operators import models, prep
 from scorelake.operators.metrics import all_metrics, score_curve
 from scorelake.operators.registry import assign_aliases
