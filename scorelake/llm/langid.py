@@ -28,6 +28,8 @@ BLOCK_CHARS = 1 << 20
 TEXT_WEIGHT = 1 << 20
 #: Alphabet cubes up to this size are counted by a table, larger ones by sorting.
 CUBE = 1 << 22
+#: Fewer trigrams do not show that a text is in no learned language.
+LEAST_TRIGRAMS = 200
 
 ship_by_value(__name__)
 
@@ -145,7 +147,7 @@ def fit_prototypes(rows: DataFrame, text: str, label: str, dimensions: int = DIM
 
 
 def labeller(prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS) -> Callable[[], Callable]:
-    """Maker, once for each task, of a function from texts to language names and scores.
+    """Maker, once for each task, of a function from texts to language names, scores and numbers of trigrams.
 
     ``und`` with score 0 for a text that is null or has no letter, or if no language was learned; else the name with
     the largest cosine (the first of equal ones) and that cosine, 0 if it is below.
@@ -153,12 +155,12 @@ def labeller(prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS) ->
     names = sorted(n for n, v in prototypes.items() if np.any(v))
     table = np.stack([prototypes[n] / np.linalg.norm(prototypes[n]) for n in names]) if names else None
 
-    def make() -> Callable[[list], tuple[list[str], np.ndarray]]:
+    def make() -> Callable[[list], tuple[list[str], np.ndarray, np.ndarray]]:
         binder = Binder(dimensions)
 
-        def label(column: list) -> tuple[list[str], np.ndarray]:
+        def label(column: list) -> tuple[list[str], np.ndarray, np.ndarray]:
             texts = [t or "" for t in column]
-            found, scores = np.full(len(texts), -1), np.zeros(len(texts))
+            found, scores, seen = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros(len(texts), dtype=np.int64)
             for first, end in pieces(texts) if table is not None else ():
                 codes, counts = binder.counts(texts[first:end])
                 if not len(codes):
@@ -166,10 +168,11 @@ def labeller(prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS) ->
                 vectors = counts.astype(np.float32) @ binder.vectors(codes).astype(np.float32)
                 vectors = vectors.astype(np.float64)
                 cosine = (vectors @ table.T) / np.maximum(np.linalg.norm(vectors, axis=1), 1e-300)[:, None]
-                best, has = cosine.argmax(axis=1), counts.sum(axis=1) > 0
+                seen[first:end] = counts.sum(axis=1)
+                best, has = cosine.argmax(axis=1), seen[first:end] > 0
                 found[first:end] = np.where(has, best, -1)
                 scores[first:end] = np.where(has, np.clip(cosine[np.arange(len(best)), best], 0, 1), 0)
-            return [names[k] if k >= 0 else "und" for k in found], scores
+            return [names[k] if k >= 0 else "und" for k in found], scores, seen
 
         return label
 
@@ -193,7 +196,7 @@ def language_rows(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = make()
         for batch in batches:
-            names, scores = label(batch.column(2).to_pylist())
+            names, scores, _ = label(batch.column(2).to_pylist())
             columns = [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
 
@@ -206,7 +209,8 @@ def keep_languages(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
 
     Rejected are texts that are null or without letters, and those whose best cosine stays under what two unrelated
     random vectors reach (three standard deviations, 3 / sqrt(dimensions)): their letter sequences belong to no learned
-    language. Without any label nothing can be learned, and only the former go.
+    language. A text of under LEAST_TRIGRAMS trigrams is too short for that judgement and stays. Without any label
+    nothing can be learned, and only texts without letters go.
     """
     prototypes = fit_prototypes(docs.where(~held_out(F.col("doc_id"), 5, 0)), "text", "lang", dimensions)
     if not prototypes:
@@ -217,7 +221,8 @@ def keep_languages(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = make()
         for batch in batches:
-            names, scores = label(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([n != "und" and s >= floor for n, s in zip(names, scores)], pa.bool_()))
+            names, scores, seen = label(batch.column(at).to_pylist())
+            known = (scores >= floor) | (seen < LEAST_TRIGRAMS)
+            yield batch.filter(pa.array([n != "und" and bool(k) for n, k in zip(names, known)], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorelake.llm import langid
+from scorelake.llm import langid, mix, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +15,68 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+OP1_SQL = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5(concat_ws(':', doc_id::VARCHAR, text)) AS tie FROM documents),
+quality AS (SELECT doc_id AS label_id, 0.5 + 0.5 * least(max(quality), 1) AS q FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+keyed AS (
+  SELECT doc_id, source, size, tie,
+         -ln((('0x' || substr(tie, 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0) / coalesce(q, 1)::DOUBLE AS k
+  FROM sized LEFT JOIN quality ON doc_id = label_id),
+src AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         ([5.0, 2.0, 1.0])[1 + ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::INTEGER]::DOUBLE AS w
+  FROM keyed GROUP BY source),
+step AS (
+  SELECT 0 AS n, source, source_size, w, false AS capped FROM src
+  UNION ALL
+  SELECT n + 1, source, source_size, w, capped OR level * w > 3 * source_size FROM (
+    SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) FILTER (capped) OVER (), 0))
+              / (sum(w) FILTER (NOT capped) OVER ()) AS level FROM step) WHERE n < 60),
+targets AS (
+  SELECT source, source_size, CASE WHEN capped OR level IS NULL THEN 3.0 * source_size ELSE level * w END::DOUBLE AS target FROM (
+    SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) FILTER (capped) OVER (), 0))
+              / (sum(w) FILTER (NOT capped) OVER ()) AS level FROM step WHERE n = 60)),
+plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM targets),
+drawn AS (
+  SELECT doc_id, k.source, size, source_size, target, epochs,
+         sum(size) OVER (PARTITION BY k.source ORDER BY k, doc_id NULLS FIRST, tie ROWS UNBOUNDED PRECEDING) - size / 2
+         <= target - epochs * source_size AS more
+  FROM keyed k JOIN plan p ON k.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, source, size, source_size, target, epochs + more::BIGINT AS copies, (epochs + more::BIGINT) * size AS taken FROM drawn
+"""
+
+
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+TERMS = "|".join(urls.BLOCKED_TERMS)
+SITES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in urls.SITE_RULES)
+OP8_SQL = rf"""
+WITH places AS (
+  SELECT page_id,
+         coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}'), '') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+rules(h, p, v) AS (VALUES {SITES})
+SELECT page_id, host, path, rule,
+       coalesce(v, CASE WHEN regexp_matches(host || ' ' || path, '(?i)(^|[^a-z0-9])({TERMS})([^a-z0-9]|$)')
+                        THEN 'block' ELSE '{urls.DEFAULT_VERDICT}' END) AS verdict
+FROM places LEFT JOIN LATERAL (
+  SELECT h || p AS rule, v FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  ORDER BY length(h || p) DESC, h || p DESC LIMIT 1) ON true
+"""
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), urls.rule_table(spark))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_rows(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {"op10_language": op10_language}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op8_url_filter": op8_url_filter, "op10_language": op10_language}
+SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op8_url_filter": OP8_SQL}
