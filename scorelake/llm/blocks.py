@@ -123,7 +123,7 @@ def shingles(tokens: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.n
     short = np.flatnonzero((counts > 0) & (counts < size))
     for d in short:
         own = tokens[first[d] : first[d + 1]]
-        hashes[first[d]] = (own * _PLACES[: len(own)]).sum(dtype=np.uint64) + _PLACES[63 - len(own)]
+        hashes[first[d]] = np.sum(np.append(own * _PLACES[: len(own)], _PLACES[63 - len(own)]), dtype=np.uint64)
     runs = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
     begin = np.concatenate([[0], np.cumsum(runs)])
     at = np.arange(begin[-1]) - np.repeat(begin[:-1] - first[:-1], runs)
