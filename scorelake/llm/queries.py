@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorelake.llm import langid, lines, mix, neardup, urls
+from scorelake.llm import decontaminate, langid, lines, mix, neardup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,10 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_rows(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_rows(documents(spark, sf_dir))
 
@@ -86,5 +90,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_rows(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op5_near_duplicates": op5_near_duplicates, "op7_line_dedup": op7_line_dedup, "op8_url_filter": op8_url_filter, "op10_language": op10_language}
+QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op5_near_duplicates": op5_near_duplicates, "op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup, "op8_url_filter": op8_url_filter, "op10_language": op10_language}
 SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op8_url_filter": OP8_SQL}
