@@ -6,7 +6,8 @@ enough, the values behind its placeholders must map one to one from item to docu
 as it is or re-parameterised.
 
 A token is a run of letters, digits and non-ASCII bytes. A token with a digit is a number. A unit is a token of
-``UNITS`` after a number. A name is a capitalised token within a sentence. All else counts lower-cased.
+``UNITS`` after a number. A name is a token within a sentence with a capital letter before a small one, so text in
+capitals has none. All else counts lower-cased (ASCII and Latin-1 letters).
 
 Only windows that can be in the benchmark leave a document's task, by a bit set of fixed size; the join after it is
 exact, so that set may fill up with any size of benchmark without harm to the result.
@@ -42,9 +43,17 @@ _BYTES = np.arange(256)
 DIGIT = (_BYTES >= 48) & (_BYTES <= 57)
 UPPER = (_BYTES >= 65) & (_BYTES <= 90)
 TOKEN = DIGIT | UPPER | ((_BYTES >= 97) & (_BYTES <= 122)) | (_BYTES >= 128)
+LOWER = (_BYTES >= 97) & (_BYTES <= 122)
 STOP = np.isin(_BYTES, [*b".!?:;\n\r\"()[]"])
 
 
+def fold_latin(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with the capital letters of Latin-1 lower-cased."""
+    capital = np.zeros(len(data), dtype=bool)
+    capital[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    return np.where(capital, data + np.uint8(32), data)
+
+
 class Templates:
     """Windows of texts; made once in a task, for its tables."""
 
@@ -55,6 +64,7 @@ class Templates:
 
     def tokens(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Literal hashes, template hashes, whether literal, and where each text's tokens begin."""
+        data = fold_latin(data)
         starts, ends, first = spans(TOKEN[data], offsets)
         plain = self.hasher.spans(data, starts, ends)
         if not len(plain):
@@ -65,7 +75,8 @@ class Templates:
         opening = np.ones(len(starts), dtype=bool)
         opening[1:] = stops[starts[1:]] > stops[ends[:-1]]
         opening[first[:-1][first[:-1] < len(starts)]] = True
-        name = UPPER[data[starts]] & ~opening & ~number
+        second = data[np.minimum(starts + 1, len(data) - 1)]
+        name = UPPER[data[starts]] & LOWER[second] & (ends > starts + 1) & ~opening & ~number
         unit = np.zeros(len(starts), dtype=bool)
         at = np.minimum(np.searchsorted(self.units, plain), len(self.units) - 1)
         unit[1:] = number[:-1] & ~opening[1:] & (self.units[at] == plain)[1:]
