@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scorelake.llm import decontaminate, langid, lines, mix, neardup, toxicity, urls
+from scorelake.llm import decontaminate, langid, lines, mix, neardup, neighbours, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_rows(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
@@ -94,5 +98,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_rows(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op5_near_duplicates": op5_near_duplicates, "op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup, "op8_url_filter": op8_url_filter, "op10_language": op10_language}
+QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_nearest": op3_nearest, "op5_near_duplicates": op5_near_duplicates, "op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup, "op8_url_filter": op8_url_filter, "op10_language": op10_language}
 SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op8_url_filter": OP8_SQL}
