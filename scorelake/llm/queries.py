@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scorelake.llm import decontaminate, langid, lines, mix, neardup, neighbours, toxicity, urls
+from scorelake.llm import crossentropy, decontaminate, langid, lines, mix, neardup, neighbours, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,9 +95,15 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), urls.rule_table(spark))
 
 
+def op9_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what is labelled as good."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return crossentropy.cross_entropy_rows(documents(spark, sf_dir), labels.where(F.col("quality") == 1))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_rows(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_nearest": op3_nearest, "op5_near_duplicates": op5_near_duplicates, "op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup, "op8_url_filter": op8_url_filter, "op10_language": op10_language}
+QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_nearest": op3_nearest, "op5_near_duplicates": op5_near_duplicates, "op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup, "op8_url_filter": op8_url_filter, "op9_cross_entropy": op9_cross_entropy, "op10_language": op10_language}
 SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op8_url_filter": OP8_SQL}
