@@ -10,9 +10,10 @@ With 40 bands of 4 registers a pair at the threshold of 0.75 has no bucket in co
 ``(1 - 0.75**4)**40``, under one in a million.
 
 Documents with the same set are one class. In a bucket no pairs of all members are made. Every member is compared with
-two leaders: the member that shares most buckets overall, as the common origin of many copies does, and the smallest.
-Buckets whose members are then in one component are done. In the others, members of different components are compared,
-in sub-buckets of two bands where many are left.
+two leaders: the member that shares most buckets overall, as the common origin of many copies does, and the smallest;
+then what is unlike the first leader is compared with a leader of its own. Confirmed pairs are links, and pairs with a
+fair estimate, links or not, make families. A family whose members are not all linked is compared in full: it is dealt
+to blocks of bounded size, pairs of blocks meet in tasks, and only links between different components leave them.
 """
 
 from __future__ import annotations
@@ -37,9 +38,10 @@ BASE, RATE, LEVELS = 1.001, 20.0, 65535
 PERCENT = 75
 #: A pair is dropped unconfirmed if its estimate is this far below the threshold: six deviations of 160 registers.
 ESTIMATE_MARGIN = 0.21
-#: Unresolved buckets with more members are split by a second band.
-LARGE_BUCKET = 48
-SECOND_BANDS = 12
+#: Most members and shingles, on average, of a block of a family.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1024, 1 << 21
+#: Columns of shared shingles that are multiplied at a time.
+STRIP = 4096
 SKETCH_TOKENS = 1 << 16
 
 ship_by_value(__name__)
@@ -191,9 +193,8 @@ def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return sized.select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(judge, "a long, b long")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of ``pairs`` that are links, confirmed on full sets."""
-    close = stage(likely(pairs, classes), "neardup-likely")
+def confirmed(docs: DataFrame, close: DataFrame) -> DataFrame:
+    """Pairs of ``close`` that are links, confirmed on full sets."""
     prints = stage(close.select(F.explode(F.array("a", "b")).alias("print")).distinct(), "neardup-prints")
     sets = stage(full_sets(docs, prints), "neardup-sets")
     ours, theirs = sets.select(F.col("print").alias("a"), F.col("shingles").alias("ours")), sets.select(F.col("print").alias("b"), F.col("shingles").alias("theirs"))
@@ -203,30 +204,84 @@ def confirmed(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFram
     return stage(linked.select("a", "b"), "neardup-links")
 
 
-def class_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links between classes of equal sets, enough of them for the components of all links."""
-    rows = classes.select(F.col("print").alias("id"), F.posexplode("keys").alias("band", "key"))
+def leader_pairs(members: DataFrame, leaders: DataFrame) -> DataFrame:
+    """Distinct pairs ``a`` (a leader) and ``b`` (a member) of common buckets; ``leaders`` has ``key, top, low``."""
+    starred = members.select("key", "id").join(leaders, "key").select("id", F.explode(F.array("top", "low")).alias("leader"))
+    return starred.where(F.col("id") != F.col("leader")).select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def likely_pairs(classes: DataFrame) -> DataFrame:
+    """Pairs with a fair estimate, a few for each member of a bucket, that hold similar classes together."""
+    rows = classes.select(F.col("print").alias("id"), F.explode("keys").alias("key"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    members = stage(rows.select("id", "key", "band").join(sizes, "key"), "neardup-buckets")
-    shared = members.groupBy("id").agg(F.sum("size").alias("shared"))
-    members = stage(members.drop("size").join(shared, "id"), "neardup-members")
-    leaders = members.groupBy("key").agg(F.max_by("id", F.struct("shared", "id")).alias("top"), F.min("id").alias("low"))
-    starred = members.select("key", "id").join(leaders, "key").select("id", F.explode(F.array("top", "low")).alias("leader")).where(F.col("id") != F.col("leader"))
-    pairs = stage(starred.select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct(), "neardup-pairs")
-    links = confirmed(docs, pairs, classes)
-
-    parts = components(links).withColumnRenamed("node", "id")
-    placed = stage(members.select("key", "band", "id").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")), "neardup-placed")
-    mixed = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y")).where(F.col("x") != F.col("y"))
-    open_rows = stage(placed.join(mixed.select("key", "size"), "key"), "neardup-open")
-    small = open_rows.where(F.col("size") <= LARGE_BUCKET).select("key", "id", "component")
-    others = classes.select(F.col("print").alias("id"), "keys")
-    second = F.transform(F.sequence(F.lit(1), F.lit(SECOND_BANDS)), lambda k: F.xxhash64("key", F.element_at("keys", ((F.col("band") + k * 3) % BANDS + 1).cast("int"))))
-    large = open_rows.where(F.col("size") > LARGE_BUCKET).join(others, "id").select("id", "component", F.explode(second).alias("key"))
-    groups = small.unionByName(large)
-    left, right = groups.toDF("key", "a", "x"), groups.toDF("key", "b", "y")
-    rest = left.join(right, "key").where((F.col("x") < F.col("y"))).select("a", "b").distinct()
-    return links.union(confirmed(docs, stage(rest, "neardup-rest"), classes))
+    shared = stage(rows.join(sizes, "key"), "neardup-buckets")
+    members = stage(shared.drop("size").join(shared.groupBy("id").agg(F.sum("size").alias("shared")), "id"), "neardup-members")
+    top = F.max_by("id", F.struct("shared", "id")).alias("top")
+    leaders = stage(members.groupBy("key").agg(top, F.min("id").alias("low")), "neardup-leaders")
+    close = stage(likely(leader_pairs(members, leaders), classes), "neardup-likely")
+
+    family = components(close)
+    placed = members.join(family.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "shared", F.coalesce("component", "id").alias("family"))
+    first = leaders.join(family.withColumnRenamed("node", "top"), "top", "left").select("key", F.coalesce("component", "top").alias("first"))
+    others = stage(placed.join(first, "key").where(F.col("family") != F.col("first")).select("key", "id", "shared"), "neardup-others")
+    second = others.groupBy("key").agg(top, F.min("id").alias("low"))
+    return close.union(stage(likely(leader_pairs(others, second), classes), "neardup-likely"))
+
+
+def family_links(docs: DataFrame, close: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """``a, b``: links between components of ``links`` within the families that ``close`` makes, as many as join them."""
+    family, part = components(close), components(links)
+    placed = family.select(F.col("node").alias("print"), F.col("component").alias("family")).join(part.withColumnRenamed("node", "print"), "print", "left")
+    placed = stage(placed.withColumn("component", F.coalesce("component", "print")).join(classes.select("print", "n"), "print"), "neardup-families")
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    torn = placed.groupBy("family").agg(F.min("component").alias("x"), F.max("component").alias("y"), blocks.alias("blocks")).where(F.col("x") != F.col("y"))
+    members = stage(placed.join(torn.select("family", "blocks"), "family"), "neardup-torn")
+    sets = full_sets(docs, members.select("print"))
+    own = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int")
+    dealt = members.join(sets, "print").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "component", "shingles")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        lists = rows.column("shingles").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        held = lists.flatten().to_numpy(zero_copy_only=False)
+        parts, block = rows.column("component").to_numpy(), rows.column("own").to_numpy()
+        found = joined_parts(held, sizes, parts, block) if len(np.unique(parts)) > 1 else np.zeros((0, 2), dtype=np.int64)
+        return pa.table({"a": pa.array(found[:, 0], pa.int64()), "b": pa.array(found[:, 1], pa.int64())})
+
+    return stage(dealt.groupBy("family", "i", "j").applyInArrow(compare, "a long, b long"), "neardup-joined")
+
+
+def joined_parts(held: np.ndarray, sizes: np.ndarray, parts: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Pairs of components with a link between members: one row of sets each, their shingles in ``held`` one after the
+    other. If there are two blocks, only pairs across them are compared, as each block meets itself elsewhere."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    shingle, column, often = np.unique(held, return_inverse=True, return_counts=True)
+    order = np.argsort(column, kind="stable")
+    order = order[often[column[order]] > 1]
+    column, owner = column[order], owner[order]
+    column = np.cumsum(np.concatenate([[False], column[1:] != column[:-1]])) if len(column) else column
+    common = np.zeros((len(sizes), len(sizes)), dtype=np.float32)
+    at = 0
+    while at < len(column):
+        end = int(np.searchsorted(column, column[at] + STRIP))
+        strip = np.zeros((len(sizes), STRIP), dtype=np.float32)
+        strip[owner[at:end], column[at:end] - column[at]] = 1
+        common += strip @ strip.T
+        at = end
+    union = sizes[:, None] + sizes[None, :] - common
+    linked = (common * 100 >= union * PERCENT) & (parts[:, None] < parts[None, :])
+    if len(np.unique(block)) > 1:
+        linked &= block[:, None] != block[None, :]
+    left, right = np.nonzero(linked)
+    return np.unique(np.stack([parts[left], parts[right]], axis=1), axis=0)
+
+
+def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``print, component`` of the classes that have links."""
+    close = stage(likely_pairs(classes).distinct(), "neardup-close")
+    links = confirmed(docs, close)
+    return components(links.union(family_links(docs, close, links, classes))).withColumnRenamed("node", "print")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -239,7 +294,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = stage(sketch_table(docs), "neardup-sketches")
     filled = rows.where(F.col("n") > 0)
     classes = stage(filled.select("print", "n", "sketch", "keys").dropDuplicates(["print"]), "neardup-classes")
-    parts = components(class_links(docs, classes)).withColumnRenamed("node", "print")
+    parts = class_components(docs, classes)
     # The smallest id of each set first, so that a set with any number of copies is one row in what follows.
     first = filled.groupBy("print").agg(F.min("doc_id").alias("first"))
     named = first.join(parts, "print", "left").withColumn("component", F.coalesce("component", "print"))
