@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelake.llm import crossentropy, decontaminate, langid, lines, mix, neardup, neighbours, toxicity, urls
+from scorelake.llm import crossentropy, decontaminate, langid, lines, mix, neardup, neighbours, pii, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,10 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_rows(documents(spark, sf_dir))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir))
 
@@ -105,5 +109,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_rows(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_nearest": op3_nearest, "op5_near_duplicates": op5_near_duplicates, "op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup, "op8_url_filter": op8_url_filter, "op9_cross_entropy": op9_cross_entropy, "op10_language": op10_language}
+QUERIES: dict[str, Query] = {"op1_mix": op1_mix, "op2_toxicity": op2_toxicity, "op3_nearest": op3_nearest, "op4_personal_data": op4_personal_data, "op5_near_duplicates": op5_near_duplicates, "op6_decontaminate": op6_decontaminate, "op7_line_dedup": op7_line_dedup, "op8_url_filter": op8_url_filter, "op9_cross_entropy": op9_cross_entropy, "op10_language": op10_language}
 SQL: dict[str, str] = {"op1_mix": OP1_SQL, "op8_url_filter": OP8_SQL}
