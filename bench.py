@@ -13,7 +13,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from scorelake.plans import catalog, load_queries  # noqa: E402
-from scorelake.session import get_spark  # noqa: E402
+from scorelake.session import clear_staging, get_spark  # noqa: E402
 
 HEADLINE = [
     "a13_resume_stage",
@@ -72,6 +72,7 @@ def main() -> None:
         start = time.perf_counter()
         catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        clear_staging(spark)
     print(
         json.dumps(
             {

@@ -12,6 +12,8 @@ from scorelake.operators.ranks import not_after, rows_at_ranks
 
 MIN_ROWS = 50
 LITERAL_CHUNKS = 128
+#: Rows without a time come before all others, on either path.
+NO_TIME = -(1 << 63)
 
 
 def micros(df: DataFrame, ts: str) -> Column:
@@ -44,12 +46,13 @@ def assign_chunks(
 ) -> DataFrame:
     """Add ``chunk_id``: runs of ``size`` rows in (``ts``, ``row_id``) order.
 
-    A short last chunk joins the one before (``append``) or stands alone (``keep``).
+    A short last chunk joins the one before (``append``) or stands alone (``keep``). Rows without a time are the first.
+    Many chunks are found by position instead of by their boundary rows; both give the same chunks.
     """
     n = df.count() if n is None else n
     size = size or default_chunk_size(n)
     chunks = chunk_count(n, size, incomplete)
-    keyed = df.withColumn("_us", micros(df, ts))
+    keyed = df.withColumn("_us", F.coalesce(micros(df, ts), F.lit(NO_TIME)))
     if chunks > LITERAL_CHUNKS:
         indexed = row_index(keyed, "_us", row_id)
         return indexed.withColumn(
@@ -72,8 +75,10 @@ def assign_chunks(
 def row_index(df: DataFrame, key: str, tie: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add ``_idx``, the 0-based position in the order (``key``, ``tie``), both integers.
 
-    A key value holding more than one bucket of rows gets buckets of its own, split by ``tie``.
+    A key value holding more than one bucket of rows gets buckets of its own, split by ``tie``. Null keys come first.
     """
+    given = key
+    df, key = df.withColumn("_k", F.coalesce(F.col(given), F.lit(NO_TIME))), "_k"
     n = df.count()
     buckets = min(MAX_BUCKETS, math.ceil(n / rows_per_bucket))
     cuts: list[int] = []
@@ -103,5 +108,5 @@ def row_index(df: DataFrame, key: str, tie: str, rows_per_bucket: int = ROWS_PER
         marked.withColumn("_r", F.row_number().over(inside))
         .join(offsets, ["_b", "_s"])
         .withColumn("_idx", F.col("_r") - 1 + F.col("_o"))
-        .drop("_b", "_s", "_r", "_o")
+        .drop("_b", "_s", "_r", "_o", "_k")
     )

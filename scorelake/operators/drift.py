@@ -21,7 +21,6 @@ ship_by_value(__name__)
 JS_THRESHOLD = 0.1
 P_VALUE = 0.05
 DISTANCE = 0.1
-LARGE_ROWS = 1000
 DISCRETE_VALUES = 5
 VARIANCE_KEPT = 0.65
 
@@ -85,14 +84,19 @@ def univariate_drift(
     bins: int = 10,
     threshold: float = JS_THRESHOLD,
 ) -> DataFrame:
-    """Jensen-Shannon distance to the reference per (chunk, feature), and whether it alerts."""
+    """Jensen-Shannon distance to the reference per (chunk, feature), and whether it alerts.
+
+    A feature without values on either side keeps its row, with a null value and no alert.
+    """
     edges = equal_width_edges(ref, cols, bins)
     size = max(len(e) + 1 for e in edges.values())
     p = _shares(bin_counts(ref, edges), size, [], "p")
-    q = _shares(bin_counts(prod, edges, [chunk]), size, [chunk], "q")
-    return q.join(p, "feature").select(
-        chunk, "feature", js_distance(F.col("p"), F.col("q")).alias("value")
-    ).withColumn("alert", F.col("value") > threshold)
+    q = _shares(bin_counts(prod, edges, [chunk]), size, [chunk], "q").withColumnRenamed(chunk, "_chunk").withColumnRenamed("feature", "_feature")
+    every = prod.select(chunk).distinct().withColumn("feature", F.explode(F.array(*map(F.lit, cols))))
+    found = every.join(q, F.col(chunk).eqNullSafe(F.col("_chunk")) & (F.col("feature") == F.col("_feature")), "left")
+    return found.join(p, "feature", "left").select(
+        chunk, "feature", F.when(F.col("p").isNotNull() & F.col("q").isNotNull(), js_distance(F.col("p"), F.col("q"))).alias("value")
+    ).withColumn("alert", F.coalesce(F.col("value") > threshold, F.lit(False)))
 
 
 # ---- tests on full distributions -------------------------------------------------------------
@@ -225,42 +229,67 @@ def js_of_values(pairs: DataFrame) -> DataFrame:
     )
 
 
+#: Tests of a drift report: whether their score is a p-value, and their title.
+TESTS = {
+    "js": (False, "Jensen-Shannon distance"),
+    "wasserstein": (False, "Wasserstein distance (normed)"),
+    "chi2": (True, "chi-square p_value"),
+    "ks": (True, "K-S p_value"),
+}
+
+
+def library_tests(kinds: DataFrame, large: int = 1000, discrete: int = DISCRETE_VALUES) -> dict[str, str]:
+    """The choice that common reports make by size: distances above ``large`` reference rows, else p-values.
+
+    It changes with the size of the reference, so a report uses it only where the caller asks for it.
+    """
+    names = {}
+    for r in kinds.collect():
+        by_value = r.n_values <= discrete
+        names[r.feature] = ("js" if by_value else "wasserstein") if r.n > large else ("chi2" if by_value else "ks")
+    return names
+
+
 def drift_report(
     ref: DataFrame,
     prod: DataFrame,
     cols: Sequence[str],
-    large: int = LARGE_ROWS,
+    tests: Mapping[str, str] | str | None = None,
+    large: int | None = None,
     discrete: int = DISCRETE_VALUES,
 ) -> DataFrame:
-    """One row per column: the test that fits its size and kind, its score, and the verdict.
+    """One row per column: its test, its score, and the verdict.
 
-    More than ``large`` reference rows: distances (drift from 0.1 up); else p-values (below
-    0.05). At most ``discrete`` distinct reference values: value counts; else the ordered tests.
+    ``tests`` names a test for all columns or for each. By default columns with at most ``discrete`` distinct reference
+    values compare value counts (``js``), others the ordered distributions (``wasserstein``), at any size. ``large``
+    asks for the choice of ``library_tests`` instead. Distances drift from 0.1 up, p-values below 0.05. A column without
+    values on either side has its row, with a null score and no verdict.
     """
     pairs = stage(two_sample(ref, prod, cols), "pairs")
-    kinds = pairs.filter("n_ref > 0").groupBy("feature").agg(
-        F.count("*").alias("n_values"), F.sum("n_ref").alias("n")
-    ).collect()
-    tests: dict[str, list[str]] = {}
-    for r in kinds:
-        by_value = r.n_values <= discrete
-        name = ("js" if by_value else "wasserstein") if r.n > large else ("chi2" if by_value else "ks")
-        tests.setdefault(name, []).append(r.feature)
-    runs = {
-        "js": (lambda d: js_of_values(d).withColumnRenamed("distance", "s"), "Jensen-Shannon distance"),
-        "wasserstein": (lambda d: wasserstein(d).withColumnRenamed("distance", "s"), "Wasserstein distance (normed)"),
-        "chi2": (lambda d: chi2_test(d).withColumnRenamed("p_value", "s"), "chi-square p_value"),
-        "ks": (lambda d: ks_test(d).withColumnRenamed("p_value", "s"), "K-S p_value"),
-    }
-    out = None
-    for name, features in sorted(tests.items()):
-        run, title = runs[name]
-        scored = run(pairs.filter(F.col("feature").isin(features)))
-        drifted = F.col("s") < P_VALUE if name in ("chi2", "ks") else F.col("s") >= DISTANCE
-        part = scored.select(
+    kinds = pairs.groupBy("feature").agg(
+        F.count_if(F.col("n_ref") > 0).alias("n_values"), F.sum("n_ref").alias("n"), F.sum("n_prod").alias("m")
+    ).filter("n > 0")
+    if large is not None:
+        names = library_tests(kinds, large, discrete)
+    else:
+        names = {r.feature: "js" if r.n_values <= discrete else "wasserstein" for r in kinds.collect()}
+    if tests is not None:
+        names |= {c: tests if isinstance(tests, str) else tests.get(c, names.get(c)) for c in cols}
+    filled = {r.feature for r in kinds.filter("m > 0").select("feature").collect()}
+    runs = {"js": js_of_values, "wasserstein": wasserstein, "chi2": chi2_test, "ks": ks_test}
+    titles = {c: TESTS[names.get(c, "wasserstein")][1] for c in cols}
+    out = ref.sparkSession.createDataFrame(
+        [(c, None, None, titles[c]) for c in cols if c not in filled],
+        "feature string, drift_detected boolean, drift_score double, stattest string",
+    )
+    for name in sorted({names[c] for c in cols if c in filled}):
+        p_value, title = TESTS[name]
+        own = [c for c in cols if c in filled and names[c] == name]
+        scored = runs[name](pairs.filter(F.col("feature").isin(own))).withColumnRenamed("p_value" if p_value else "distance", "s")
+        drifted = F.col("s") < P_VALUE if p_value else F.col("s") >= DISTANCE
+        out = out.unionByName(scored.select(
             "feature", drifted.alias("drift_detected"), F.round("s", 4).alias("drift_score"), F.lit(title).alias("stattest")
-        )
-        out = part if out is None else out.unionByName(part)
+        ))
     return out
 
 

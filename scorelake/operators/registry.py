@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from scorelake.operators.chunks import row_index
 from scorelake.operators.prefix import running_totals
 from scorelake.operators.split import hash60
 from scorelake.sources.logs import append, deployment_event, read_log
@@ -42,13 +43,19 @@ def versions_newest_first(versions: DataFrame) -> DataFrame:
     return versions.orderBy(F.col("version").cast("bigint").desc())
 
 
+def version_places(versions: DataFrame) -> DataFrame:
+    """``version`` and its ``place``, the newest first, without sorting all versions in one task."""
+    keyed = versions.withColumn("_v", -F.col("version").cast("bigint"))
+    return row_index(keyed, "_v", "_v").select("version", (F.col("_idx") + 1).alias("place"))
+
+
 def version_for_runs(runs: DataFrame, versions: DataFrame) -> DataFrame:
-    """Version registered for each run; the first one if a run was registered more than once."""
-    first = versions.groupBy("run_id").agg(F.min("version").alias("version"))
-    return runs.join(first, "run_id").select("run_id", "version")
+    """Version registered for each run; the newest one if a run was registered more than once."""
+    newest = versions.groupBy("run_id").agg(F.max_by("version", F.col("version").cast("bigint")).alias("version"))
+    return runs.join(newest, "run_id").select("run_id", "version")
 
 
-def _next_id(log: DataFrame) -> int:
+def next_id(log: DataFrame) -> int:
     return (log.agg(F.max("id").alias("m")).first().m or 0) + 1
 
 
@@ -58,7 +65,7 @@ def promote(spark, path: str, version: str, alias: str = "champion", by: str = "
     row = alias_state(log.filter(F.col("alias") == alias)).first()
     previous = row.version if row else None
     append(
-        deployment_event(spark, "promote", alias, previous, str(version), by, event_id=_next_id(log)), path
+        deployment_event(spark, "promote", alias, previous, str(version), by, event_id=next_id(log)), path
     )
     return previous
 
@@ -71,7 +78,7 @@ def rollback(spark, path: str, alias: str = "champion", reason: str = "manual ro
         raise LookupError(f"no previous version of alias {alias!r}")
     append(
         deployment_event(
-            spark, "rollback", alias, row.current_version, row.target_version, by, reason, event_id=_next_id(log)
+            spark, "rollback", alias, row.current_version, row.target_version, by, reason, event_id=next_id(log)
         ),
         path,
     )
@@ -99,7 +106,10 @@ def register_runs(runs: DataFrame, versions: DataFrame, model: str = "model_name
     order = running_totals(keyed.groupBy(model, "_h").agg(F.count("*").alias("_n")), "_h", ["_n"], by=[model])
     start = order.select(model, "_h", (F.col("cum__n") - F.col("_n")).alias("_before"))
     same = Window.partitionBy(model, "_h").orderBy("run_id")  # runs whose hashes collide
-    placed = keyed.join(start, [model, "_h"]).withColumn("_rn", F.row_number().over(same))
-    return placed.join(current, model, "left").select(
+    start = start.select(F.col(model).alias("_model"), F.col("_h").alias("_hash"), "_before")
+    placed = keyed.join(start, F.col(model).eqNullSafe(F.col("_model")) & (F.col("_h") == F.col("_hash")))
+    placed = placed.drop("_model", "_hash").withColumn("_rn", F.row_number().over(same))
+    top = current.withColumnRenamed(model, "_model")
+    return placed.join(top, F.col(model).eqNullSafe(F.col("_model")), "left").select(
         model, "run_id", (F.coalesce("_top", F.lit(0)) + F.col("_before") + F.col("_rn")).alias("version")
     )

@@ -32,7 +32,11 @@ def test_counts(sizes: dict[int, int], test_size: float) -> dict[int, int]:
 
 
 def _sizes(df: DataFrame, label: str) -> dict[int, int]:
-    return {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    """Rows of each label; a row without one has no stratum."""
+    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} rows have no {label}: drop or label them before a stratified split")
+    return sizes
 
 
 def stratified_split(

@@ -190,15 +190,16 @@ def rate_limit(
     segments: each maps every window that could reach into it to the window that leaves it,
     the segments of a caller are chained through these small maps, and windows are then laid
     out per segment. Only distinct instants take part, so bursts at one instant stay small.
+    Events without a caller share the limit of one caller of their own.
     """
     width = window_s * 1_000_000
     seg_us = max(segment_s or 60 * window_s, window_s) * 1_000_000
-    rows = _epoch_us(df, ts).withColumn("_seg", F.floor(F.col("_us") / F.lit(seg_us)).cast("bigint"))
+    # The caller as text that is never null, so that joins keep events without one.
+    caller = F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit(""))
+    rows = _epoch_us(df, ts).withColumn("_key", caller).withColumn("_seg", F.floor(F.col("_us") / F.lit(seg_us)).cast("bigint"))
     segments = stage(
-        rows.groupBy(F.col(key).alias("_key"), "_seg").agg(F.sort_array(F.collect_set("_us")).alias("us")), "segments"
+        rows.groupBy("_key", "_seg").agg(F.sort_array(F.collect_set("_us")).alias("us")), "segments"
     )
-    key_type = df.schema[key].dataType.simpleString()
-
     def exits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ent, ext = [], []
@@ -213,7 +214,7 @@ def rate_limit(
                 ext.append(us[last[:n]])
             yield pd.DataFrame({"_key": pdf["_key"], "_seg": pdf["_seg"], "ent": ent, "ext": ext})
 
-    maps = segments.mapInPandas(exits, f"_key {key_type}, _seg bigint, ent array<bigint>, ext array<bigint>")
+    maps = segments.mapInPandas(exits, "_key string, _seg bigint, ent array<bigint>, ext array<bigint>")
 
     # A caller has one entry per active segment here: bounded by elapsed time, not by events.
     callers = maps.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_seg", "ent", "ext"))).alias("s")).select(
@@ -233,7 +234,7 @@ def rate_limit(
                 ends.append(mine)
             yield pd.DataFrame({"_key": pdf["_key"], "segs": pdf["segs"], "ends": ends})
 
-    entry = callers.mapInPandas(chain, f"_key {key_type}, segs array<bigint>, ends array<bigint>").select(
+    entry = callers.mapInPandas(chain, "_key string, segs array<bigint>, ends array<bigint>").select(
         "_key", F.explode(F.arrays_zip("segs", "ends")).alias("e")
     ).select("_key", F.col("e.segs").alias("_seg"), F.col("e.ends").alias("_end"))
 
@@ -247,19 +248,19 @@ def rate_limit(
             yield pd.DataFrame({"_key": pdf["_key"], "_seg": pdf["_seg"], "starts": starts})
 
     laid = segments.join(entry, ["_key", "_seg"]).mapInPandas(
-        layout, f"_key {key_type}, _seg bigint, starts array<bigint>"
+        layout, "_key string, _seg bigint, starts array<bigint>"
     )
-    placed = rows.join(laid.withColumnRenamed("_key", key), [key, "_seg"]).withColumn(
+    placed = rows.join(laid, ["_key", "_seg"]).withColumn(
         "window_us", F.array_max(F.filter("starts", lambda s: s <= F.col("_us")))
     ).drop("starts", "_seg")
     # Only the first `limit` rows of a window survive each task, so a hot window stays small.
-    order = Window.partitionBy(key, "window_us").orderBy("_us", row_id)
-    first = placed.select(key, "window_us", "_us", row_id).withColumn("_rn", F.row_number().over(order)).filter(
+    order = Window.partitionBy("_key", "window_us").orderBy("_us", row_id)
+    first = placed.select("_key", "window_us", "_us", row_id).withColumn("_rn", F.row_number().over(order)).filter(
         F.col("_rn") <= limit
     )
-    last = first.groupBy(key, "window_us").agg(F.max(F.struct(F.col("_us").alias("u"), F.col(row_id).alias("r"))).alias("_last"))
+    last = first.groupBy("_key", "window_us").agg(F.max(F.struct(F.col("_us").alias("u"), F.col(row_id).alias("r"))).alias("_last"))
     inside = (F.col("_us") < F.col("_last.u")) | ((F.col("_us") == F.col("_last.u")) & (F.col(row_id) <= F.col("_last.r")))
-    return placed.join(last, [key, "window_us"]).withColumn("allowed", inside).drop("_us", "_last")
+    return placed.join(last, ["_key", "window_us"]).withColumn("allowed", inside).drop("_us", "_last", "_key")
 
 
 def trace_ids(df: DataFrame, *parts: str, out: str = "trace_id") -> DataFrame:

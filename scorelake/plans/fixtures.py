@@ -39,7 +39,8 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     start = F.lit(min(MONTHS.values())).cast("timestamp_ntz")
     orders = table(spark, sf, "orders").filter(F.col("o_orderdate") >= start)
     # Summed per order first, so an order with very many lines is one row in the join.
-    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("qty"))
+    recent_lines = table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    lines = recent_lines.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("qty"))
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
 
     aggs = []

@@ -127,7 +127,7 @@ def run_monitor(data: MonitorInput, run_ts: datetime | None = None, calibrate: b
     summary: dict[str, Any] = {
         "run_ts": run_ts or datetime.now(timezone.utc), "production_rows": n, "chunk_size": size,
         **_part("cbpe", estimated, {"cbpe_estimated_auc": None, "cbpe_estimated_f1": None, "cbpe_n_alerts": None}),
-        **_part("univariate", univariate, {"drifted_features": [], "drifted_features_count": 0}),
+        **_part("univariate", univariate, {"drifted_features": None, "drifted_features_count": None}),
         **_part("multivariate", multivariate, {"reconstruction_error": None}),
     }
     names = [f.strip().split(" ")[0] for f in SUMMARY_SCHEMA.split(",")]

@@ -144,7 +144,8 @@ def a12(spark, sf):
 @query("a13_resume_stage", f"{FEATURES} SELECT customer_id, ORD_CNT_12M, label FROM features")
 def a13(spark, sf):
     root = stage_path(spark, "stages")
-    key = {"data": tables.content_version(spark, f"{sf}/customer.parquet"), "seed": "42"}
+    inputs = ("customer", "orders", "lineitem", "events")
+    key = {**{t: tables.content_version(spark, f"{sf}/{t}.parquet") for t in inputs}, "seed": "42"}
 
     def built():
         return fx.features(spark, sf).select("customer_id", "ORD_CNT_12M", "label")
@@ -308,7 +309,7 @@ def c3(spark, sf):
 
 @query(
     "c4_version_for_run",
-    "SELECT c_custkey AS run_id, min(o_orderkey) AS version FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1",
+    "SELECT c_custkey AS run_id, max(o_orderkey) AS version FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1",
 )
 def c4(spark, sf):
     from scorelake.operators.registry import version_for_runs
@@ -485,6 +486,31 @@ def j1_many(spark, sf):
     return chunks.assign_chunks(fx.table(spark, sf, "events"), "ts", "event_id", size=60).select("event_id", "chunk_id")
 
 
+HOLED_EVENTS = "SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN ts END AS ts FROM events"
+
+
+def _null_times_sql(size):
+    return f"""SELECT event_id, least((row_number() OVER (ORDER BY ts NULLS FIRST, event_id) - 1) // {size},
+      greatest(count(*) OVER () // {size}, 1) - 1)::INTEGER AS chunk_id FROM ({HOLED_EVENTS})"""
+
+
+def _null_times(spark, sf, size):
+    holed = fx.table(spark, sf, "events").withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    return chunks.assign_chunks(holed, "ts", "event_id", size=size).select("event_id", "chunk_id")
+
+
+@query("j1_null_times", _null_times_sql(700))
+def j1_null_times(spark, sf):
+    """Rows without a time are the first, whether chunks are cut at boundary rows ..."""
+    return _null_times(spark, sf, 700)
+
+
+@query("j1_null_times_many", _null_times_sql(5))
+def j1_null_times_many(spark, sf):
+    """... or found by position."""
+    return _null_times(spark, sf, 5)
+
+
 def last_run_rows(spark, sf):
     """Monitor gauges of one run per month, from the scored log."""
     daily = fx.scored(spark, sf).groupBy(F.trunc("ts", "week").alias("run_ts")).agg(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scorelake.operators import models, prep
 from scorelake.operators.metrics import all_metrics, score_curve
-from scorelake.operators.registry import assign_aliases
+from scorelake.operators.registry import alias_state, assign_aliases
 from scorelake.operators.scorecard import fit_scorecard
 from scorelake.plans import fixtures as fx
 from scorelake.plans.catalog import query
@@ -16,7 +16,6 @@ from scorelake.sources.logs import audit_rows
 from scorelake.streaming.scoring import append_stream, request_stream, score_stream
 
 KEEP = ["customer_id", "label"]
-TREES, DEPTH = 20, 4
 
 
 def trainable(spark, sf):
@@ -50,14 +49,13 @@ def g1(spark, sf):
 @query("g2_boosted_trees")
 def g2(spark, sf):
     df = _ready(spark, sf)
-    return _metrics(models.positive_probability(models.train_boosted(df, fx.FEATURES, trees=TREES, depth=DEPTH), df))
+    return _metrics(models.positive_probability(models.train_boosted(df, fx.FEATURES), df))
 
 
 @query("g10_light_fallback")
 def g10(spark, sf):
     df = _ready(spark, sf)
-    fit = models.train_boosted(df, fx.FEATURES, trees=TREES // 2, depth=DEPTH)
-    return _metrics(models.positive_probability(fit, df))
+    return _metrics(models.positive_probability(models.train_fallback(df, fx.FEATURES), df))
 
 
 CARD_BINS = {"ORD_CNT_12M": 5, "LI_QTY_12M": 8, "ORD_AVG_12M": 8, "ORD_CNT_6M": 3, "EVT_CNT_view": 3}
@@ -86,8 +84,7 @@ def g3(spark, sf):
 def g4(spark, sf):
     df = _ready(spark, sf)
     scaled = prep.ZScaler(KEEP).fit(df).transform(df)
-    cols = ["ORD_CNT_12M", "ORD_AVG_12M", "LI_QTY_12M"]
-    best = models.grid_search(scaled.select(*KEEP, *cols), cols, "customer_id", regularisation=(0.01, 1.0))
+    best = models.grid_search(scaled, fx.FEATURES, "customer_id")
     return spark.createDataFrame([(best.c, best.penalty, round(best.cv_gini, 4))], "c double, penalty string, cv_gini double")
 
 
@@ -105,33 +102,40 @@ def _ratio_scorer(scale):
     return lambda d: d.withColumn("p", F.col("value") / (F.col("value") + F.lit(scale)))
 
 
-@query(
-    "g6_score_by_alias",
-    f"""WITH {fx.DEPLOYMENTS_CTE}, state AS (SELECT alias, arg_max(to_version, (ts, id)) AS version FROM deployments GROUP BY 1),
-    req AS (SELECT event_id, value, CASE event_type WHEN 'view' THEN '5-LOW' WHEN 'click' THEN '1-URGENT' ELSE 'unheard' END AS alias FROM events)
+def _alias_sql(other):
+    return f"""WITH {fx.DEPLOYMENTS_CTE}, state AS (SELECT alias, arg_max(to_version, (ts, id)) AS version FROM deployments GROUP BY 1),
+    req AS (SELECT event_id, value, CASE event_type WHEN 'view' THEN '5-LOW' WHEN 'click' THEN '1-URGENT' ELSE {other} END AS alias FROM events)
     SELECT event_id, req.alias, CASE WHEN state.alias IS NULL THEN 'local' ELSE version END AS model_version,
     round(value / (value + CASE req.alias WHEN '5-LOW' THEN 50.0 WHEN '1-URGENT' THEN 80.0 ELSE 20.0 END), 6) AS p
-    FROM req LEFT JOIN state USING (alias)""",
-)
-def g6(spark, sf):
-    from scorelake.operators.registry import alias_state
+    FROM req LEFT JOIN state USING (alias)"""
 
+
+def _scored_by_alias(spark, sf, other):
     log = fx.deployments(spark, sf)
     current = {r.alias: r.version for r in alias_state(log).collect()}
     scorers = {current["5-LOW"]: _ratio_scorer(50.0), current["1-URGENT"]: _ratio_scorer(80.0)}
-    alias = F.when(F.col("event_type") == "view", "5-LOW").when(F.col("event_type") == "click", "1-URGENT").otherwise("unheard")
+    alias = F.when(F.col("event_type") == "view", "5-LOW").when(F.col("event_type") == "click", "1-URGENT").otherwise(other)
     rows = fx.table(spark, sf, "events").withColumn("alias", alias)
     out = score_by_alias(rows, "alias", log, scorers, ["event_id"], ("local", _ratio_scorer(20.0)))
     return out.select("event_id", "alias", "model_version", F.round("p", 6).alias("p"))
 
 
+@query("g6_score_by_alias", _alias_sql("'unheard'"))
+def g6(spark, sf):
+    return _scored_by_alias(spark, sf, F.lit("unheard"))
+
+
+@query("g6_null_alias", _alias_sql("NULL"))
+def g6_null(spark, sf):
+    return _scored_by_alias(spark, sf, F.lit(None).cast("string"))
+
+
 @query("g7_model_table")
 def g7(spark, sf):
     df = _ready(spark, sf)
-    cols = ["ORD_CNT_12M", "ORD_AVG_12M", "LI_QTY_12M"]
     scored = {
-        "boosted_trees": models.positive_probability(models.train_boosted(df, cols, trees=TREES // 2, depth=DEPTH), df),
-        "logistic_regression": models.positive_probability(models.train_challenger(df, cols, "customer_id"), df),
+        "boosted_trees": models.positive_probability(models.train_boosted(df, fx.FEATURES), df),
+        "logistic_regression": models.positive_probability(models.train_challenger(df, fx.FEATURES, "customer_id"), df),
         "scorecard_woe_lr": _card(trainable(spark, sf)).score(df, explain=False),
     }
     table = models.compare_models(scored)
@@ -140,7 +144,7 @@ def g7(spark, sf):
 
 @query(
     "g8_assign_aliases",
-    """WITH v AS (SELECT o_custkey AS run_id, min(o_orderkey) AS version FROM orders GROUP BY 1)
+    """WITH v AS (SELECT o_custkey AS run_id, max(o_orderkey) AS version FROM orders GROUP BY 1)
     SELECT c_custkey AS run_id, CASE c_mktsegment WHEN 'BUILDING' THEN 'champion' WHEN 'MACHINERY' THEN 'challenger' ELSE 'scorecard' END AS alias,
     version AS to_version, 'promote' AS event_type FROM customer JOIN v ON run_id = c_custkey
     WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE')""",

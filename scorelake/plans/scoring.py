@@ -63,20 +63,22 @@ def score_by_alias(
 ) -> DataFrame:
     """Score each row with the version its alias points to.
 
-    An alias that is unknown, or whose version is not available, uses ``fallback`` (a version
-    name and its scorer); without one that is an error. There is one branch per alias.
+    An alias that is null or unknown, or whose version is not available, uses ``fallback`` (a version name and its
+    scorer); without one that is an error. There is one branch per version in use, so at most one per scorer, whatever
+    aliases the rows ask for. Without rows the result is empty.
     """
-    current = {r.alias: r.version for r in alias_state(deployments).collect()}
-    asked = [r[0] for r in rows.select(alias_col).distinct().collect()]
+    current = {r.alias: r.version for r in alias_state(deployments).collect() if r.alias is not None and r.version in scorers}
+    served = F.create_map(*[F.lit(x) for kv in current.items() for x in kv])[F.col(alias_col)] if current else F.lit(None).cast("string")
+    known = rows.withColumn("_version", served)
+    if fallback is None and (lost := known.filter("_version is null").select(alias_col).first()) is not None:
+        raise RuntimeError(f"no model for alias {lost[0]!r}")
+    branches = [(F.col("_version") == v, v, scorers[v]) for v in sorted(set(current.values()))]
+    if fallback is not None:
+        branches.append((F.col("_version").isNull(), *fallback))
     out = None
-    for alias in sorted(a for a in asked if a is not None):
-        version = current.get(alias)
-        if version in scorers:
-            name, scorer = version, scorers[version]
-        elif fallback is not None:
-            name, scorer = fallback
-        else:
-            raise RuntimeError(f"no model for alias {alias!r}")
-        part = score_rows(rows.filter(F.col(alias_col) == alias), scorer, name, trace_key, alias)
+    for chosen, name, scorer in branches:
+        part = score_rows(known.filter(chosen).drop("_version"), scorer, name, trace_key)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    if out is None:
+        raise RuntimeError("no model is deployed")
+    return out.withColumn("model_alias", F.coalesce(F.col(alias_col), F.lit("unknown")))

@@ -12,20 +12,18 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from scorelake.operators import models, prep
 from scorelake.operators.metrics import all_metrics, score_curve
-from scorelake.operators.registry import assign_aliases, register_runs
+from scorelake.operators.registry import alias_state, assign_aliases, next_id, register_runs
 from scorelake.operators.scorecard import Scorecard, fit_scorecard
 from scorelake.operators.split import stratified_split
 from scorelake.operators.stats import missing_rate, split_stats
 from scorelake.plans import credit
 from scorelake.sources import logs, runs
-from scorelake.sources.tables import resume_stage
+from scorelake.sources.tables import finished, resume_stage
 
 # Which alias each model type takes.
 ROLES = {"logistic_regression": "challenger", "boosted_trees": "champion", "scorecard_woe_lr": "scorecard"}
@@ -66,13 +64,31 @@ class TrainingResult:
     metrics: DataFrame
 
 
-def _load_or_fit(path: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
-    try:
-        return PipelineModel.load(path)
-    except (Py4JJavaError, PySparkException):
-        model = fit()
-        model.write().overwrite().save(path)
-        return model
+def _load_or_fit(spark: SparkSession, path: str, fit: Callable[[], PipelineModel]) -> PipelineModel:
+    """The model saved at ``path``; fitted and saved where its last part is not there yet."""
+    if not finished(spark, f"{path}/done"):
+        fit().write().overwrite().save(f"{path}/model")
+        spark.range(1).write.mode("overwrite").parquet(f"{path}/done")
+    return PipelineModel.load(f"{path}/model")
+
+
+def _load_or_fit_card(spark: SparkSession, path: str, fit: Callable[[], Scorecard]) -> Scorecard:
+    if not finished(spark, path):
+        fit().save(spark, path)
+    return Scorecard.load(spark, path)
+
+
+def load_scorer(spark: SparkSession, root: str, version: int | str) -> Callable[[DataFrame], DataFrame]:
+    """Scorer of a registered version, from its saved model; it adds ``p``."""
+    row = spark.read.parquet(f"{root}/versions").filter(F.col("version") == int(version)).select("run_id").first()
+    if row is None:
+        raise LookupError(f"version {version} is not registered")
+    path = f"{root}/models/{row.run_id}"
+    if row.run_id.endswith("scorecard_woe_lr"):
+        card = Scorecard.load(spark, path)
+        return lambda d: card.score(d, explain=False)
+    model = PipelineModel.load(f"{path}/model")
+    return lambda d: models.positive_probability(model, d)
 
 
 def run_training(
@@ -92,6 +108,7 @@ def run_training(
 
     feature_tag = cfg.tag("row_id", "label", "test_size", "seed", "groups", "components", "selected", "neighbours")
     steps = _load_or_fit(
+        spark,
         f"{root}/features/{data_version}-{feature_tag}",
         lambda: prep.feature_steps(
             cfg.groups, cfg.components, cfg.row_id, cfg.label, cfg.selected, cfg.neighbours
@@ -108,11 +125,27 @@ def run_training(
     }
     cols = [c for c in ready["train"].columns if c not in (cfg.row_id, cfg.label)]
 
-    challenger = models.train_challenger(ready["train"], cols, cfg.row_id, cfg.label, seed=cfg.seed)
-    champion = models.train_boosted(ready["train"], cols, cfg.label, cfg.trees, cfg.depth, seed=cfg.seed)
-    card = fit_scorecard(
-        parts["train"], cfg.bins, cfg.equal_frequency, cfg.row_id, cfg.label, fingerprint=feature_tag,
-        regularisation=cfg.regularisation, penalties=cfg.penalties,
+    tags = {
+        "logistic_regression": feature_tag,
+        "boosted_trees": f"{feature_tag}-{cfg.tag('trees', 'depth')}",
+        "scorecard_woe_lr": f"{feature_tag}-{cfg.tag('bins', 'equal_frequency', 'regularisation', 'penalties')}",
+    }
+    run_ids = {kind: f"{data_version}-{tag}-{kind}" for kind, tag in tags.items()}
+    path = {kind: f"{root}/models/{run_id}" for kind, run_id in run_ids.items()}
+    challenger = _load_or_fit(
+        spark, path["logistic_regression"],
+        lambda: models.train_challenger(ready["train"], cols, cfg.row_id, cfg.label, seed=cfg.seed),
+    )
+    champion = _load_or_fit(
+        spark, path["boosted_trees"],
+        lambda: models.train_boosted(ready["train"], cols, cfg.label, cfg.trees, cfg.depth, seed=cfg.seed),
+    )
+    card = _load_or_fit_card(
+        spark, path["scorecard_woe_lr"],
+        lambda: fit_scorecard(
+            parts["train"], cfg.bins, cfg.equal_frequency, cfg.row_id, cfg.label, fingerprint=feature_tag,
+            regularisation=cfg.regularisation, penalties=cfg.penalties,
+        ),
     )
 
     scorers = {
@@ -124,7 +157,7 @@ def run_training(
     for kind, (tables, scorer) in scorers.items():
         for name, df in tables.items():
             row = all_metrics(score_curve(scorer(df), "p", cfg.label)).select(
-                F.lit(f"{data_version}-{feature_tag}-{kind}").alias("run_id"), F.lit(kind).alias("model_type"),
+                F.lit(run_ids[kind]).alias("run_id"), F.lit(kind).alias("model_type"),
                 F.lit(name).alias("split"), "*",
             )
             wide = row if wide is None else wide.unionByName(row)
@@ -146,25 +179,32 @@ def run_training(
     spark.createDataFrame(card.iv_rows(), "feature string, iv double").write.mode("overwrite").csv(
         f"{root}/iv_table/{data_version}", header=True
     )
-    trained = [(f"{data_version}-{feature_tag}-{kind}", kind) for kind in scorers]
+    trained = [(run_id, kind) for kind, run_id in run_ids.items()]
     _register(spark, root, spark.createDataFrame(trained, "run_id string, model_type string"))
     return TrainingResult(data_version, steps, challenger, champion, card, spark.read.parquet(f"{root}/runs"))
 
 
 def _register(spark: SparkSession, root: str, trained: DataFrame) -> None:
-    """Next versions for the runs, and one alias event per model type. Single writer."""
+    """A version for each run that has none, and an event for each alias that moves. Single writer."""
     fresh = trained.withColumn("model_name", F.lit(MODEL_NAME))
-    try:
-        known = spark.read.parquet(f"{root}/versions")
-    except PySparkException:
+    if finished(spark, f"{root}/versions"):
+        known = spark.read.parquet(f"{root}/versions").select("model_name", "run_id", "version")
+    else:
         known = spark.createDataFrame([], "model_name string, run_id string, version bigint")
-    versions = register_runs(fresh, known.select("model_name", "run_id", "version"))
-    logs.append(versions, f"{root}/versions")
+    new = fresh.join(known.select("run_id"), "run_id", "left_anti")
+    logs.append(register_runs(new, known), f"{root}/versions")
+    if finished(spark, f"{root}/deployments"):
+        past = logs.read_log(spark, f"{root}/deployments")
+    else:
+        past = spark.createDataFrame([], "id bigint, ts timestamp, alias string, to_version string")
+    state = alias_state(past).select("alias", F.col("version").alias("from_version"))
     events = assign_aliases(fresh, spark.read.parquet(f"{root}/versions"), ROLES)
-    rows = events.select(
-        F.col("to_version").cast("bigint").alias("id"), F.current_timestamp().alias("ts"), "event_type",
-        F.lit(MODEL_NAME).alias("model_name"), "alias", F.lit(None).cast("string").alias("from_version"),
-        F.col("to_version").cast("string").alias("to_version"), F.lit("training").alias("triggered_by"),
-        F.lit(None).cast("string").alias("reason"),
+    moved = events.withColumn("to_version", F.col("to_version").cast("string")).join(state, "alias", "left")
+    moved = moved.filter(~F.col("to_version").eqNullSafe(F.col("from_version")))
+    order = F.row_number().over(Window.partitionBy("event_type").orderBy("alias"))  # one row an alias at most
+    rows = moved.select(
+        (F.lit(next_id(past) - 1) + order).cast("bigint").alias("id"), F.current_timestamp().alias("ts"), "event_type",
+        F.lit(MODEL_NAME).alias("model_name"), "alias", "from_version", "to_version",
+        F.lit("training").alias("triggered_by"), F.lit(None).cast("string").alias("reason"),
     )
     logs.append(rows, f"{root}/deployments")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -11,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 STAGING_CONF = "spark.checkpoint.dir"
 
-_local_staging: str | None = None
-
 
 def get_spark(app: str = "scorelake", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution on; extra settings as keyword ``{"spark.x": "y"}``."""
@@ -34,18 +31,17 @@ def get_spark(app: str = "scorelake", master: str | None = None, **conf: str) ->
 def staging_dir(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` as the cluster sets it.
 
-    Only a local-mode session without that setting falls back to a temporary folder; on a
-    cluster a machine-local folder would be lost with its machine, so there it is an error.
+    Where it is unset, a folder of the session's warehouse, which a cluster shares as well. Each application has a
+    folder of its own there; ``clear_staging`` removes it.
     """
-    global _local_staging
-    configured = spark.conf.get(STAGING_CONF, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {STAGING_CONF} to a folder that all executors share")
-    if _local_staging is None:
-        _local_staging = tempfile.mkdtemp(prefix="scorelake-stage-")
-    return _local_staging
+    configured = spark.conf.get(STAGING_CONF, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staging"
+    return f"{configured.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def clear_staging(spark: SparkSession) -> None:
+    """Delete what this application has staged. DataFrames that read it can't be used after that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_path(spark: SparkSession, label: str = "stage") -> str:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from scorelake.functions.scalars import nan_to_null
@@ -81,6 +80,12 @@ def load_split(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir}/splits").filter(F.col("split") == name).drop("split")
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has ended well; any other failure to look is raised."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def resume_stage(
     spark: SparkSession,
     root: str,
@@ -91,11 +96,9 @@ def resume_stage(
     """Stage output keyed by its inputs: read it if a finished one exists, else build and write it."""
     tag = ",".join(f"{k}={key[k]}" for k in sorted(key))
     path = f"{root.rstrip('/')}/{name}/{tag}"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    if not finished(spark, path):
         build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -68,6 +68,23 @@ def test_report_finds_the_moved_columns(periods, large, tests):
     assert (one.n_drifted, one.n_checked) == (2, 3) and one.features["a"].drift_detected
 
 
+def test_columns_without_values_are_reported(periods):
+    _, ref, prod = periods
+    holes = [d.withColumn("never", F.lit(None).cast("double")) for d in (ref, prod)]
+    rows = {r.feature: r for r in drift.drift_report(*holes, ["a", "never"]).collect()}
+    assert rows["never"].drift_score is None and rows["never"].drift_detected is None and rows["a"].drift_score is not None
+    one = drift.drift_summary(drift.drift_report(*holes, ["never"])).first()
+    assert (one.n_drifted, one.n_checked) == (0, 1)
+    by = drift.univariate_drift(holes[0], holes[1].withColumn("chunk_id", F.lit(0)), ["a", "never"]).collect()
+    assert {(r.feature, r.value is None, r.alert) for r in by if r.feature == "never"} == {("never", True, False)} and len(by) == 2
+
+
+def test_tests_do_not_change_with_size(periods):
+    _, ref, prod = periods
+    names = [{r.feature: r.stattest for r in drift.drift_report(r_, prod, ["a", "d"]).collect()} for r_ in (ref, ref.limit(200))]
+    assert names[0] == names[1]
+
+
 def test_reconstruction_error_against_numpy(periods):
     pdf, ref, prod = periods
     fitted = drift.fit_reconstruction(ref, ["a", "b", "c"])

@@ -109,3 +109,15 @@ def test_split_sizes_and_repeatability(skewed):
     assert a.select("id", "split").exceptAll(again.select("id", "split")).count() == 0
     folds = split.stratified_folds(df, "id", "g").groupBy("g", "fold").count().toPandas()
     assert folds.groupby("g")["count"].agg(lambda s: s.max() - s.min()).max() <= 1
+
+
+@pytest.mark.parametrize("size, per_bucket", [(100, 10**6), (3, 10**6), (3, 40)])
+def test_rows_without_time_come_first(spark, monkeypatch, size, per_bucket):
+    """Cut at boundary rows, by position, and by position in many buckets."""
+    monkeypatch.setattr(chunks.row_index, "__defaults__", (per_bucket,))
+    rows = [(i, None if i % 40 == 7 else (i * 7919) % 400) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, s long").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r.id: r.chunk_id for r in chunks.assign_chunks(df, "ts", "id", size).collect()}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    last = 400 // size - 1
+    assert got == {i: min(k // size, last) for k, (i, _) in enumerate(order)}

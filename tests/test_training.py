@@ -1,13 +1,15 @@
 """A whole training run, its tables, and a resumed second run."""
 
+import dataclasses
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from scorelake.operators import models
-from scorelake.operators.registry import alias_state
-from scorelake.plans.training import TrainingConfig, run_training
+from scorelake.operators.registry import alias_state, rollback
+from scorelake.plans.training import TrainingConfig, load_scorer, run_training
 from scorelake.sources import logs
 
 
@@ -51,9 +53,27 @@ def test_run_and_resume(spark, applicants, tmp_path):
     assert again.scorecard.binning.edges == result.scorecard.binning.edges
     np.testing.assert_allclose(again.scorecard.beta, result.scorecard.beta, rtol=1e-6)
     versions = spark.read.parquet(f"{root}/versions")
-    assert sorted(r.version for r in versions.collect()) == [1, 2, 3, 4, 5, 6]
-    newer = {r.alias: int(r.version) for r in alias_state(logs.read_log(spark, f"{root}/deployments")).collect()}
-    assert set(newer) == set(state)
+    assert sorted(r.version for r in versions.collect()) == [1, 2, 3]  # the same runs are registered once
+    log = logs.read_log(spark, f"{root}/deployments")
+    assert {r.alias: r.version for r in alias_state(log).collect()} == state and log.count() == 3
+
+    deeper = dataclasses.replace(CONFIG, depth=2)  # only the boosted trees change
+    run_training(spark, applicants.limit(0), "abcd1234", root, deeper)
+    log = logs.read_log(spark, f"{root}/deployments")
+    moved = {r.alias: r.version for r in alias_state(log).collect()}
+    assert {a for a in moved if moved[a] != state[a]} == {"champion"} and moved["champion"] == "4"
+    assert log.filter("id = 4").first().from_version == state["champion"]
+    assert rollback(spark, f"{root}/deployments") == state["champion"]
+
+    ready = spark.read.parquet(f"{root}/ready_test")
+    for version in (int(state["champion"]), int(state["challenger"])):
+        p = load_scorer(spark, root, version)(ready)
+        assert p.filter("p between 0 and 1").count() == 180
+    parts = spark.read.parquet(f"{root}/parts_test")
+    loaded = load_scorer(spark, root, state["scorecard"])(parts).agg(F.sum("p")).first()[0]
+    assert loaded == pytest.approx(result.scorecard.score(parts, explain=False).agg(F.sum("p")).first()[0])
+    with pytest.raises(LookupError):
+        load_scorer(spark, root, 99)
 
 
 def test_two_models_on_the_same_rows(spark):
