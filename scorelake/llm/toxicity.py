@@ -28,6 +28,7 @@ WINDOW = 16
 #: Bound of the training sample: so many texts of each class, by a hash of their ids, of at most so many characters.
 SAMPLE, SAMPLE_CHARS = 1200, 60_000
 WARM_ROUNDS, ROUNDS, RATE, MOMENTUM, SHRINK = 30, 100, 0.4, 0.9, 1e-5
+HIDE = 0.3
 #: An n-gram must be in so many sample texts to have a row.
 LEAST_TEXTS = 4
 THRESHOLD = 0.7
@@ -105,100 +106,130 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-class Model:
-    """Embedding table and linear softmax of two classes."""
+class Bags:
+    """Training texts as windows of words, each distinct word kept once as its bag of n-grams.
 
-    def __init__(self) -> None:
-        random = np.random.default_rng(3)
-        self.table = random.uniform(-1, 1, (1 << ROWS_BITS, EMBEDDING)) / EMBEDDING
-        self.weights = random.uniform(-1, 1, (2, EMBEDDING)) / EMBEDDING
-        self.bias = np.zeros(2)
-
-    def scores(self) -> np.ndarray:
-        """Difference of the two classes' logits for each row of the table."""
-        return self.table @ (self.weights[1] - self.weights[0])
+    Texts are read in runs, so memory follows the distinct words, not the text.
+    """
 
-    def fit(self, texts: list[str], toxic: np.ndarray) -> "Model":
-        """Full-batch training with adaptive steps; both classes weigh the same."""
+    def __init__(self, texts: list[str]) -> None:
         raw = [t.encode("utf-8", "replace") for t in texts]
-        offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-        grams = Grams(np.frombuffer(b"".join(raw), dtype=np.uint8), offsets)
-        rows = np.concatenate([r for r, _ in grams.parts]) if grams.parts else np.zeros(0, dtype=np.uint32)
-        word = np.concatenate([w for _, w in grams.parts]) if grams.parts else np.zeros(0, dtype=np.int64)
-        # One word is the same bag wherever it stands: train on distinct words.
-        order = np.argsort(word, kind="stable")
-        rows, word = rows[order], word[order]
-        first = np.searchsorted(word, np.arange(grams.words + 1))
-        key = np.zeros(grams.words, dtype=np.uint64)
-        np.add.at(key, word, (rows.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ (rows.astype(np.uint64) << np.uint64(40)))
-        _, sample, kind = np.unique(key, return_index=True, return_inverse=True)
-        sizes = np.diff(first)[sample]
-        bag = np.repeat(np.arange(len(sample)), sizes)
-        rows = rows[np.arange(len(bag)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first[sample], sizes)].astype(np.int64)
-        held = np.unique(np.concatenate([r.astype(np.int64) * len(texts) + grams.owner[w] for r, w in grams.parts])) // max(1, len(texts))
-        common = np.bincount(held, minlength=1 << ROWS_BITS) >= LEAST_TEXTS
-        self.table[~common] = 0
-        used, rows = np.unique(rows, return_inverse=True)
-        # The others keep their share of a bag, with nothing in it.
-        kept = common[used][rows]
-        bag, rows = bag[kept], rows[kept]
-        del order, word, key, first
-        table, share = self.table[used], 1 / np.maximum(sizes, 1)
-
-        begin, owner = windows_of(grams.owner, len(texts))
-        shares = word_shares(grams.names, begin)
-        lengths = np.diff(np.append(begin, grams.words))
-        in_text = np.maximum(np.bincount(owner, lengths, len(texts)), 1)
-        filled = np.bincount(owner, minlength=len(texts)) > 0
-        heads = np.flatnonzero(np.diff(np.concatenate([[-1], owner])))
-        cost = np.where(toxic == 1, 0.5 / max(1, (toxic == 1).sum()), 0.5 / max(1, (toxic == 0).sum()))
-        past = [(np.zeros_like(v), [0.0]) for v in (table, self.weights, self.bias)]
-        for turn in range(WARM_ROUNDS + ROUNDS):
-            way = self.weights[1] - self.weights[0]
-            by_word = np.bincount(bag, (table @ way)[rows], len(sizes)) * share
-            means = window_sums(by_word[kind] * shares, begin)
-            if turn < WARM_ROUNDS:
-                logit, part = np.bincount(owner, means * lengths, len(texts)) / in_text, lengths / in_text[owner]
-            else:
-                logit, part = np.zeros(len(texts)), np.zeros(len(begin))
-                if len(heads):
-                    logit[filled] = np.maximum.reduceat(means, heads)
-                    top = means == logit[owner]
-                    part = top / np.maximum(np.bincount(owner, top, len(texts))[owner], 1)
-            error = cost * (sigmoid(logit + self.bias[1] - self.bias[0]) - toxic)
-            pull = np.repeat(error[owner] * part, lengths) * shares
-            by_kind = np.bincount(kind, pull, len(sizes)) * share
-            by_row = np.bincount(rows, by_kind[bag], len(used))
-            slope = by_row @ table
-            steps = [np.outer(by_row, way) + SHRINK * table / len(used), np.stack([-slope, slope]) + SHRINK * self.weights, np.array([-error.sum(), error.sum()])]
-            # One step size for a whole tensor: common n-grams move most, rare ones can't be learned by heart.
-            for value, step, (mean, size) in zip((table, self.weights, self.bias), steps, past):
-                mean *= MOMENTUM
-                mean += (1 - MOMENTUM) * step
-                size[0] = max(size[0] * MOMENTUM, float(np.sqrt((step**2).max())))
-                value -= RATE * mean / max(size[0], 1e-12)
-        self.table[used] = table
-        # The threshold comes to lie midway between clean texts' highest and toxic texts' lowest scores.
-        margin = logit + self.bias[1] - self.bias[0]
-        middle = (np.quantile(margin[toxic == 0], 0.999) + np.quantile(margin[toxic == 1], 0.01)) / 2
-        self.bias[1] += np.log(THRESHOLD / (1 - THRESHOLD)) - middle
-        return self
-
-
-def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray]:
-    """At most ``SAMPLE`` labelled texts of each class, not held out; a text with both labels counts as toxic."""
+        names, owners, rows, bags = [], [], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        held, known, count, first = np.zeros(1 << ROWS_BITS, dtype=np.int64), np.zeros(0), 0, 0
+        while first < len(raw):
+            end, size = first, 0
+            while end < len(raw) and (end == first or size + len(raw[end]) <= RUN_BYTES):
+                size, end = size + len(raw[end]), end + 1
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw[first:end]])]).astype(np.int64)
+            grams = Grams(np.frombuffer(b"".join(raw[first:end]), dtype=np.uint8), offsets)
+            names.append(grams.names)
+            owners.append(grams.owner + first)
+            seen = [np.unique(r.astype(np.int64) * (end - first) + grams.owner[w]) for r, w in grams.parts]
+            held += np.bincount(np.unique(np.concatenate(seen or [known.astype(np.int64)])) // (end - first), minlength=len(held))
+            distinct, at = np.unique(grams.names, return_index=True)
+            new = ~np.isin(distinct, known)
+            place = np.full(grams.words, -1, dtype=np.int64)
+            place[at[new]] = count + np.arange(new.sum())
+            for row, word in grams.parts:
+                mine = place[word] >= 0
+                rows.append(row[mine].astype(np.int64))
+                bags.append(place[word[mine]])
+            known, count, first = np.concatenate([known, distinct[new]]), count + int(new.sum()), end
+        order = np.argsort(known)
+        names = np.concatenate(names or [known])
+        self.kind = order[np.searchsorted(known[order], names)] if count else np.zeros(0, dtype=np.int64)
+        self.owner = np.concatenate(owners or [order])
+        self.rows, self.bag = np.concatenate(rows), np.concatenate(bags)
+        self.sizes = np.bincount(self.bag, minlength=count)
+        self.begin, self.window_text = windows_of(self.owner, len(texts))
+        self.shares = word_shares(names, self.begin)
+        # N-grams in too few texts have no row; they keep their share of a bag, with nothing in it.
+        kept = held[self.rows] >= LEAST_TEXTS
+        self.used, self.rows = np.unique(self.rows[kept], return_inverse=True)
+        self.bag = self.bag[kept]
+
+
+def fit(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, float]:
+    """Score of every n-gram row, and the bias: embedding table and two-class softmax, trained together.
+
+    Full batches; both classes weigh the same. One step size holds for a whole tensor, so that common n-grams move most
+    and rare ones can't be learned by heart.
+    """
+    bags = Bags(texts)
+    random = np.random.default_rng(3)
+    table = random.uniform(-1, 1, (len(bags.used), EMBEDDING)) / EMBEDDING
+    weights, bias = random.uniform(-1, 1, (2, EMBEDDING)) / EMBEDDING, np.zeros(2)
+    share = 1 / np.maximum(bags.sizes, 1)
+    owner, lengths = bags.window_text, np.diff(np.append(bags.begin, len(bags.owner)))
+    in_text = np.maximum(np.bincount(owner, lengths, len(texts)), 1)
+    filled = np.bincount(owner, minlength=len(texts)) > 0
+    heads = np.flatnonzero(np.diff(np.concatenate([[-1], owner])))
+    cost = np.where(toxic == 1, 0.5 / max(1, (toxic == 1).sum()), 0.5 / max(1, (toxic == 0).sum()))
+    past = [(np.zeros_like(v), [0.0]) for v in (table, weights, bias)]
+    logit = np.zeros(len(texts))
+    for turn in range(WARM_ROUNDS + ROUNDS):
+        way = weights[1] - weights[0]
+        by_word = np.bincount(bags.bag, (table @ way)[bags.rows], len(share)) * share
+        sums = window_sums(by_word[bags.kind] * bags.shares, bags.begin)
+        logit = np.zeros(len(texts))
+        if turn < WARM_ROUNDS:
+            part = lengths / in_text[owner]
+            logit = np.bincount(owner, sums * part, len(texts))
+        else:
+            # Some windows are hidden in turn, so that each toxic word has to tell for itself now and then.
+            visible = np.where((random.random(len(sums)) < HIDE) & (turn < WARM_ROUNDS + ROUNDS - 1), -np.inf, sums)
+            logit[filled] = np.maximum.reduceat(visible, heads) if len(heads) else 0
+            logit[np.isinf(logit)] = 0
+            top = visible == logit[owner]
+            part = top / np.maximum(np.bincount(owner, top, len(texts))[owner], 1)
+        error = cost * (sigmoid(logit + bias[1] - bias[0]) - toxic)
+        pull = np.repeat(error[owner] * part, lengths) * bags.shares
+        by_kind = np.bincount(bags.kind, pull, len(share)) * share
+        by_row = np.bincount(bags.rows, by_kind[bags.bag], len(table))
+        slope = by_row @ table
+        steps = [np.outer(by_row, way) + SHRINK * table / max(1, len(table)), np.stack([-slope, slope]) + SHRINK * weights, np.array([-error.sum(), error.sum()])]
+        for value, step, (mean, size) in zip((table, weights, bias), steps, past):
+            mean *= MOMENTUM
+            mean += (1 - MOMENTUM) * step
+            size[0] = max(size[0] * MOMENTUM, float(np.sqrt((step**2).max(initial=0))))
+            value -= RATE * mean / max(size[0], 1e-12)
+    # The threshold comes to lie midway between clean texts' highest and toxic texts' lowest scores.
+    margin = logit + bias[1] - bias[0]
+    middle = (np.quantile(margin[toxic == 0], 0.999) + np.quantile(margin[toxic == 1], 0.01)) / 2
+    scores = np.zeros(1 << ROWS_BITS, dtype=np.float32)
+    scores[bags.used] = table @ (weights[1] - weights[0])
+    return scores, float(bias[1] - bias[0] + np.log(THRESHOLD / (1 - THRESHOLD)) - middle)
+
+
+def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``label_id, text, toxic`` of at most ``SAMPLE`` labelled texts of each class, not held out; a text with both
+    labels counts as toxic."""
     ids = F.col("doc_id").cast("long")
     known = labels.where(F.col("toxic").isin(0, 1) & ids.isNotNull()).groupBy(ids.alias("label_id")).agg(F.max("toxic").alias("toxic"))
     known = known.where(~held_out(F.col("label_id"), 3, 1))
-    sized = docs.where(F.length("text") <= SAMPLE_CHARS).select(ids.alias("label_id")).distinct()
-    # Twice what is wanted of ids alone, then their texts.
-    mark = F.xxhash64("label_id")
-    ranked = known.join(sized, "label_id", "left_semi")
-    chosen = [ranked.where(F.col("toxic") == k).orderBy(mark, "label_id").limit(SAMPLE) for k in (0, 1)]
-    texts = docs.where(F.length("text") <= SAMPLE_CHARS).select(ids.alias("label_id"), "text")
-    rows = texts.join(F.broadcast(chosen[0].union(chosen[1])), "label_id").groupBy("label_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toPandas()
-    rows = rows.sort_values("label_id")
-    return list(rows["text"]), rows["toxic"].to_numpy(dtype=np.float64)
+    texts = docs.where(F.length("text") <= SAMPLE_CHARS).select(ids.alias("label_id"), F.col("text").cast("string").alias("text"))
+    ranked = known.join(texts.select("label_id").distinct(), "label_id", "left_semi")
+    chosen = [ranked.where(F.col("toxic") == k).orderBy(F.xxhash64("label_id"), "label_id").limit(SAMPLE) for k in (0, 1)]
+    rows = texts.join(F.broadcast(chosen[0].union(chosen[1])), "label_id")
+    return rows.groupBy("label_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
+    """Scores and bias, learned from the bounded sample in one task; the driver gets a megabyte."""
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[0])
+        toxic = np.array([r[2] for r in rows], dtype=np.float64)
+        if len(set(toxic)) == 2:
+            scores, bias = fit([r[1] for r in rows], toxic)
+        else:
+            scores, bias = np.zeros(1 << ROWS_BITS, dtype=np.float32), 9.0 * (2 * float(toxic[0]) - 1) if len(toxic) else 0.0
+        yield pa.RecordBatch.from_arrays([pa.array([scores.tobytes()], pa.binary()), pa.array([bias])], ["scores", "bias"])
+
+    row = training_sample(docs, labels).select("label_id", "text", "toxic").repartition(1).mapInArrow(train, "scores binary, bias double").first()
+    if row is None:
+        return np.zeros(1 << ROWS_BITS, dtype=np.float32), 0.0
+    return np.frombuffer(bytes(row.scores), dtype=np.float32), row.bias
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
@@ -222,12 +253,7 @@ def score_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     or has no word gets what the bias alone says. With labels of one class only, or none, every score is that class's
     share (0.5 without labels). A null doc_id is held out.
     """
-    texts, toxic = training_sample(docs, labels)
-    if len(set(toxic)) == 2:
-        model = Model().fit(texts, toxic)
-        weights, bias = model.scores().astype(np.float32), float(model.bias[1] - model.bias[0])
-    else:
-        weights, bias = np.zeros(1 << ROWS_BITS, dtype=np.float32), 0.0 if not len(toxic) else 9.0 * (2 * float(toxic[0]) - 1)
+    weights, bias = fitted(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
