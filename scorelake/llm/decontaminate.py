@@ -44,7 +44,7 @@ DIGIT = (_BYTES >= 48) & (_BYTES <= 57)
 UPPER = (_BYTES >= 65) & (_BYTES <= 90)
 TOKEN = DIGIT | UPPER | ((_BYTES >= 97) & (_BYTES <= 122)) | (_BYTES >= 128)
 LOWER = (_BYTES >= 97) & (_BYTES <= 122)
-STOP = np.isin(_BYTES, [*b".!?:;\n\r\"()[]"])
+STOP = np.isin(_BYTES, [*b".!?:;\"()[]"])
 
 
 def fold_latin(data: np.ndarray) -> np.ndarray:

@@ -82,7 +82,8 @@ def distinct_sets(hashes: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np
 
 def fingerprints(sets: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Hash of each whole set."""
-    sums = np.concatenate([[0], np.cumsum(mix(sets), dtype=np.uint64)]).astype(np.uint64)
+    sums = np.zeros(len(sets) + 1, dtype=np.uint64)
+    np.cumsum(mix(sets), out=sums[1:])
     own = sums[begin[1:]] - sums[begin[:-1]]
     return mix(own ^ mix(np.diff(begin).astype(np.uint64)))
 
