@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorelake.llm.blocks import Hasher, bitmap, in_bitmap, text_blocks
-from scorelake.session import ship_by_value
+from scorelake.session import ship_by_value, stage
 
 WORD_SHARE, PAIR_SHARE = 1e-6, 5e-7
 #: Weight of a context's own counts, and what every word has been seen more than it was.
@@ -93,7 +93,7 @@ def counted(docs: DataFrame, vocabulary: Broadcast | None) -> DataFrame:
 
 
 def target_texts(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``target``: a bit set of fixed size spares most others the shuffle."""
+    """Texts of the rows of ``docs`` whose doc_id is in ``target``: a bit set of fixed size spares most others the shuffle."""
     ids = target.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct()
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids, F.xxhash64("doc_id")))
 
@@ -104,7 +104,8 @@ def target_texts(docs: DataFrame, target: DataFrame) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     found = rows.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(maybe, "doc_id long, text string, h long")
-    return found.join(ids, "doc_id", "left_semi")
+    # The same join at every size: what is shuffled is the target's text, once.
+    return stage(found.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select("text"), "crossentropy-target")
 
 
 def both_counts(docs: DataFrame, chosen: DataFrame, share: float, total: int | None, vocabulary: Broadcast | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
