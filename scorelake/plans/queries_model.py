@@ -13,7 +13,7 @@ from scorelake.plans.catalog import query
 from scorelake.plans.scoring import read_requests, score_by_alias, score_rows
 from scorelake.session import stage, stage_path
 from scorelake.sources.logs import audit_rows
-from scorelake.streaming.scoring import append_stream, request_stream, score_stream
+from scorelake.streaming.scoring import append_stream, refused_stream, request_stream, score_stream
 
 KEEP = ["customer_id", "label"]
 
@@ -199,6 +199,23 @@ def k1(spark, sf):
     return spark.read.parquet(path).select("event_id", "default_probability", "credit_score", "model_version")
 
 
+REFUSED_SQL = "SELECT event_id, ['never_sent'] AS errors FROM events WHERE event_type = 'error'"
+
+
+@query("k1_refused", REFUSED_SQL)
+def k1_refused(spark, sf):
+    _, refused = read_requests(_bodies(fx.table(spark, sf, "events")), "body", FIELDS)
+    return refused.select("event_id", "errors")
+
+
+@query("k1_refused_stream", REFUSED_SQL)
+def k1_refused_stream(spark, sf):
+    raw = _bodies(request_stream(spark, sf, fx.table(spark, sf, "events").schema, "events.parquet"))
+    path = stage_path(spark, "quarantine")
+    append_stream(refused_stream(raw, "body", FIELDS), path, stage_path(spark, "stream-checkpoint"), once=True).awaitTermination()
+    return spark.read.parquet(path).select("event_id", "errors")
+
+
 @query("k1_score_batch", K1_SQL)
 def k1_batch(spark, sf):
     good, _ = read_requests(_bodies(fx.table(spark, sf, "events")), "body", FIELDS)

@@ -41,6 +41,12 @@ def score_stream(
     return audit_rows(scored, list(fields), carry=[c for c in trace_key if c != "ts"])
 
 
+def refused_stream(raw: DataFrame, body: str, fields: Sequence[str]) -> DataFrame:
+    """Requests that ``score_stream`` leaves out, with their ``errors``, for a quarantine table next to its output."""
+    _, refused = read_requests(raw, body, fields)
+    return refused.select(*raw.columns, "errors")
+
+
 def unique_traces(scored: DataFrame, ts: str, delay: str, trace: str = "trace_id") -> DataFrame:
     """Drop replays of a trace id seen within ``delay``."""
     return with_event_time(scored, ts, delay).dropDuplicatesWithinWatermark([trace])
