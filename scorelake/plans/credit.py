@@ -46,33 +46,29 @@ COMPONENTS = {"OUTSTANDING_BAL": 5, "NUM_NEW_LOAN_TAKEN": 3, "ENQUIRIES": 5}
 SELECTED_FEATURES = 22
 NEIGHBOURS = 20
 
-# Scorecard features and their bin counts.
-BINS = {
-    "NUMBER_OF_LOANS": 5,
-    "NUMBER_OF_CREDIT_CARDS": 5,
-    "SHORT_TERM_COUNT_BANK": 3,
-    "SHORT_TERM_COUNT_NON_BANK": 3,
-    "NUMBER_OF_RELATIONSHIP_BANK": 4,
-    "NUMBER_OF_RELATIONSHIP_NON_BANK": 4,
-    "NUMBER_OF_LOANS_NON_BANK": 3,
-    "NUMBER_OF_CREDIT_CARDS_BANK": 3,
-    "NUM_NEW_LOAN_TAKEN_PCA_1": 8,
-    "NUM_NEW_LOAN_TAKEN_PCA_2": 8,
-    "OUTSTANDING_BAL_PCA_2": 8,
-    "OUTSTANDING_BAL_PCA_3": 8,
-    "OUTSTANDING_BAL_PCA_5": 8,
-    "ENQUIRIES_PCA_1": 8,
-    "ENQUIRIES_PCA_2": 8,
-    "ENQUIRIES_PCA_3": 8,
-    "ENQUIRIES_PCA_4": 8,
-    "ENQUIRIES_PCA_5": 8,
+# Scorecard features, their bin counts and how their edges are found.
+SCORECARD = {
+    "NUMBER_OF_LOANS": (5, "frequency"),
+    "NUMBER_OF_CREDIT_CARDS": (5, "entropy"),
+    "SHORT_TERM_COUNT_BANK": (3, "entropy"),
+    "SHORT_TERM_COUNT_NON_BANK": (3, "entropy"),
+    "NUMBER_OF_RELATIONSHIP_BANK": (4, "frequency"),
+    "NUMBER_OF_RELATIONSHIP_NON_BANK": (4, "frequency"),
+    "NUMBER_OF_LOANS_NON_BANK": (3, "entropy"),
+    "NUMBER_OF_CREDIT_CARDS_BANK": (3, "entropy"),
+    "NUM_NEW_LOAN_TAKEN_PCA_1": (8, "frequency"),
+    "NUM_NEW_LOAN_TAKEN_PCA_2": (8, "frequency"),
+    "OUTSTANDING_BAL_PCA_2": (8, "frequency"),
+    "OUTSTANDING_BAL_PCA_3": (8, "frequency"),
+    "OUTSTANDING_BAL_PCA_5": (8, "frequency"),
+    "ENQUIRIES_PCA_1": (8, "frequency"),
+    "ENQUIRIES_PCA_2": (8, "frequency"),
+    "ENQUIRIES_PCA_3": (8, "frequency"),
+    "ENQUIRIES_PCA_4": (8, "frequency"),
+    "ENQUIRIES_PCA_5": (8, "frequency"),
 }
-# Components and these counts get equal-frequency bins; the others entropy bins.
-EQUAL_FREQUENCY = [c for c in BINS if "_PCA_" in c] + [
-    "NUMBER_OF_LOANS",
-    "NUMBER_OF_RELATIONSHIP_BANK",
-    "NUMBER_OF_RELATIONSHIP_NON_BANK",
-]
+BINS = {feature: bins for feature, (bins, _) in SCORECARD.items()}
+EQUAL_FREQUENCY = [feature for feature, (_, edges) in SCORECARD.items() if edges == "frequency"]
 
 # Features watched for drift by the performance monitor.
 MONITORED = [

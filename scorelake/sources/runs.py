@@ -7,18 +7,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-RUN_SCHEMA = "run_id string, split string, metric string, value double, run_ts timestamp"
 PARAM_SCHEMA = "run_id string, param string, value string"
 
 
-def metric_rows(
-    spark: SparkSession, run_id: str, metrics: Mapping[str, float | None], split: str, run_ts: datetime
-) -> DataFrame:
-    """Driver-side scalars of a run as rows. A missing value stays null, it is not 0."""
-    rows = [(run_id, split, k, None if v is None else float(v), run_ts) for k, v in metrics.items()]
-    return spark.createDataFrame(rows, RUN_SCHEMA)
-
-
 def param_rows(spark: SparkSession, run_id: str, params: Mapping[str, object]) -> DataFrame:
     return spark.createDataFrame([(run_id, k, str(v)) for k, v in params.items()], PARAM_SCHEMA)
 

@@ -24,11 +24,6 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return clean_missing(spark.read.schema(schema).csv(path, header=True, nanValue="NaN"))
 
 
-def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return clean_missing(df.select(*columns) if columns else df)
-
-
 def applicant_schema(features: Sequence[str], row_id: str = "customer_id") -> T.StructType:
     """Row key, nullable double features and an integer label."""
     return T.StructType(
@@ -75,11 +70,6 @@ def reference_rows(split: DataFrame, label: str = "label") -> DataFrame:
     return split.filter(F.col("split") == "train").drop(label, "split")
 
 
-def load_split(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    """One split; the partition filter prunes the other files."""
-    return spark.read.parquet(f"{out_dir}/splits").filter(F.col("split") == name).drop("split")
-
-
 def finished(spark: SparkSession, path: str) -> bool:
     """Whether a write to ``path`` has ended well; any other failure to look is raised."""
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
