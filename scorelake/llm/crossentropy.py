@@ -4,10 +4,13 @@ Two interpolated bigram models, of the target documents and of all documents (th
 same smoothing, and one vocabulary and one set of bigrams for both. A document's score is the mean over its tokens of
 the target model's loss less the background model's; the lower, the nearer to the target.
 
-Counts cover all documents. The vocabulary has the words with at least ``WORD_SHARE`` of all tokens, the bigram table
-those with at least ``PAIR_SHARE``: shares bound both tables (by 1 / share) whatever the corpus holds, so they can be
-sent to every task. Rarer words are one unknown word; a bigram without entry gets its word's share of what its context
-has left, so each model sums to one.
+Counts cover all documents, and all words and bigrams count, however rare (``WORD_SHARE`` and ``PAIR_SHARE`` are 0 for
+that; with larger ones, rarer words are one unknown word and rarer bigrams have no entry). They stay tables: bigrams are
+counted in tasks, words are their sums, and each distinct bigram is given its loss under both models. A bigram without
+entry gets its word's share of what its context has left, so each model sums to one.
+
+Words and bigrams with at least ``HOT_WORD`` and ``HOT_PAIR`` of all tokens, of which there are at most 1 / share, are
+sent to every task; the others, none of which many rows have, are joined. This only spares shuffles, results are the same.
 """
 
 from __future__ import annotations
@@ -16,80 +19,80 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.blocks import Hasher, bitmap, in_bitmap, text_blocks
+from scorelake.llm.blocks import Hasher, bitmap, in_bitmap, mix, text_blocks
 from scorelake.session import ship_by_value, stage
 
-WORD_SHARE, PAIR_SHARE = 1e-6, 5e-7
+#: Least shares of all tokens of the words and bigrams that are told apart.
+WORD_SHARE, PAIR_SHARE = 0.0, 0.0
+HOT_WORD, HOT_PAIR = 4e-6, 5e-7
 #: Weight of a context's own counts, and what every word has been seen more than it was.
 BIGRAM_WEIGHT, PSEUDO = 0.6, 0.5
 #: A task's counts are merged when so many have come together.
 MERGE_ROWS = 1 << 21
+#: Context of a text's first word.
+START = 0
 
 ship_by_value(__name__)
 
 
 class Counter:
-    """Counts of 64-bit keys, merged now and then."""
+    """Counts of bigrams, merged now and then; given away when merging leaves many, so memory is bounded."""
 
     def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.rows = 0
 
-    def add(self, keys: np.ndarray) -> None:
-        self.parts.append(np.unique(keys, return_counts=True))
+    def add(self, before: np.ndarray, after: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(merged([(pair_keys(before, after), before, after, np.ones(len(after), dtype=np.int64))]))
         self.rows += len(self.parts[-1][0])
-        if self.rows > MERGE_ROWS and len(self.parts) > 1:
-            self.parts = [self.merged()]
-            self.rows = 0
+        if self.rows > MERGE_ROWS:
+            self.parts = [merged(self.parts)]
+            self.rows = len(self.parts[0][0])
+            if self.rows > MERGE_ROWS // 2:
+                yield from self.rest()
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            _, before, after, counts = merged(self.parts)
+            for at in range(0, len(counts), 1 << 18):
+                own = slice(at, at + (1 << 18))
+                yield pa.RecordBatch.from_arrays([pa.array(before[own].view(np.int64)), pa.array(after[own].view(np.int64)), pa.array(counts[own])], ["a", "b", "count"])
+        self.parts, self.rows = [], 0
 
-    def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
-            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        keys, counts = (np.concatenate(p) for p in zip(*self.parts))
-        keys, at = np.unique(keys, return_inverse=True)
-        return keys, np.bincount(at, counts, len(keys)).astype(np.int64)
 
+def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Distinct keys, their words and the sums of their counts."""
+    keys, before, after, counts = (np.concatenate(p) for p in zip(*parts))
+    keys, one, at = np.unique(keys, return_index=True, return_inverse=True)
+    return keys, before[one], after[one], np.bincount(at, counts, len(keys)).astype(np.int64)
 
-def word_places(tokens: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Place of each word in the sorted vocabulary, its length for an unknown one."""
-    if not len(vocabulary):
-        return np.zeros(len(tokens), dtype=np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, tokens), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == tokens, at, len(vocabulary))
 
+def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(after))
 
-def pair_keys(places: np.ndarray, first: np.ndarray, unknown: int) -> tuple[np.ndarray, np.ndarray]:
-    """Token positions with a known word before them in the same text and known themselves, and their bigram keys."""
-    inner = np.ones(len(places), dtype=bool)
-    inner[first[:-1][first[:-1] < len(places)]] = False
-    known = places < unknown
-    at = np.flatnonzero(inner[1:] & known[1:] & known[:-1]) + 1
-    return at, (places[at - 1].astype(np.uint64) << np.uint64(32)) | places[at].astype(np.uint64)
 
+def contexts_of(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The word before each word, ``START`` for the first of a text."""
+    before = np.concatenate([np.full(1, START, dtype=np.uint64), tokens[:-1]])[: len(tokens)]
+    before[first[:-1][first[:-1] < len(tokens)]] = START
+    return before
 
-def counted(docs: DataFrame, vocabulary: Broadcast | None) -> DataFrame:
-    """``key, count`` of words, or of bigrams of vocabulary words if there is one, over all texts."""
+
+def counted(docs: DataFrame) -> DataFrame:
+    """``a, b, count`` of bigrams over all texts, by task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counter = Hasher(), Counter()
         for batch in batches:
             for _, _, data, offsets in text_blocks(batch.column(0)):
                 tokens, first = hasher.words(data, offsets)
-                if vocabulary is None:
-                    counter.add(tokens)
-                else:
-                    counter.add(pair_keys(word_places(tokens, vocabulary.value), first, len(vocabulary.value))[1])
-        keys, counts = counter.merged()
-        for at in range(0, len(keys), 1 << 18):
-            own = slice(at, at + (1 << 18))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(counts[own])], ["key", "count"])
+                yield from counter.add(contexts_of(tokens, first), tokens)
+        yield from counter.rest()
 
-    found = docs.select(F.col("text").cast("string")).mapInArrow(count, "key long, count long")
-    return found.groupBy("key").agg(F.sum("count").alias("count"))
+    return docs.select(F.col("text").cast("string")).mapInArrow(count, "a long, b long, count long")
 
 
 def target_texts(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -108,31 +111,45 @@ def target_texts(docs: DataFrame, target: DataFrame) -> DataFrame:
     return stage(found.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select("text"), "crossentropy-target")
 
 
-def both_counts(docs: DataFrame, chosen: DataFrame, share: float, total: int | None, vocabulary: Broadcast | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
-    """Sorted keys with at least ``share`` of all, their counts in all and in chosen texts, and both totals.
+def looked_up(rows: DataFrame, column: str, words: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``words`` (``word``, ``hot`` and others) of the word in ``column``; null without."""
+    named = words.withColumnRenamed("word", column)
+    hot, cold = F.broadcast(named.where("hot").drop("hot")), named.where("NOT hot").drop("hot")
+    return rows.join(hot, column).unionByName(rows.join(hot.select(column), column, "left_anti").join(cold, column, "left"))
 
-    The driver gets at most 1 / share rows.
-    """
-    everywhere, wanted = counted(docs, vocabulary), counted(chosen, vocabulary)
-    joined = everywhere.join(wanted.withColumnRenamed("count", "own"), "key", "left").select("key", "count", F.coalesce("own", F.lit(0)).alias("own")).persist()
-    sums = joined.agg(F.sum("count"), F.sum("own")).first()
-    totals = int(sums[0] or 0), int(sums[1] or 0)
-    least = share * (totals[0] if total is None else total)
-    rows = joined.where(F.col("count") >= least).toPandas()
-    joined.unpersist()
-    keys = rows["key"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], rows["count"].to_numpy(dtype=np.int64)[order], rows["own"].to_numpy(dtype=np.int64)[order], *totals
 
+def pair_losses(docs: DataFrame, chosen: DataFrame) -> tuple[DataFrame, int]:
+    """``a, b, n, target, background``: every bigram of the texts, how often it is there and the log of its second word's
+    share under both models; and the number of tokens."""
+    both = counted(docs).select("a", "b", F.col("count").alias("n"), F.lit(0).cast("long").alias("own"))
+    both = both.union(counted(chosen).select("a", "b", F.lit(0).cast("long"), "count"))
+    pairs = stage(both.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("own").alias("own")), "crossentropy-pairs")
+    words = stage(pairs.groupBy(F.col("b").alias("word")).agg(F.sum("n").alias("n"), F.sum("own").alias("own")), "crossentropy-words")
+    total, own_total = (int(v or 0) for v in words.agg(F.sum("n"), F.sum("own")).first())
+    known, hot = F.col("n") >= WORD_SHARE * total, (F.col("n") >= HOT_WORD * total).alias("hot")
+    kinds, seen, own_seen = (int(v or 0) for v in words.where(known).agg(F.count("*"), F.sum("n"), F.sum("own")).first())
+
+    def share(count: Column, rest: int, size: int) -> Column:
+        """Share of a word; all unknown ones are one."""
+        return (F.when(known, count).otherwise(rest) + PSEUDO) / (size + PSEUDO * (kinds + 1))
+
+    shares = words.select("word", hot, known.alias("after_known"), share(F.col("own"), own_total - own_seen, own_total).alias("target_share"), share(F.col("n"), total - seen, total).alias("share"))
+    rows = looked_up(pairs, "b", shares)
+    entry = (F.col("a") != START) & F.col("after_known") & (F.col("n") >= PAIR_SHARE * total)
+    rows = stage(rows.withColumn("entry", entry).drop("after_known"), "crossentropy-shares")
 
-def model(words: np.ndarray, total: int, pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log share of each word (the last is the unknown one), what each context leaves to it, and bigrams' log shares."""
-    seen = np.append(words, total - words.sum()).astype(np.float64)
-    share = (seen + PSEUDO) / (total + PSEUDO * len(seen))
-    before, after = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    own = BIGRAM_WEIGHT * counts / np.maximum(seen[before], 1)
-    left = 1 - np.bincount(before, own, len(seen))
-    return np.log(share), np.log(left), np.log(own + left[before] * share[after])
+    followed = rows.where("entry").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n_on"), F.sum("own").alias("own_on"))
+    left = lambda on, count: F.when(known, 1 - BIGRAM_WEIGHT * F.coalesce(on, F.lit(0)) / F.greatest(count, F.lit(1))).otherwise(1.0)
+    befores = words.join(followed, "word", "left").select("word", hot, F.col("n").alias("n_a"), F.col("own").alias("own_a"), known.alias("known_a"), left(F.col("own_on"), F.col("own")).alias("target_left"), left(F.col("n_on"), F.col("n")).alias("left"))
+    befores = stage(befores, "crossentropy-contexts")
+    rows = looked_up(rows, "a", befores)
+    used = F.col("entry") & F.coalesce("known_a", F.lit(False))
+
+    def chance(count: str, context: str, rest: str, own_share: str) -> Column:
+        own = F.when(used, BIGRAM_WEIGHT * F.col(count) / F.greatest(F.col(context), F.lit(1))).otherwise(0.0)
+        return F.log(own + F.coalesce(rest, F.lit(1.0)) * F.col(own_share))
+
+    return rows.select("a", "b", "n", chance("own", "own_a", "target_left", "target_share").alias("target"), chance("n", "n_a", "left", "share").alias("background")), total
 
 
 def cross_entropy_rows(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -143,34 +160,58 @@ def cross_entropy_rows(docs: DataFrame, target: DataFrame) -> DataFrame:
     and gives all words the same share.
     """
     sc = docs.sparkSession.sparkContext
-    chosen = target_texts(docs, target)
-    vocabulary, all_words, own_words, tokens, own_tokens = both_counts(docs, chosen, WORD_SHARE, None, None)
-    shared = sc.broadcast(vocabulary)
-    pairs, all_pairs, own_pairs, _, _ = both_counts(docs, chosen, PAIR_SHARE, tokens, shared)
-    target_model, background = model(own_words, own_tokens, pairs, own_pairs), model(all_words, tokens, pairs, all_pairs)
-    tables = sc.broadcast((pairs, [tuple(t.astype(np.float32) for t in m) for m in (target_model, background)]))
+    losses, total = pair_losses(docs, target_texts(docs, target))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, after = (batch.column(c).to_numpy().view(np.uint64) for c in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(pair_keys(before, after).view(np.int64)), *batch.columns[2:]], ["key", "n", "target", "background"])
+
+    losses = stage(losses.mapInArrow(keyed, "key long, n long, target double, background double"), "crossentropy-losses")
+    often = F.col("n") >= HOT_PAIR * total
+    hot = losses.where(often).select("key", "target", "background").toPandas()
+    keys = hot["key"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    shared = sc.broadcast((keys[order], *(hot[c].to_numpy(dtype=np.float32)[order] for c in ("target", "background"))))
+
+    def parts(column: pa.Array) -> Iterator[tuple]:
+        """Rows from, to, number of words, text of each word, bigram keys, places in the hot table and whether there."""
+        hasher, known = Hasher(), shared.value[0]
+        for begin, end, data, offsets in text_blocks(column):
+            tokens, first = hasher.words(data, offsets)
+            bigrams = pair_keys(contexts_of(tokens, first), tokens)
+            at = np.minimum(np.searchsorted(known, bigrams), max(0, len(known) - 1))
+            there = known[at] == bigrams if len(known) else np.zeros(len(bigrams), dtype=bool)
+            yield begin, end, np.diff(first), np.repeat(np.arange(end - begin), np.diff(first)), bigrams, at, there
+
+    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = batch.column(1).to_numpy()
+            for begin, _, _, owner, bigrams, _, there in parts(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(prints[begin + owner[~there]]), pa.array(bigrams[~there].view(np.int64))], ["print", "key"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, words = Hasher(), shared.value
-        known, models = tables.value
+        _, *models = shared.value
         for batch in batches:
-            for begin, end, data, offsets in text_blocks(batch.column(1)):
-                hashes, first = hasher.words(data, offsets)
-                places = word_places(hashes, words)
-                at, keys = pair_keys(places, first, len(words))
-                entry = word_places(keys, known)
-                owner, sizes = np.repeat(np.arange(end - begin), np.diff(first)), np.diff(first)
-                follows = np.ones(len(places), dtype=bool)
-                follows[first[:-1][first[:-1] < len(places)]] = False
-                previous = np.concatenate([[0], places[:-1]])[: len(places)]
-                losses = []
-                for share, left, pair in models:
-                    logs = share[places] + np.where(follows, left[previous], 0)
-                    has = entry < len(known)
-                    logs[at[has]] = pair[entry[has]]
-                    losses.append(-np.bincount(owner, logs, end - begin) / np.maximum(sizes, 1))
-                columns = [batch.column(0).slice(begin, end - begin), pa.array(sizes.astype(np.int64)), pa.array(losses[0]), pa.array(losses[1]), pa.array(losses[0] - losses[1])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    types = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(score, types)
+            prints = batch.column(2).to_numpy()
+            for begin, end, sizes, owner, _, at, there in parts(batch.column(1)):
+                sums = [np.bincount(owner[there], m[at[there]], end - begin).astype(np.float64) for m in models]
+                open_ = np.bincount(owner[~there], minlength=end - begin)
+                # A text that is done needs no partner; it gets a key of its own, so that many such don't meet in one task.
+                own = np.where(open_ > 0, prints[begin:end], mix(np.arange(begin, end).astype(np.uint64) ^ prints[begin:end].view(np.uint64)).view(np.int64))
+                columns = [batch.column(0).slice(begin, end - begin), pa.array(own), pa.array(sizes.astype(np.int64)), pa.array(open_), *map(pa.array, sums)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "print", "n_tokens", "open", "own_target", "own_background"])
+
+    # Rows with the same text have the same losses, so texts are named by their hash. Copies add up and are divided again.
+    text, name = F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("print")
+    asked = docs.select(text, name).mapInArrow(rare, "print long, key long")
+    found = asked.join(losses.where(~often).drop("n"), "key").groupBy("print").agg(F.count("*").alias("met"), F.sum("target").alias("target"), F.sum("background").alias("background"))
+    types = "doc_id long, print long, n_tokens long, open long, own_target double, own_background double"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, name).mapInArrow(score, types).join(found, "print", "left")
+
+    def loss(model: str) -> Column:
+        others = F.when(F.col("open") > 0, F.col(model) * F.col("open") / F.col("met")).otherwise(0.0)
+        return (0.0 - F.col(f"own_{model}") - others) / F.greatest("n_tokens", F.lit(1))
+
+    out = rows.select("doc_id", "n_tokens", loss("target").alias("target_loss"), loss("background").alias("background_loss"))
+    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))

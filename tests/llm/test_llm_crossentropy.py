@@ -71,3 +71,20 @@ def test_awkward(awkward, empty, labels):
     assert all(math.isfinite(r.score) for r in rows)
     assert all(math.isfinite(r.score) for r in ce.cross_entropy_rows(awkward, labels.where("quality = 7")).collect())
     assert ce.cross_entropy_rows(empty, labels).count() == 0
+
+
+@pytest.mark.parametrize("hot", [(4e-6, 5e-7), (2.0, 2.0)])
+def test_rare_words_count_at_every_size(spark, monkeypatch, hot):
+    """A word that is less than a millionth of all tokens still tells its documents from others."""
+    monkeypatch.setattr(ce, "HOT_WORD", hot[0])
+    monkeypatch.setattr(ce, "HOT_PAIR", hot[1])
+    filler = " ".join(f"w{i % 50}" for i in range(60_000))
+    rows = [(i, filler) for i in range(40)] + [(100, "rare seldom"), (101, "rare seldom"), (102, "scarce unusual"), (102, "scarce unusual")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    target = {0, 1, 2, 100}
+    out = ce.cross_entropy_rows(docs, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()
+    assert len(out) == len(rows)
+    got, want = {r.doc_id: r for r in out}, plain([(i if k < 43 else 103, t) for k, (i, t) in enumerate(rows)], target)
+    for i in (0, 100, 101, 102):
+        assert (got[i].target_loss, got[i].background_loss) == (pytest.approx(want[i][1], rel=1e-4), pytest.approx(want[i][2], rel=1e-4))
+    assert got[100].score < got[102].score
