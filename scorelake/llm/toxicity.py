@@ -2,8 +2,8 @@
 
 A word is the bag of its character n-grams (3 to 6 bytes, word borders included), hashed into rows of one embedding
 table; a misspelling shares most of them with the word it distorts. A window of words averages their embeddings, and a
-linear softmax over two classes reads the average. A text is as toxic as its most toxic window, so a long text doesn't
-dilute a few words. In training, each text passes its error to that window only, after some rounds over whole texts.
+linear softmax over two classes reads the average. Windows begin at every word. A text is as toxic as its most toxic
+window, so a long text doesn't dilute a few words. In training, each text passes its error to that window only, after some rounds over whole texts.
 
 As averaging is linear, each n-gram can be scored before the average: a fitted model ships as one number a row.
 """
@@ -79,27 +79,39 @@ class Grams:
         return total / np.maximum(count, 1)
 
 
-def windows_of(owner: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where each window of words begins, and its text; a text's last window may be shorter."""
-    first = np.searchsorted(owner, np.arange(texts + 1))
-    begin = np.flatnonzero((np.arange(len(owner)) - first[owner]) % WINDOW == 0)
-    return begin, owner[begin]
+class Windows:
+    """Windows of ``WINDOW`` words of one text, one from each word on; a text with fewer words has one, of all its words.
 
-
-def word_shares(names: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """Weight of each word in its window's average: 1 / WINDOW, and none where the window has had the word already.
-
-    A word said over and over says no more than said once, and a short last window is averaged as if padded.
+    ``begin`` and ``text`` have each window's first word and its text. In its average each word weighs 1 / WINDOW, and
+    nothing where the window has had the word already: a word said over and over says no more than said once, and a
+    short text is averaged as if padded.
     """
-    window = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(names))))
-    order = np.lexsort((names, window))
-    again = np.zeros(len(names), dtype=bool)
-    again[order[1:]] = (names[order[1:]] == names[order[:-1]]) & (window[order[1:]] == window[order[:-1]])
-    return np.where(again, 0, 1 / WINDOW)
-
 
-def window_sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, begin) if len(begin) else np.zeros(0)
+    def __init__(self, owner: np.ndarray, names: np.ndarray, texts: int) -> None:
+        first = np.searchsorted(owner, np.arange(texts + 1))
+        place = np.arange(len(owner))
+        last = np.maximum(first[1:] - WINDOW, first[:-1])
+        self.begin = np.flatnonzero(place <= last[owner])
+        self.text = owner[self.begin]
+        order = np.lexsort((place, names, owner))
+        before = np.full(len(owner), -1)
+        again = np.flatnonzero((names[order[1:]] == names[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]]))
+        before[order[again + 1]] = order[again]
+        # The windows, as running numbers, that count a word: those that reach it and begin after it was said before.
+        low = np.maximum(np.maximum(place - WINDOW, before) + 1, first[owner])
+        high = np.minimum(place, last[owner]) + 1
+        rank = np.concatenate([[0], np.cumsum(place <= last[owner])])
+        self.low, self.high = rank[np.minimum(low, high)], rank[high]
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        """Weighted sum of word values in each window."""
+        steps = np.bincount(self.low, values, len(self.begin) + 1) - np.bincount(self.high, values, len(self.begin) + 1)
+        return np.cumsum(steps)[:-1] / WINDOW
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """What each word gets from the windows that count it, by its weight."""
+        total = np.concatenate([[0], np.cumsum(values)])
+        return (total[self.high] - total[self.low]) / WINDOW
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -141,8 +153,7 @@ class Bags:
         self.owner = np.concatenate(owners or [order])
         self.rows, self.bag = np.concatenate(rows), np.concatenate(bags)
         self.sizes = np.bincount(self.bag, minlength=count)
-        self.begin, self.window_text = windows_of(self.owner, len(texts))
-        self.shares = word_shares(names, self.begin)
+        self.windows = Windows(self.owner, names, len(texts))
         # N-grams in too few texts have no row; they keep their share of a bag, with nothing in it.
         kept = held[self.rows] >= LEAST_TEXTS
         self.used, self.rows = np.unique(self.rows[kept], return_inverse=True)
@@ -160,30 +171,34 @@ def fit(texts: list[str], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     table = random.uniform(-1, 1, (len(bags.used), EMBEDDING)) / EMBEDDING
     weights, bias = random.uniform(-1, 1, (2, EMBEDDING)) / EMBEDDING, np.zeros(2)
     share = 1 / np.maximum(bags.sizes, 1)
-    owner, lengths = bags.window_text, np.diff(np.append(bags.begin, len(bags.owner)))
-    in_text = np.maximum(np.bincount(owner, lengths, len(texts)), 1)
-    filled = np.bincount(owner, minlength=len(texts)) > 0
+    owner = bags.windows.text
+    in_text = np.bincount(owner, minlength=len(texts))
+    filled = in_text > 0
     heads = np.flatnonzero(np.diff(np.concatenate([[-1], owner])))
+    # Neighbouring windows share most words, so they are hidden by runs.
+    run = (np.arange(len(owner)) - heads[np.cumsum(np.isin(np.arange(len(owner)), heads)) - 1]) // WINDOW if len(owner) else owner
+    run = np.cumsum(np.concatenate([[False], (run[1:] != run[:-1]) | (owner[1:] != owner[:-1])])) if len(owner) else run
     cost = np.where(toxic == 1, 0.5 / max(1, (toxic == 1).sum()), 0.5 / max(1, (toxic == 0).sum()))
     past = [(np.zeros_like(v), [0.0]) for v in (table, weights, bias)]
     logit = np.zeros(len(texts))
     for turn in range(WARM_ROUNDS + ROUNDS):
         way = weights[1] - weights[0]
         by_word = np.bincount(bags.bag, (table @ way)[bags.rows], len(share)) * share
-        sums = window_sums(by_word[bags.kind] * bags.shares, bags.begin)
+        sums = bags.windows.sums(by_word[bags.kind])
         logit = np.zeros(len(texts))
         if turn < WARM_ROUNDS:
-            part = lengths / in_text[owner]
+            part = 1 / in_text[owner]
             logit = np.bincount(owner, sums * part, len(texts))
         else:
             # Some windows are hidden in turn, so that each toxic word has to tell for itself now and then.
-            visible = np.where((random.random(len(sums)) < HIDE) & (turn < WARM_ROUNDS + ROUNDS - 1), -np.inf, sums)
+            hidden = random.random(int(run[-1]) + 1 if len(run) else 0) < HIDE
+            visible = np.where(hidden[run] & (turn < WARM_ROUNDS + ROUNDS - 1), -np.inf, sums)
             logit[filled] = np.maximum.reduceat(visible, heads) if len(heads) else 0
             logit[np.isinf(logit)] = 0
             top = visible == logit[owner]
             part = top / np.maximum(np.bincount(owner, top, len(texts))[owner], 1)
         error = cost * (sigmoid(logit + bias[1] - bias[0]) - toxic)
-        pull = np.repeat(error[owner] * part, lengths) * bags.shares
+        pull = bags.windows.spread(error[owner] * part)
         by_kind = np.bincount(bags.kind, pull, len(share)) * share
         by_row = np.bincount(bags.rows, by_kind[bags.bag], len(table))
         slope = by_row @ table
@@ -233,7 +248,7 @@ def fitted(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 
 
 def runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """Parts of a block's bytes; a long text is cut between words into parts of its own, which may split a window."""
+    """Parts of a block's bytes; a long text is cut between words into parts of its own."""
     if len(data) <= 2 * RUN_BYTES or len(offsets) > 2:
         yield data, offsets
         return
@@ -246,6 +261,26 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np
         at = end
 
 
+def highest(parts: Iterator[tuple[np.ndarray, np.ndarray]], texts: int, table: np.ndarray) -> np.ndarray:
+    """Sum of each text's most toxic window, 0 without words. Parts of a long text overlap by all but one word of a window."""
+    top, held = np.full(texts, -np.inf), [np.zeros(0), np.zeros(0), np.zeros(0, dtype=np.int64)]
+    seen = 0
+    for part, cuts in parts:
+        grams = Grams(part, cuts)
+        seen += grams.words
+        values, names, owner = (np.concatenate(p) for p in zip(held, (grams.word_means(table), grams.names, grams.owner)))
+        held = [values, names, owner]
+        # One text alone may go on in another part; windows need all their words.
+        if texts > 1 or len(values) >= WINDOW:
+            windows = Windows(owner, names, texts)
+            np.maximum.at(top, windows.text, windows.sums(values))
+            held = [v[max(0, len(v) - WINDOW + 1) :] for v in held]
+    if texts == 1 and 0 < seen < WINDOW:
+        windows = Windows(held[2], held[1], 1)
+        top[0] = windows.sums(held[0]).max()
+    return np.where(np.isinf(top), 0, top)
+
+
 def score_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of ``docs``, repeated rows too.
 
@@ -261,12 +296,7 @@ def score_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             out = np.zeros(batch.num_rows)
             for first, end, data, offsets in text_blocks(batch.column(2), RUN_BYTES):
-                top = np.full(end - first, -np.inf)
-                for part, cuts in runs(data, offsets):
-                    grams = Grams(part, cuts)
-                    begin, owner = windows_of(grams.owner, len(cuts) - 1)
-                    np.maximum.at(top, owner, window_sums(grams.word_means(table) * word_shares(grams.names, begin), begin))
-                out[first:end] = np.where(np.isinf(top), 0, top)
+                out[first:end] = highest(runs(data, offsets), end - first, table)
             scores = sigmoid(out + bias)
             columns = [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "score", "predicted"])

@@ -58,3 +58,44 @@ def test_one_class_and_empty(spark, awkward, empty, no_labels):
 def test_awkward(awkward, labels):
     rows = toxicity.score_rows(awkward, labels).collect()
     assert len(rows) == awkward.count() and all(0 <= r.score <= 1 for r in rows)
+
+
+def plain_top(values, names):
+    """Largest window sum by a loop over all windows of one text."""
+    best = []
+    for i in range(max(1, len(values) - toxicity.WINDOW + 1)):
+        own = {}
+        for v, n in zip(values[i : i + toxicity.WINDOW], names[i : i + toxicity.WINDOW]):
+            own.setdefault(n, v)
+        best.append(sum(own.values()) / toxicity.WINDOW)
+    return max(best)
+
+
+def test_windows_begin_at_every_word():
+    """Words on both sides of a multiple of the window's size are in one window, and a word put before changes nothing."""
+    rng = np.random.default_rng(2)
+    sizes = [1, 3, 16, 17, 40, 200]
+    owner, names = np.repeat(np.arange(len(sizes)), sizes), rng.integers(0, 30, sum(sizes)).astype(float)
+    values = rng.normal(size=40)[names.astype(int)]
+    windows = toxicity.Windows(owner, names, len(sizes))
+    top = np.full(len(sizes), -np.inf)
+    np.maximum.at(top, windows.text, windows.sums(values))
+    assert top == pytest.approx([plain_top(values[owner == k], names[owner == k]) for k in range(len(sizes))])
+    given = rng.normal(size=len(windows.begin))
+    assert (windows.spread(given) * values).sum() == pytest.approx((windows.sums(values) * given).sum())
+
+    table = np.zeros(1 << toxicity.ROWS_BITS, dtype=np.float32)
+    for rows, _ in toxicity.Grams(np.frombuffer(b"scum idiot", dtype=np.uint8), np.array([0, 10])).parts:
+        table[rows] = 1
+    text = lambda t: toxicity.highest([(np.frombuffer(t, dtype=np.uint8), np.array([0, len(t)]))], 1, table)[0]
+    tops = [text(b"zz " * n + b"scum qq idiot " + b"zz " * 30) for n in range(32)]
+    assert min(tops) == pytest.approx(max(tops)) and min(tops) > 1.5 / toxicity.WINDOW
+
+
+def test_runs_of_a_long_text_overlap(monkeypatch):
+    text = np.frombuffer(b" ".join(b"%x" % (i * i % 9973) for i in range(3000)), dtype=np.uint8)
+    table = np.random.default_rng(1).normal(size=1 << toxicity.ROWS_BITS).astype(np.float32)
+    whole = toxicity.highest([(text, np.array([0, len(text)]))], 1, table)
+    monkeypatch.setattr(toxicity, "RUN_BYTES", 40)
+    parts = list(toxicity.runs(text, np.array([0, len(text)])))
+    assert len(parts) > 100 and toxicity.highest(parts, 1, table) == pytest.approx(whole)
