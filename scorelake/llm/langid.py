@@ -24,8 +24,8 @@ DIMENSIONS = 512
 LETTER_ROWS = 1024
 BLOCK_TEXTS = 256
 BLOCK_CHARS = 1 << 20
-#: A text gives each of its trigrams this much weight in all, in whole parts.
-TEXT_WEIGHT = 1 << 20
+#: A text gives its trigrams this much weight in all, in whole parts, whatever its length.
+TEXT_WEIGHT = 1 << 30
 #: Alphabet cubes up to this size are counted by a table, larger ones by sorting.
 CUBE = 1 << 22
 #: Fewer trigrams do not show that a text is in no learned language.
@@ -102,6 +102,13 @@ def pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+def whole_shares(counts: np.ndarray) -> np.ndarray:
+    """``TEXT_WEIGHT`` of each row split by its counts: running totals are rounded down, so what rounding leaves goes on
+    to the next trigram and all of it is given."""
+    running = np.cumsum(counts, axis=1)
+    return np.diff(running * TEXT_WEIGHT // np.maximum(1, running[:, -1:]), axis=1, prepend=0)
+
+
 def fit_prototypes(rows: DataFrame, text: str, label: str, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
     """Sum of the trigram vectors of all rows of each label, each text with the same weight.
 
@@ -117,16 +124,16 @@ def fit_prototypes(rows: DataFrame, text: str, label: str, dimensions: int = DIM
                 codes, counts = binder.counts(texts[first:end])
                 if not len(codes):
                     continue
-                weighted = counts * (TEXT_WEIGHT // np.maximum(1, counts.sum(axis=1)))[:, None]
+                weighted = whole_shares(counts)
                 own = np.array(names[first:end], dtype=object)
                 kinds = sorted(set(own))
                 by_kind = np.stack([weighted[own == k].sum(axis=0) for k in kinds]).astype(np.float64)
                 vectors = by_kind @ binder.vectors(codes).astype(np.float64)
                 for k, v in zip(kinds, vectors):
-                    sums[k] = sums.get(k, 0) + v
+                    sums[k] = sums.get(k, 0) + v.astype(np.int64)
         for k, v in sums.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k] * dimensions), pa.array(range(dimensions), pa.int32()), pa.array(v.astype(np.int64))],
+                [pa.array([k] * dimensions), pa.array(range(dimensions), pa.int32()), pa.array(v)],
                 ["label", "place", "value"],
             )
 
@@ -213,7 +220,7 @@ def keep_languages(docs: DataFrame, dimensions: int = DIMENSIONS) -> DataFrame:
     nothing can be learned, and only texts without letters go.
     """
     prototypes = fit_prototypes(docs.where(~held_out(F.col("doc_id"), 5, 0)), "text", "lang", dimensions)
-    if not prototypes:
+    if not any(np.any(v) for v in prototypes.values()):
         return docs.where(F.col("text").rlike(r"\p{L}"))
     make, at = labeller(prototypes, dimensions), docs.columns.index("text")
     floor = 3 / dimensions**0.5

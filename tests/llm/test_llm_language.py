@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from scorelake.llm import langid
@@ -51,3 +52,23 @@ def test_foreign_script_is_rejected(spark):
     odd = [(100, "".join(chr(0x0E01 + (i * 7919) % 46) for i in range(900)), "en", "s", 1)]
     rows = spark.createDataFrame(good + [(100, odd[0][1], None, "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
     assert 100 not in {r.doc_id for r in langid.keep_languages(rows).collect()}
+
+
+def test_long_texts_count_as_short_ones(spark, monkeypatch):
+    """A text of more trigrams than it has weight for each, as all of its language may be."""
+    monkeypatch.setattr(langid, "LEAST_TRIGRAMS", 3)
+    words = {"en": "the cat sat on the mat and then ran ", "xx": "zuqo vexi wyju kobri plano gwerti "}
+    rows = [(i, w * 40_000, k) for i, (k, w) in enumerate([(k, w) for k, w in words.items()] * 4)]
+    rows += [(100 + i, w * 3, None) for i, w in enumerate(words.values())]
+    docs = spark.createDataFrame([(i, t, k, "s", 1) for i, t, k in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    by = {r.doc_id: r.lang_pred for r in langid.language_rows(docs).collect()}
+    assert (by[100], by[101]) == ("en", "xx")
+    assert {r.doc_id for r in langid.keep_languages(docs).collect()} == {i for i, _, _ in rows}
+
+
+def test_a_text_gives_all_its_weight():
+    counts = np.array([[0, 1, 0, 2, 10**6, 3], [5, 0, 0, 0, 0, 2], [0, 0, 0, 0, 0, 0], [1, 1, 1, 3 * 10**9, 0, 1]], dtype=np.int64)
+    got = langid.whole_shares(counts)
+    assert got.sum(axis=1).tolist() == [langid.TEXT_WEIGHT, langid.TEXT_WEIGHT, 0, langid.TEXT_WEIGHT]
+    exact = counts * langid.TEXT_WEIGHT / np.maximum(1, counts.sum(axis=1))[:, None]
+    assert np.abs(got - exact).max() <= 1 and (got[counts == 0] == 0).all()
