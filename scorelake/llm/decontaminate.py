@@ -5,6 +5,10 @@ those of benchmark items. Windows that lie at the same distance belong to one al
 enough, the values behind its placeholders must map one to one from item to document: then the document holds the item,
 as it is or re-parameterised.
 
+A window of few literal tokens is matched by its values instead of its placeholders: it tells of exact copies only. Items
+shorter than a window are one window of their own size, looked for in all documents from ``LEAST_LITERALS`` tokens on;
+shorter ones are common phrases, so they match whole documents only.
+
 A token is a run of letters, digits and non-ASCII bytes. A token with a digit is a number. A unit is a token of
 ``UNITS`` after a number. A name is a token within a sentence with a capital letter before a small one, so text in
 capitals has none. All else counts lower-cased (ASCII and Latin-1 letters).
@@ -26,7 +30,7 @@ from scorelake.llm.blocks import Hasher, bitmap, in_bitmap, mix, shingles, spans
 from scorelake.session import ship_by_value, stage
 
 WINDOW = 8
-#: A window with fewer literal tokens says too little.
+#: A window with fewer literal tokens says too little as a template.
 LEAST_LITERALS = 4
 #: An alignment is a leak from this many windows (13 tokens in a row), or from this share of the item's windows.
 LEAST_WINDOWS, LEAST_SHARE = 6, 0.5
@@ -83,41 +87,50 @@ class Templates:
         template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, plain)))
         return plain, template, ~(number | unit | name), first
 
-    def windows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Text, position and hash of every window that says enough; and the tokens' literal hashes and kinds."""
+    def windows(self, data: np.ndarray, offsets: np.ndarray, sizes: list[int], whole: bool) -> Iterator[tuple[np.ndarray, ...]]:
+        """For each size: text, position and hash of every window, its size, whether it is matched as a template, and its
+        values. Sizes under ``WINDOW`` are those of short items; with ``whole``, they are cut from texts of that size only."""
         plain, template, literal, first = self.tokens(data, offsets)
-        hashes, at, begin = shingles(mix(template), first, WINDOW)
-        owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
-        length = np.minimum(WINDOW, first[owner + 1] - at)
-        seen = np.concatenate([[0], np.cumsum(literal)])
-        enough = seen[at + length] - seen[at] >= np.minimum(LEAST_LITERALS, length)
-        return owner[enough], at[enough], hashes[enough], length[enough], plain, literal, first
-
-
-def window_rows(table: DataFrame, key: str, bits: np.ndarray | None) -> DataFrame:
-    """``key, pos, window, slots, total``: windows (those that ``bits`` lets through), the values behind their
-    placeholders in order, and how many windows the text has."""
+        seen, tokens = np.concatenate([[0], np.cumsum(literal)]), np.diff(first)
+        for size in (WINDOW, *sizes):
+            fits = tokens == size if size < WINDOW and (whole or size < LEAST_LITERALS) else tokens >= size
+            if not fits.any():
+                continue
+            hashes, at, begin = shingles(mix(template), first, size)
+            exact = shingles(mix(plain), first, size)[0]
+            owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+            own = fits[owner]
+            owner, at, hashes, exact = owner[own], at[own], hashes[own], exact[own]
+            strong = seen[at + size] - seen[at] >= min(LEAST_LITERALS, size)
+            hashes = np.where(strong, hashes, exact)
+            yield owner, at, hashes if size == WINDOW else mix(hashes + np.uint64(size)), size, strong, plain, literal, first
+
+
+def window_rows(table: DataFrame, key: str, sizes: list[int], bits: np.ndarray | None) -> DataFrame:
+    """``key, print, pos, window, strong, slots, size``: windows (those that ``bits`` lets through), whether they match as
+    templates, and the values behind their placeholders in order (none for the others); ``print`` names the text."""
     shared = None if bits is None else table.sparkSession.sparkContext.broadcast(bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates()
         for batch in batches:
-            for begin, _, data, offsets in text_blocks(batch.column(1)):
-                owner, at, hashes, length, plain, literal, first = templates.windows(data, offsets)
-                totals = np.bincount(owner, minlength=len(offsets) - 1)
-                if shared is not None:
-                    hit = in_bitmap(shared.value, hashes)
-                    owner, at, hashes, length = owner[hit], at[hit], hashes[hit], length[hit]
-                if not len(owner):
-                    continue
-                slots = [plain[p : p + n][~literal[p : p + n]].view(np.int64) for p, n in zip(at, length)]
-                ends = np.concatenate([[0], np.cumsum([len(s) for s in slots])])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(slots)))
-                columns = [batch.column(0).take(pa.array(owner + begin)), pa.array(at - first[owner]), pa.array(hashes.view(np.int64)), lists, pa.array(totals[owner])]
-                yield pa.RecordBatch.from_arrays(columns, [key, "pos", "window", "slots", "total"])
-
-    types = f"{key} long, pos long, window long, slots array<long>, total long"
-    return table.select(F.col(key).cast("long").alias(key), F.col("text").cast("string").alias("text")).mapInArrow(cut, types)
+            for begin, _, data, offsets in text_blocks(batch.column(2)):
+                for owner, at, hashes, size, strong, plain, literal, first in templates.windows(data, offsets, sizes, shared is None):
+                    if shared is not None:
+                        hit = in_bitmap(shared.value, hashes)
+                        owner, at, hashes, strong = owner[hit], at[hit], hashes[hit], strong[hit]
+                    if not len(owner):
+                        continue
+                    slots = [plain[p : p + size][~literal[p : p + size] & s].view(np.int64) for p, s in zip(at, strong)]
+                    ends = np.concatenate([[0], np.cumsum([len(v) for v in slots])])
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(slots)))
+                    rows = pa.array(owner + begin)
+                    columns = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(at - first[owner]), pa.array(hashes.view(np.int64)), pa.array(strong), lists, pa.array(np.full(len(at), size))]
+                    yield pa.RecordBatch.from_arrays(columns, [key, "print", "pos", "window", "strong", "slots", "size"])
+
+    types = f"{key} long, print long, pos long, window long, strong boolean, slots array<long>, size long"
+    text = F.col("text").cast("string")
+    return table.select(F.col(key).cast("long").alias(key), F.xxhash64(text).alias("print"), text.alias("text")).mapInArrow(cut, types)
 
 
 def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -126,15 +139,22 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A group here is one item at one place of one document, so it has no more rows than the item has windows (times the
     repeated rows of a doc_id).
     """
-    items = stage(window_rows(benchmark, "item_id", None), "decontaminate-items")
+    items = stage(window_rows(benchmark, "item_id", list(range(1, WINDOW)), None), "decontaminate-items")
+    sizes = sorted(r["size"] for r in items.where(F.col("size") < WINDOW).select("size").distinct().collect())
     bits = bitmap(items, F.col("window"))
-    ours = items.select("item_id", F.col("pos").alias("item_pos"), "window", F.col("slots").alias("asked"), "total")
-    hits = window_rows(docs, "doc_id", bits).drop("total").join(ours, "window")
+    counts = items.groupBy("item_id", "print").agg(F.countDistinct("pos").alias("total"), F.countDistinct(F.when(F.col("strong"), F.col("pos"))).alias("strong_total"))
+    counts = counts.select(F.col("item_id").alias("of"), F.col("print").alias("item_print"), "total", "strong_total")
+    ours = items.select("item_id", F.col("print").alias("item_print"), F.col("pos").alias("item_pos"), "window", F.col("strong").alias("item_strong"), F.col("slots").alias("asked"))
+    hits = window_rows(docs, "doc_id", sizes, bits).join(ours, "window")
     pairs = F.flatten(F.collect_set(F.arrays_zip("asked", "slots")))
-    found = hits.groupBy("doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.countDistinct("item_pos").alias("windows"), F.first("total").alias("total"), F.array_distinct(pairs).alias("pairs")
+    found = hits.groupBy("doc_id", "item_id", "item_print", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+        F.countDistinct("item_pos").alias("windows"),
+        F.countDistinct(F.when(F.col("item_strong"), F.col("item_pos"))).alias("strong_windows"),
+        F.array_distinct(pairs).alias("pairs"),
     )
-    enough = (F.col("windows") >= LEAST_WINDOWS) | (F.col("windows") >= F.col("total") * LEAST_SHARE)
+    found = found.join(counts, found["item_id"].eqNullSafe(counts["of"]) & (found["item_print"] == counts["item_print"]))
+    half = lambda part, total: F.col(part) >= F.col(total) * LEAST_SHARE
+    enough = (F.col("windows") >= LEAST_WINDOWS) | half("windows", "total") | ((F.col("strong_total") > 0) & half("strong_windows", "strong_total"))
     size = F.size("pairs")
     one_to_one = (F.size(F.array_distinct(F.col("pairs.asked"))) == size) & (F.size(F.array_distinct(F.col("pairs.slots"))) == size)
     changed = F.exists("pairs", lambda p: p["asked"] != p["slots"])
@@ -152,7 +172,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def leak_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, item_id, windows, items, changed of every row of ``docs``, repeated rows too.
 
-    Texts that are null, empty or shorter than a window match only a whole item of the same length; items without tokens
+    Items of fewer than ``LEAST_LITERALS`` tokens match only a document of the same length; texts and items without tokens
     match nothing. Rows with the same doc_id share what any of them has; rows with a null doc_id too. Empty tables give
     no rows, or no leaks. Columns other than doc_id, item_id and text are not read.
     """

@@ -61,3 +61,24 @@ def test_awkward(spark, awkward, empty):
     none = spark.createDataFrame([], BENCH)
     assert decontaminate.without_leaks(awkward, none).count() == awkward.count()
     assert decontaminate.leak_rows(empty, bench).count() == 0
+
+
+def test_items_of_few_literals(spark):
+    """Exact copies of sums, dates and names; other values are not the item."""
+    sums = "12 plus 7 is 19 and 4 plus 8 is 12 and 3 plus 3 is 6"
+    dates = "1914 1918 1939 1945 1961 1989 1990 1991 2001 2008 2014 2020"
+    names = "so Anna Berta Carla Dora Emil Frida Gustav Hanna Ida Jonas Karla Linus"
+    bench = [(1, sums), (2, dates), (3, names)]
+    text = lambda x: f"some words go before the copy {x} and others follow it here"
+    got = flags(spark, [text(dates), text(names), text(sums), text(" ".join(str(3000 + i) for i in range(12)))], bench)
+    assert [got[i].item_id for i in range(4)] == [2, 3, 1, None]
+    # Windows of few literals don't raise what a re-parameterised copy has to reach.
+    mixed = "please count all of these apples 1 2 3 4 5 6 7 8 9 10 11 12 13 14"
+    other = mixed.replace("1 2 3", "21 22 23")
+    assert flags(spark, [other], [(4, mixed)])[0].contaminated
+
+
+def test_short_items_in_longer_texts(spark):
+    bench = [(1, "who wrote this odd poem"), (2, "why not")]
+    got = flags(spark, ["they asked me who wrote this odd poem last night at home", "who wrote this odd poem", "so why not go there and see for yourself", "why not", "who wrote that odd poem"], bench)
+    assert [got[i].item_id for i in range(5)] == [1, 1, None, 2, None]
