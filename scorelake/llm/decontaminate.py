@@ -3,7 +3,7 @@
 Numbers, names and units become typed placeholders; runs of ``WINDOW`` template tokens of documents are hash-joined with
 those of benchmark items. Windows that lie at the same distance belong to one alignment. Where an alignment covers
 enough, the values behind its placeholders must map one to one from item to document: then the document holds the item,
-as it is or re-parameterised.
+as it is or re-parameterised. Many windows with unchanged values are a leak without that test.
 
 A window of few literal tokens is matched by its values instead of its placeholders: it tells of exact copies only. Items
 shorter than a window are one window of their own size, looked for in all documents from ``LEAST_LITERALS`` tokens on;
@@ -34,6 +34,8 @@ WINDOW = 8
 LEAST_LITERALS = 4
 #: An alignment is a leak from this many windows (13 tokens in a row), or from this share of the item's windows.
 LEAST_WINDOWS, LEAST_SHARE = 6, 0.5
+#: So many windows with unchanged values (23 tokens in a row) are a leak whatever the values elsewhere do.
+LEAST_VERBATIM = 2 * WINDOW
 UNITS = (
     "mm", "cm", "m", "km", "mg", "g", "kg", "t", "ml", "l", "s", "ms", "min", "h", "hr", "hrs", "kb", "mb", "gb", "tb", "hz", "khz", "mhz", "ghz", "w", "kw", "mw", "v", "a", "j", "kj", "pa", "kpa", "bar", "c", "f", "k", "inch",
     "inches", "ft", "feet", "foot", "yd", "yards", "mile", "miles", "oz", "lb", "lbs", "pound", "pounds", "ton", "tons", "meter", "meters", "metre", "metres", "liter", "liters", "litre", "litres", "gram", "grams", "second", "seconds",
@@ -136,8 +138,8 @@ def window_rows(table: DataFrame, key: str, sizes: list[int], bits: np.ndarray |
 def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, shift, windows, total, changed``: leaks, by how far the item is moved in the document.
 
-    A group here is one item at one place of one document, so it has no more rows than the item has windows (times the
-    repeated rows of a doc_id).
+    A group here is one item at one place of one text, so it has no more rows than the item has windows (times the
+    repeated rows of a text); other rows of the same doc_id, or without one, don't mix into it.
     """
     items = stage(window_rows(benchmark, "item_id", list(range(1, WINDOW)), None), "decontaminate-items")
     sizes = sorted(r["size"] for r in items.where(F.col("size") < WINDOW).select("size").distinct().collect())
@@ -147,9 +149,10 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ours = items.select("item_id", F.col("print").alias("item_print"), F.col("pos").alias("item_pos"), "window", F.col("strong").alias("item_strong"), F.col("slots").alias("asked"))
     hits = window_rows(docs, "doc_id", sizes, bits).join(ours, "window")
     pairs = F.flatten(F.collect_set(F.arrays_zip("asked", "slots")))
-    found = hits.groupBy("doc_id", "item_id", "item_print", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    found = hits.groupBy("doc_id", "print", "item_id", "item_print", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.countDistinct("item_pos").alias("windows"),
         F.countDistinct(F.when(F.col("item_strong"), F.col("item_pos"))).alias("strong_windows"),
+        F.countDistinct(F.when(F.col("asked") == F.col("slots"), F.col("item_pos"))).alias("verbatim"),
         F.array_distinct(pairs).alias("pairs"),
     )
     found = found.join(counts, found["item_id"].eqNullSafe(counts["of"]) & (found["item_print"] == counts["item_print"]))
@@ -158,7 +161,7 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     size = F.size("pairs")
     one_to_one = (F.size(F.array_distinct(F.col("pairs.asked"))) == size) & (F.size(F.array_distinct(F.col("pairs.slots"))) == size)
     changed = F.exists("pairs", lambda p: p["asked"] != p["slots"])
-    return found.where(enough & one_to_one).select("doc_id", "item_id", "shift", "windows", "total", changed.alias("changed"))
+    return found.where((enough & one_to_one) | (F.col("verbatim") >= LEAST_VERBATIM)).select("doc_id", "item_id", "shift", "windows", "total", changed.alias("changed"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

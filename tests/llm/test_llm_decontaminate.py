@@ -63,6 +63,20 @@ def test_awkward(spark, awkward, empty):
     assert decontaminate.leak_rows(empty, bench).count() == 0
 
 
+def test_unchanged_windows_are_evidence_of_their_own(spark):
+    """A long item copied word for word but for one occurrence of a repeated value; and rows that share an id, or none."""
+    middle = "while the mayor of that small river town opened one more bridge and thanked the engineers who had planned it for many long years before"
+    item = f"in 1990 the old mill was closed {middle} and nobody in 1990 spoke of the mill again"
+    bad = item.replace("in 1990 spoke", "in 1991 spoke")
+    got = flags(spark, [bad], [(3, item)])
+    assert got[0].contaminated and got[0].changed
+    short = "first take 5 stones from the box and then put 5 stones back into the box and count 7 in all"
+    twisted = short.replace("5 stones from", "9 stones from")
+    docs = spark.createDataFrame([(1, short), (1, twisted), (None, short), (None, twisted), (2, twisted)], "doc_id long, text string")
+    rows = decontaminate.leak_rows(docs, spark.createDataFrame([(3, short)], BENCH)).collect()
+    assert sorted((r.doc_id or 0, r.contaminated) for r in rows) == [(0, True), (0, True), (1, True), (1, True), (2, False)]
+
+
 def test_items_of_few_literals(spark):
     """Exact copies of sums, dates and names; other values are not the item."""
     sums = "12 plus 7 is 19 and 4 plus 8 is 12 and 3 plus 3 is 6"
