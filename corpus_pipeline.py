@@ -19,8 +19,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that stand on many sites (their first place keeps them)."""
-    return lines.cleaned(docs)
+    """All documents, without lines that stand on two sites and long ones in two documents (their first place keeps them)."""
+    return lines.cleaned(docs, long_copies=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

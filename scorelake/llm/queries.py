@@ -75,7 +75,7 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_rows(documents(spark, sf_dir))
+    return lines.line_rows(documents(spark, sf_dir), long_copies=True)
 
 
 TERMS = "|".join(urls.BLOCKED_TERMS)

@@ -63,3 +63,13 @@ def test_other_columns_stay(awkward):
     same = lines.cleaned(awkward, 10**6)
     order = [F.col(c).asc_nulls_first() for c in ("doc_id", "text", "source")]
     assert same.orderBy(*order).collect() == awkward.orderBy(*order).collect()
+
+
+def test_passages_within_one_site(spark):
+    passage, short = " ".join(f"word{i}" for i in range(50)), "a line of some words that is not a passage"
+    rows = [(i, f"start {i}\n{passage}\n{short}", "one") for i in range(4)] + [(9, f"{short} again", "one"), (10, f"{short} again", "two")]
+    rows += [(20, f"{passage} twice\n{passage} twice", "one"), (None, f"{passage}\nx", "one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in lines.cleaned(docs, long_copies=True).collect()}
+    assert got[0] == rows[0][1] and all(got[i] == f"start {i}\n{short}" for i in (1, 2, 3))
+    assert (got[9], got[10]) == (f"{short} again", "") and got[20] == f"{passage} twice\n{passage} twice" and got[None] == f"{passage}\nx"
