@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -14,6 +14,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scorelake.functions.decision import decision
+from scorelake.operators.boosting import BoostConfig, BoostingModel, fit_boosting
 from scorelake.operators.metrics import all_metrics, score_curve
 from scorelake.operators.prep import ZScaler, with_balanced_weight
 from scorelake.operators.smote import smote
@@ -55,32 +56,16 @@ def train_challenger(
 
 
 def train_boosted(
-    train: DataFrame,
-    cols: Sequence[str],
-    label: str = "label",
-    trees: int = 150,
-    depth: int = 6,
-    rate: float = 0.1,
-    rows: float = 0.8,
-    columns: float = 0.8,
-    min_rows: int = 2,
-    seed: int = 42,
+    train: DataFrame, cols: Sequence[str], row_id: str, label: str = "label", trees: int = 150, depth: int = 6, seed: int = 42
 ) -> PipelineModel:
-    """Boosted trees; positives weigh the whole-number class ratio. Inputs must be complete."""
-    n = train.agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")).first()
-    ratio = float(max(n.neg // n.pos, 1))
-    weighted = train.withColumn("_w", F.when(F.col(label) == 1, F.lit(ratio)).otherwise(F.lit(1.0)))
-    gbt = GBTClassifier(
-        featuresCol="_x", labelCol=label, weightCol="_w", maxIter=trees, maxDepth=depth, stepSize=rate,
-        subsamplingRate=rows, featureSubsetStrategy=str(columns), minInstancesPerNode=min_rows, seed=seed,
-        cacheNodeIds=False,
-    )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="_x"), gbt]).fit(compact(weighted, n.pos + n.neg))
+    """Boosted trees; positives weigh the whole-number class ratio."""
+    fitted = fit_boosting(train, cols, label, row_id, BoostConfig(trees=trees, depth=depth, seed=seed))
+    return PipelineModel([BoostingModel(fitted)])
 
 
-def train_fallback(train: DataFrame, cols: Sequence[str], label: str = "label") -> PipelineModel:
+def train_fallback(train: DataFrame, cols: Sequence[str], row_id: str, label: str = "label") -> PipelineModel:
     """Light boosted trees on raw (median-filled) columns."""
-    return train_boosted(train, cols, label, trees=50, depth=4)
+    return train_boosted(train, cols, row_id, label, trees=50, depth=4)
 
 
 @dataclass

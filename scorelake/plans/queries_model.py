@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scorelake.operators import models, prep
+from scorelake.operators import boosting, models, prep
 from scorelake.operators.metrics import all_metrics, score_curve
 from scorelake.operators.registry import alias_state, assign_aliases
 from scorelake.operators.scorecard import fit_scorecard
+from scorelake.operators.split import stratified_split
 from scorelake.plans import fixtures as fx
 from scorelake.plans.catalog import query
 from scorelake.plans.scoring import read_requests, score_by_alias, score_rows
@@ -40,22 +41,86 @@ def _metrics(scored):
     return out.select(*[F.round(c, 4).alias(c) for c in ("auc", "gini", "ks", "pr_auc")], "tp", "fp", "fn", "tn")
 
 
+def _halves(spark, sf, fill=True):
+    """Train and test rows; medians, where asked for, are those of the training rows."""
+    split = stage(stratified_split(trainable(spark, sf), "customer_id", "label"), "split")
+    rows = {name: split.filter(F.col("split") == name).drop("split") for name in ("train", "test")}
+    if not fill:
+        return rows
+    medians = prep.MedianImputer(KEEP).fit(rows["train"])
+    return {name: stage(medians.transform(df), f"ready-{name}") for name, df in rows.items()}
+
+
+def _both(score, rows):
+    """Metrics of the training and of the test rows."""
+    parts = [_metrics(score(df)).select(F.lit(name).alias("split"), "*") for name, df in rows.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def _model_both(spark, sf, fit):
+    rows = _halves(spark, sf)
+    model = fit(rows["train"])
+    return _both(lambda df: models.positive_probability(model, df), rows)
+
+
 @query("g1_challenger")
 def g1(spark, sf):
-    df = _ready(spark, sf)
-    return _metrics(models.positive_probability(models.train_challenger(df, fx.FEATURES, "customer_id"), df))
+    return _model_both(spark, sf, lambda df: models.train_challenger(df, fx.FEATURES, "customer_id"))
 
 
 @query("g2_boosted_trees")
 def g2(spark, sf):
-    df = _ready(spark, sf)
-    return _metrics(models.positive_probability(models.train_boosted(df, fx.FEATURES), df))
+    return _model_both(spark, sf, lambda df: models.train_boosted(df, fx.FEATURES, "customer_id"))
 
 
 @query("g10_light_fallback")
 def g10(spark, sf):
-    df = _ready(spark, sf)
-    return _metrics(models.positive_probability(models.train_fallback(df, fx.FEATURES), df))
+    return _model_both(spark, sf, lambda df: models.train_fallback(df, fx.FEATURES, "customer_id"))
+
+
+# Cuts at fixed places, so that the splits of the first two levels can be said in SQL. Missing values stay missing.
+SPLIT_CUTS = {
+    c: [float(v) for v in (range(0, 8) if "CNT" in c else range(20_000, 400_001, 20_000) if "AVG" in c else range(0, 401, 25))] for c in fx.FEATURES
+}
+UNIT, PENALTY, LEAST = boosting.UNIT, boosting.BoostConfig.penalty, boosting.BoostConfig.min_weight
+
+
+def _score_sql(g, h):
+    return f"(({g} / {UNIT}) * ({g} / {UNIT}) / ({h} / {UNIT} + {PENALTY}))"
+
+
+def _level_sql(rows, out):
+    """The best split of every node of ``rows`` (node, label, gq, hq and columns)."""
+    long = " UNION ALL ".join(f"SELECT node, {i} AS f, {c} AS x, gq, hq FROM {rows}" for i, c in enumerate(fx.FEATURES))
+    cuts = " UNION ALL ".join(f"SELECT {i} AS f, '{c}' AS feature, unnest({v}) AS cut" for i, (c, v) in enumerate(SPLIT_CUTS.items()))
+    gain = f"{_score_sql('gl', 'hl')} + {_score_sql('(g - gl)', '(h - hl)')} - {_score_sql('g', 'h')}"
+    return f"""{out} AS (SELECT node, feature, cut, missing_left, {gain} AS gain, gl, hl, g, h FROM (
+      SELECT node, f, feature, cut, missing_left, sum(gq)::BIGINT AS g, sum(hq)::BIGINT AS h,
+        coalesce(sum(gq) FILTER (x <= cut OR (x IS NULL AND missing_left)), 0)::BIGINT AS gl,
+        coalesce(sum(hq) FILTER (x <= cut OR (x IS NULL AND missing_left)), 0)::BIGINT AS hl
+      FROM ({long}) JOIN ({cuts}) USING (f), (VALUES (false), (true)) s(missing_left) GROUP BY ALL)
+      WHERE hl >= {LEAST * UNIT} AND h - hl >= {LEAST * UNIT}
+      QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, cut, missing_left) = 1)"""
+
+
+def _split_sql():
+    side = " ".join(f"WHEN '{c}' THEN CASE WHEN {c} <= cut OR ({c} IS NULL AND missing_left) THEN 1 ELSE 2 END" for c in fx.FEATURES)
+    return f"""WITH {fx.FEATURES_CTE}, n AS (SELECT count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg FROM features),
+    k AS (SELECT greatest(neg // pos, 1)::DOUBLE AS w, w * pos / (w * pos + neg) AS p FROM n),
+    r AS (SELECT 0 AS node, features.*, round(CASE label WHEN 1 THEN w * (p - 1) ELSE p END * {UNIT})::BIGINT AS gq,
+      round(CASE label WHEN 1 THEN w ELSE 1 END * p * (1 - p) * {UNIT})::BIGINT AS hq FROM features, k),
+    {_level_sql('r', 'top')},
+    r1 AS (SELECT r.* REPLACE (CASE feature {side} END AS node) FROM r, top),
+    {_level_sql('r1', 'below')}
+    SELECT node, feature, cut, missing_left, round(gain, 6) AS gain, gl AS g_left, hl AS h_left, g, h
+    FROM (FROM top UNION ALL FROM below) WHERE gain > {boosting.BoostConfig.min_gain}"""
+
+
+@query("g2_first_splits", _split_sql())
+def g2_first(spark, sf):
+    df = stage(fx.features(spark, sf), "features")
+    cfg = boosting.BoostConfig(rows=1.0, columns=1.0)
+    return boosting.split_table(df, fx.FEATURES, "label", "customer_id", SPLIT_CUTS, cfg).withColumn("gain", F.round("gain", 6))
 
 
 CARD_BINS = {"ORD_CNT_12M": 5, "LI_QTY_12M": 8, "ORD_AVG_12M": 8, "ORD_CNT_6M": 3, "EVT_CNT_view": 3}
@@ -76,8 +141,9 @@ def f13(spark, sf):
 
 @query("g3_scorecard_metrics")
 def g3(spark, sf):
-    df = trainable(spark, sf)
-    return _metrics(_card(df).score(df, explain=False))
+    rows = _halves(spark, sf, fill=False)
+    card = _card(rows["train"])
+    return _both(lambda df: card.score(df, explain=False), rows)
 
 
 @query("g4_grid_search")
@@ -132,11 +198,14 @@ def g6_null(spark, sf):
 
 @query("g7_model_table")
 def g7(spark, sf):
-    df = _ready(spark, sf)
+    """Test rows only, so that models are compared on rows none of them has seen."""
+    rows, raw = _halves(spark, sf), _halves(spark, sf, fill=False)
+    trees = models.train_boosted(rows["train"], fx.FEATURES, "customer_id")
+    challenger = models.train_challenger(rows["train"], fx.FEATURES, "customer_id")
     scored = {
-        "boosted_trees": models.positive_probability(models.train_boosted(df, fx.FEATURES), df),
-        "logistic_regression": models.positive_probability(models.train_challenger(df, fx.FEATURES, "customer_id"), df),
-        "scorecard_woe_lr": _card(trainable(spark, sf)).score(df, explain=False),
+        "boosted_trees": models.positive_probability(trees, rows["test"]),
+        "logistic_regression": models.positive_probability(challenger, rows["test"]),
+        "scorecard_woe_lr": _card(raw["train"]).score(raw["test"], explain=False),
     }
     table = models.compare_models(scored)
     return table.select("model", *[F.round(c, 4).alias(c) for c in ("auc", "gini", "ks", "pr_auc")])

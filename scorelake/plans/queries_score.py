@@ -308,6 +308,10 @@ BINS = {"ORD_CNT_12M": 5, "LI_QTY_6M": 4, "LI_QTY_12M": 8, "ORD_AVG_12M": 8, "EV
 EDGE_DIGITS = 6
 
 
+#: Least rows of a bin; small enough for bins to stay in the smallest table.
+LEAST_OBS = 15
+
+
 def _edges_sql() -> str:
     raw = " UNION ALL ".join(
         f"""SELECT '{c}' AS feature, list_sort(list_distinct(list_transform(
@@ -318,7 +322,7 @@ def _edges_sql() -> str:
     inner_edges AS (SELECT feature, e[2:len(e) - 1] AS cuts FROM raw),
     sizes AS (SELECT feature, cuts, len(list_filter(cuts, lambda c: c <= value)) AS b, count(*) AS n
       FROM long JOIN inner_edges USING (feature) WHERE value IS NOT NULL GROUP BY ALL),
-    edges AS (SELECT feature, coalesce(list_sort(list(cuts[b + 1]) FILTER (WHERE n >= 80 AND b < len(cuts))), []) AS cuts
+    edges AS (SELECT feature, coalesce(list_sort(list(cuts[b + 1]) FILTER (WHERE n >= {LEAST_OBS} AND b < len(cuts))), []) AS cuts
       FROM sizes GROUP BY feature),
     binned AS (SELECT customer_id, feature, value, label, len(list_filter(cuts, lambda c: c < value)) AS bin
       FROM long JOIN edges USING (feature) WHERE value IS NOT NULL)"""
@@ -341,7 +345,7 @@ def _frame(spark, sf):
 
 
 def _edges(df):
-    return bn.equal_frequency_edges(df, BINS, digits=EDGE_DIGITS)
+    return bn.equal_frequency_edges(df, BINS, min_obs=LEAST_OBS, digits=EDGE_DIGITS)
 
 
 def _edge_rows(spark, edges):

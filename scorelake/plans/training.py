@@ -138,7 +138,7 @@ def run_training(
     )
     champion = _load_or_fit(
         spark, path["boosted_trees"],
-        lambda: models.train_boosted(ready["train"], cols, cfg.label, cfg.trees, cfg.depth, seed=cfg.seed),
+        lambda: models.train_boosted(ready["train"], cols, cfg.row_id, cfg.label, cfg.trees, cfg.depth, seed=cfg.seed),
     )
     card = _load_or_fit_card(
         spark, path["scorecard_woe_lr"],

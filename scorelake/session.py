@@ -60,6 +60,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the staged tables that ``df`` reads, which nothing reads after that; other files stay."""
+    spark = df.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(staging_dir(spark)).toUri().getPath()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.toUri().getPath().startswith(f"{root}/"):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def compact(df: DataFrame, rows: int, rows_per_task: int = 50_000) -> DataFrame:
     """Fewer, fuller partitions for iterative fits on small tables; large tables stay as they are."""
     return df.coalesce(max(1, -(-rows // rows_per_task)))
