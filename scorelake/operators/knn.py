@@ -1,10 +1,13 @@
 """Exact nearest neighbours under missing values, without comparing all pairs.
 
-Donors are laid out in cells: a grid over the columns that contribute most to the distance.
-Each cell has a bounding box, so a lower bound tells which cells can hold one of a row's k
-nearest donors. Round one searches the closest cells and yields an upper bound; round two
-searches only the cells whose lower bound does not exceed it. Cells are split into donor
-blocks and query groups of bounded size, so no hot cell becomes one task.
+Donors lie in the leaves of a k-d tree: a cell with too many rows is split at the median of the column that varies most in
+it, rows without that column apart. Cells hold about as many rows as there are cells, so both grow with the square root of
+the table. Each cell has a bounding box, so a lower bound tells which cells can hold one of a row's k nearest donors.
+
+Rows that ask are dealt to blocks by the cell they would lie in, so those of a block need much the same cells, and vectors
+are sent once for each pair of a block and a cell. Round one visits the closest cells and yields an upper bound for every
+row; round two visits the cells whose lower bound does not exceed it for some row of the block, and only for such rows.
+Donors of a cell come in blocks of bounded size, so no hot cell becomes one task.
 
 Distance of two rows over p columns: p / (columns both have) * sum of squared differences.
 """
@@ -12,66 +15,104 @@ Distance of two rows over p columns: p / (columns both have) * sum of squared di
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from scorelake.functions.scalars import bin_index
 from scorelake.session import ship_by_value, stage, stage_path
 
 ship_by_value(__name__)
 
-ROWS_PER_CELL = 2_000
-GRID_COLUMNS = 3
-MAX_BINS = 16
+#: Rows of a cell: this, or so many times the square root of the table's rows, whichever is more.
+LEAST_CELL, CELL_ROOTS = 2_000, 8
 BLOCK_ROWS = 4_096
 QUERY_ROWS = 4_096
-MAX_TASKS = 20_000
-TASKS_PER_QUERY_BLOCK = 2
+#: Bounds held at a time: rows times cells.
+BOUNDS = 1 << 21
 SLACK = 1.0 - 1e-9
 ANY = -1
+TASK = ["home", "grp", "cell", "block"]
 
-PAIR_SCHEMA = "rid bigint, q array<double>, cell int"
 HIT_SCHEMA = "rid bigint, col int, d2 double, donor bigint, value double"
+VISIT_SCHEMA = "home int, grp int, cell int"
+
+
+class CellTree:
+    """Splits by node: column (-1 at a leaf), cut, and the nodes of smaller, larger and missing values."""
+
+    def __init__(self, column=(-1,), cut=(0.0,), below=(0,), above=(0,), gone=(0,)):
+        self.column, self.cut = list(column), list(cut)
+        self.below, self.above, self.gone = list(below), list(above), list(gone)
+
+    def split(self, node: int, column: int, cut: float, above: bool, gone: bool) -> list[int]:
+        """New leaves below ``node``. Without rows above or without missing ones, such values go with the smaller ones."""
+        self.column[node], self.cut[node] = column, cut
+        self.below[node] = self.above[node] = self.gone[node] = self._leaf()
+        if above:
+            self.above[node] = self._leaf()
+        if gone:
+            self.gone[node] = self._leaf()
+        return sorted({self.below[node], self.above[node], self.gone[node]})
+
+    def _leaf(self) -> int:
+        for values, start in ((self.column, -1), (self.cut, 0.0), (self.below, 0), (self.above, 0), (self.gone, 0)):
+            values.append(start)
+        return len(self.column) - 1
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """Leaf of each row."""
+        column, cut, below, above, gone = (np.array(v) for v in (self.column, self.cut, self.below, self.above, self.gone))
+        node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
+        while len(x) and (column[node] >= 0).any():
+            v = x[rows, np.maximum(column[node], 0)]
+            step = np.where(np.isnan(v), gone[node], np.where(v <= cut[node], below[node], above[node]))
+            node = np.where(column[node] >= 0, step, node)
+        return node
+
+    def to_state(self) -> list:
+        return [self.column, self.cut, self.below, self.above, self.gone]
 
 
 class CellIndex:
-    """Donor cells: grid cuts, and per cell the size, column counts and bounding box."""
+    """Donor cells: the tree, and per cell the size, column counts and bounding box."""
 
-    def __init__(self, cols: Sequence[str], path: str, grid: dict[str, list[float]], cells: pd.DataFrame):
-        self.cols, self.path, self.grid = list(cols), path, grid
+    def __init__(self, cols: Sequence[str], path: str, tree: CellTree, cells: pd.DataFrame):
+        self.cols, self.path, self.tree = list(cols), path, tree
         self.ids = cells["cell"].to_numpy(int)
         self.n = cells["n"].to_numpy(int)
-        self.count = np.array(cells["count"].tolist(), dtype=float).reshape(len(cells), -1)
-        self.lo = np.array(cells["lo"].tolist(), dtype=float).reshape(len(cells), -1)
-        self.hi = np.array(cells["hi"].tolist(), dtype=float).reshape(len(cells), -1)
+        self.count = np.array(cells["count"].tolist(), dtype=float).reshape(len(cells), len(cols))
+        self.lo = np.array(cells["lo"].tolist(), dtype=float).reshape(len(cells), len(cols))
+        self.hi = np.array(cells["hi"].tolist(), dtype=float).reshape(len(cells), len(cols))
 
     def to_state(self) -> dict:
         return {
-            "cols": self.cols, "path": self.path, "grid": self.grid,
+            "cols": self.cols, "path": self.path, "tree": self.tree.to_state(),
             "cells": {"cell": self.ids.tolist(), "n": self.n.tolist(), "count": self.count.tolist(),
                       "lo": self.lo.tolist(), "hi": self.hi.tolist()},
         }
 
     @staticmethod
     def from_state(state: dict) -> "CellIndex":
-        return CellIndex(state["cols"], state["path"], state["grid"], pd.DataFrame(state["cells"]))
+        return CellIndex(state["cols"], state["path"], CellTree(*state["tree"]), pd.DataFrame(state["cells"]))
 
-    def lower_bounds(self, q: np.ndarray) -> np.ndarray:
-        """Smallest possible distance of each query row to each cell; inf if no column is shared."""
+    def lower_bounds(self, q: np.ndarray, only: slice = slice(None)) -> np.ndarray:
+        """Smallest possible distance of each query row to each cell (or those of ``only``); inf if no column is shared."""
         p = q.shape[1]
-        always, some = self.count == self.n[:, None], self.count > 0
-        total = np.zeros((len(q), len(self.ids)))
+        always, some = (self.count == self.n[:, None])[only], (self.count > 0)[only]
+        lo, hi = self.lo[only], self.hi[only]
+        total = np.zeros((len(q), len(lo)))
         shared = np.zeros_like(total)
         for j in range(p):
             x = q[:, j, None]
             seen = ~np.isnan(x)
-            gap = np.maximum(np.maximum(self.lo[None, :, j] - x, x - self.hi[None, :, j]), 0.0)
+            gap = np.maximum(np.maximum(lo[None, :, j] - x, x - hi[None, :, j]), 0.0)
             total += np.where(seen & always[None, :, j], gap * gap, 0.0)
             shared += seen & some[None, :, j]
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -81,14 +122,15 @@ class CellIndex:
     def first_cells(self, bounds: np.ndarray, wanted: np.ndarray, k: int) -> np.ndarray:
         """Mask of the closest cells that together hold k donors for every wanted column."""
         order = np.argsort(bounds, axis=1, kind="stable")
-        need = np.zeros(len(bounds), dtype=int)
-        for i, ranked in enumerate(order):
-            targets = np.flatnonzero(wanted[i])
-            held = self.count[ranked][:, targets] if len(targets) else self.n[ranked][:, None]
-            enough = np.cumsum(held, axis=0) >= k
-            need[i] = max(
-                (int(np.argmax(c)) + 1 if c.any() else len(ranked) for c in enough.T), default=1
-            )
+        need = np.ones(len(bounds), dtype=int)
+
+        def reach(rows: np.ndarray, held: np.ndarray) -> None:
+            enough = np.cumsum(held[order[rows]], axis=1) >= k
+            need[rows] = np.maximum(need[rows], np.where(enough.any(axis=1), enough.argmax(axis=1) + 1, len(held)))
+
+        for j in np.flatnonzero(wanted.any(axis=0)):
+            reach(np.flatnonzero(wanted[:, j]), self.count[:, j])
+        reach(np.flatnonzero(~wanted.any(axis=1)), self.n)
         rank = np.empty_like(order)
         np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :].repeat(len(order), 0), axis=1)
         return (rank < need[:, None]) & np.isfinite(bounds)
@@ -99,52 +141,108 @@ def _vector(cols: Sequence[str]) -> Column:
     return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols])
 
 
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
+
+
+def _node_stats(donors: DataFrame, tree: CellTree, nodes: Sequence[int], p: int) -> dict[int, dict[str, np.ndarray]]:
+    """Rows, and per column the values there are, their sums, squares and range, of each of ``nodes``."""
+    names = ["seen", "total", "square", "lo", "hi"]
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(0), p)
+            node = tree.leaves(x)
+            mine = np.flatnonzero(np.isin(node, nodes))
+            if not len(mine):
+                continue
+            mine = mine[np.argsort(node[mine], kind="stable")]
+            x, node = x[mine], node[mine]
+            own, start = np.unique(node, return_index=True)
+            has, zero = ~np.isnan(x), np.nan_to_num(x)
+            sums = [np.add.reduceat(v, start, axis=0) for v in (has.astype(float), zero, zero * zero)]
+            sums += [f.reduceat(np.where(has, x, e), start, axis=0) for f, e in ((np.minimum, np.inf), (np.maximum, -np.inf))]
+            offsets = pa.array(np.arange(len(own) + 1) * p, pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v.reshape(-1))) for v in sums]
+            rows = np.diff(np.append(start, len(node)))
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(rows), *lists], ["node", "n", *names])
+
+    types = ", ".join(f"{c} array<double>" for c in names)
+    parts = donors.select("x").mapInArrow(partial, f"node long, n long, {types}")
+    entry = parts.select("node", "n", F.posexplode(F.arrays_zip(*names)).alias("j", "e"))
+    aggs = [F.sum(f"e.{c}").alias(c) for c in names[:3]] + [F.min("e.lo").alias("lo"), F.max("e.hi").alias("hi")]
+    out: dict[int, dict[str, np.ndarray]] = {}
+    # One row for each open cell and column.
+    for r in entry.groupBy("node", "j").agg(F.sum("n").alias("n"), *aggs).collect():
+        own = out.setdefault(r.node, {"n": 0, **{c: np.zeros(p) for c in names}})
+        own["n"] = int(r.n)
+        for c in names:
+            own[c][r.j] = r[c]
+    return out
+
+
+def _medians(donors: DataFrame, tree: CellTree, chosen: dict[int, int], p: int) -> dict[int, float]:
+    """About the median of the chosen column of each node."""
+    column = np.full(len(tree.column), -1)
+    column[list(chosen)] = list(chosen.values())
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(0), p)
+            node = tree.leaves(x)
+            mine = np.flatnonzero(column[node] >= 0)
+            v = x[mine, column[node[mine]]]
+            yield pa.RecordBatch.from_arrays([pa.array(node[mine]), pa.array(v, mask=np.isnan(v))], ["node", "v"])
+
+    values = donors.select("x").mapInArrow(pick, "node long, v double").groupBy("node")
+    return {r.node: r.v for r in values.agg(F.percentile_approx("v", 0.5, 1000).alias("v")).collect()}
+
+
 def build_index(
-    df: DataFrame, cols: Sequence[str], row_id: str, path: str | None = None, rows_per_cell: int = ROWS_PER_CELL
+    df: DataFrame, cols: Sequence[str], row_id: str, path: str | None = None, rows_per_cell: int | None = None
 ) -> CellIndex:
-    """Write the donors by cell and summarise the cells (at most ``(MAX_BINS + 1) ** GRID_COLUMNS``)."""
-    cols = list(cols)
-    spread = df.agg(
-        F.count("*").alias("n"),
-        *[(F.coalesce(F.var_pop(c), F.lit(0.0)) * F.count(c)).alias(c) for c in cols],
-    ).first()
-    bins = int(np.clip(round((spread.n / rows_per_cell) ** (1 / GRID_COLUMNS)), 1, MAX_BINS))
-    widest = sorted(cols, key=lambda c: -spread[c])[:GRID_COLUMNS]
-    grid: dict[str, list[float]] = {}
-    if bins > 1:
-        probs = [i / bins for i in range(1, bins)]
-        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 1000).alias(c) for c in widest]).first()
-        grid = {c: sorted(set(row[c])) for c in widest if row[c]}
-    path = path or stage_path(df.sparkSession, "donors")
-    cell = F.lit(0)
-    for c, cuts in grid.items():
-        here = F.coalesce(bin_index(F.col(c).cast("double"), cuts), F.lit(len(cuts) + 1))
-        cell = cell * F.lit(len(cuts) + 2) + here
-    donors = df.select(
-        F.col(row_id).cast("bigint").alias("donor"), cell.alias("cell"), _vector(cols).alias("x"),
-        F.xxhash64(F.col(row_id)).alias("h"),
-    )
-    donors.write.mode("overwrite").parquet(path)
-    saved = df.sparkSession.read.parquet(path)
-    entry = saved.select("cell", "donor", F.posexplode("x").alias("j", "v"))
-    seen = F.when(~F.isnan("v"), F.col("v"))
-    boxes = entry.groupBy("cell", "j").agg(
-        F.count("*").alias("n"), F.count(seen).alias("count"),
-        F.coalesce(F.min(seen), F.lit(0.0)).alias("lo"), F.coalesce(F.max(seen), F.lit(0.0)).alias("hi"),
-    )
-    by_column = F.array_sort(F.collect_list(F.struct("j", "count", "lo", "hi")))
-    cells = boxes.groupBy("cell").agg(F.max("n").alias("n"), by_column.alias("b")).select(
-        "cell", "n", F.col("b.count").alias("count"), F.col("b.lo").alias("lo"), F.col("b.hi").alias("hi")
-    )
-    return CellIndex(cols, path, grid, cells.orderBy("cell").toPandas())
+    """Split the donors into cells level by level, write them by cell and summarise the cells."""
+    cols, p = list(cols), len(cols)
+    narrow = df.select(F.col(row_id).cast("bigint").alias("donor"), _vector(cols).alias("x"), F.xxhash64(F.col(row_id)).alias("h"))
+    donors = stage(narrow, "donors")
+    tree, stats, nodes = CellTree(), {}, [0]
+    most = rows_per_cell
+    while nodes:
+        found = _node_stats(donors, tree, nodes, p)
+        most = most or max(LEAST_CELL, int(CELL_ROOTS * math.sqrt(found[0]["n"] if 0 in found else 0)))
+        chosen: dict[int, int] = {}
+        for node, s in found.items():
+            stats[node] = s
+            spread = s["square"] - s["total"] ** 2 / np.maximum(s["seen"], 1)
+            # A column splits a cell if its values differ, or if it is there in some rows only.
+            splits = np.where(s["lo"] < s["hi"], 1 + np.maximum(spread, 0), np.where((s["seen"] > 0) & (s["seen"] < s["n"]), 0.5, 0))
+            if s["n"] > most and splits.max() > 0:
+                chosen[node] = int(splits.argmax())
+        cuts = _medians(donors, tree, chosen, p) if chosen else {}
+        nodes = []
+        for node, j in sorted(chosen.items()):
+            lo, hi, seen = (stats[node][c][j] for c in ("lo", "hi", "seen"))
+            # Both sides have rows: the cut is from the least value up to below the largest.
+            cut = cuts[node] if lo <= cuts[node] < hi else lo / 2 + hi / 2 if lo <= lo / 2 + hi / 2 < hi else lo
+            nodes += tree.split(node, j, float(cut), lo < hi, seen < stats[node]["n"])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = pa.array(tree.leaves(_matrix(batch.column(1), p)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, leaf], [*batch.schema.names, "cell"])
 
-
-def _emit(rid, q, mask, ids) -> pd.DataFrame:
-    row, cell = np.nonzero(mask)
-    return pd.DataFrame({"rid": rid[row], "q": [q[i] for i in row], "cell": ids[cell].astype("int32")})
+    path = path or stage_path(df.sparkSession, "donors")
+    donors.mapInArrow(place, "donor long, x array<double>, h long, cell int").write.mode("overwrite").parquet(path)
+    leaves = [c for c in sorted(stats) if tree.column[c] < 0]
+    cells = pd.DataFrame({
+        "cell": leaves, "n": [stats[c]["n"] for c in leaves], "count": [stats[c]["seen"] for c in leaves],
+        "lo": [np.where(stats[c]["seen"] > 0, stats[c]["lo"], 0.0) for c in leaves],
+        "hi": [np.where(stats[c]["seen"] > 0, stats[c]["hi"], 0.0) for c in leaves],
+    })
+    return CellIndex(cols, path, tree, cells)
 
 
-def _batches(pdf: pd.DataFrame, rows: int = 512) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+def _batches(pdf: pd.DataFrame, rows: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
     for start in range(0, len(pdf), rows):
         part = pdf.iloc[start : start + rows]
         yield part, np.array(part["q"].tolist(), dtype=float)
@@ -154,29 +252,20 @@ def _wanted(q: np.ndarray, any_donor: bool) -> np.ndarray:
     return np.zeros_like(q, dtype=bool) if any_donor else np.isnan(q)
 
 
-def _search(pairs: DataFrame, index: CellIndex, k: int, any_donor: bool) -> DataFrame:
-    """Local top-k per (row, column) of every (query group, donor block) pair of the same cell."""
-    spark = pairs.sparkSession
-    pairs = stage(pairs, "pairs")
-    load = {r.cell: r["count"] for r in pairs.groupBy("cell").count().collect()}
-    plan = [
-        (int(c), -(-int(n) // BLOCK_ROWS), max(1, -(-load.get(int(c), 0) // QUERY_ROWS)))
-        for c, n in zip(index.ids, index.n)
-        if int(c) in load
-    ]
-    # One row per cell, and the number of cells is bounded by the grid.
-    sizes = F.broadcast(spark.createDataFrame(plan, "cell int, blocks int, groups int"))
-    salted = pairs.join(sizes, "cell").select(
-        "rid", "q", "cell",
-        F.expr("pmod(xxhash64(rid, 7), groups)").cast("int").alias("grp"),
-        F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
-    )
-    donors = spark.read.parquet(index.path).join(sizes, "cell").select(
-        "donor", "x", "cell",
-        F.expr("pmod(h, blocks)").cast("int").alias("block"),
-        F.explode(F.expr("sequence(0, groups - 1)")).alias("grp"),
-    )
-    p = len(index.cols)
+def _search(queries: DataFrame, visits: DataFrame, index: CellIndex, k: int, any_donor: bool) -> DataFrame:
+    """Local top-k per (row, column) of every visit of a query block to a donor block.
+
+    ``queries`` has (rid, q, home, grp, far); a row takes part where its lower bound of the cell is at most ``far``.
+    """
+    spark = queries.sparkSession
+    # One row a cell.
+    sizes = F.broadcast(spark.createDataFrame([(int(c), -(-int(n) // BLOCK_ROWS)) for c, n in zip(index.ids, index.n)], "cell int, blocks int"))
+    tasks = visits.join(sizes, "cell").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
+    tasks = stage(tasks.select(*TASK, "blocks"), "knn-tasks")
+    left = queries.join(tasks, ["home", "grp"]).select(*TASK, "rid", "q", "far")
+    saved = spark.read.parquet(index.path).join(sizes, "cell").withColumn("block", F.expr("pmod(h, blocks)").cast("int"))
+    right = saved.drop("blocks").join(tasks, ["cell", "block"]).select(*TASK, "donor", "x")
+    p, place = len(index.cols), {int(c): i for i, c in enumerate(index.ids)}
 
     def local_top(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[pd.DataFrame] = []
@@ -184,7 +273,10 @@ def _search(pairs: DataFrame, index: CellIndex, k: int, any_donor: bool) -> Data
             d = np.array(right["x"].tolist(), dtype=float)
             by_id = np.argsort(right["donor"].to_numpy(), kind="stable")
             d, donor = d[by_id], right["donor"].to_numpy()[by_id]
+            at = place[int(left["cell"].iloc[0])]
             for part, q in _batches(left, 256):
+                near = index.lower_bounds(q, slice(at, at + 1))[:, 0] <= part["far"].to_numpy()
+                part, q = part[near], q[near]
                 total = np.zeros((len(q), len(d)))
                 shared = np.zeros_like(total)
                 for j in range(p):
@@ -203,9 +295,9 @@ def _search(pairs: DataFrame, index: CellIndex, k: int, any_donor: bool) -> Data
                     usable = np.arange(len(d)) if any_donor else np.flatnonzero(~np.isnan(d[:, j]))
                     if not len(usable):
                         continue
-                    near = dist[np.ix_(rows, usable)]
-                    take = np.argsort(near, axis=1, kind="stable")[:, :k]
-                    best = np.take_along_axis(near, take, axis=1)
+                    apart = dist[np.ix_(rows, usable)]
+                    take = np.argsort(apart, axis=1, kind="stable")[:, :k]
+                    best = np.take_along_axis(apart, take, axis=1)
                     ok = np.isfinite(best)
                     who = usable[take][ok]
                     value = np.zeros(len(who)) if any_donor else d[who, j]
@@ -219,11 +311,11 @@ def _search(pairs: DataFrame, index: CellIndex, k: int, any_donor: bool) -> Data
             {"rid": "int64", "col": "int32", "d2": "float64", "donor": "int64", "value": "float64"}
         )
 
-    keys = ["cell", "block", "grp"]
-    # Few bytes but much arithmetic per group: a fixed count keeps small stages from being merged.
-    parts = int(min(MAX_TASKS, sum(b * g for _, b, g in plan))) or 1
-    salted, donors = salted.repartition(parts, *keys), donors.repartition(parts, *keys)
-    return salted.groupBy(*keys).cogroup(donors.groupBy(*keys)).applyInPandas(local_top, HIT_SCHEMA)
+    # Few bytes but much arithmetic per group: a count from the cluster's size keeps small stages from being merged.
+    wide = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(1, min(tasks.count(), wide))
+    left, right = left.repartition(parts, *TASK), right.repartition(parts, *TASK)
+    return left.groupBy(*TASK).cogroup(right.groupBy(*TASK)).applyInPandas(local_top, HIT_SCHEMA)
 
 
 def _top(hits: DataFrame, k: int) -> DataFrame:
@@ -232,23 +324,49 @@ def _top(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _dealt(queries: DataFrame, index: CellIndex) -> DataFrame:
+    """Queries with ``home`` (the leaf that they would lie in) and ``grp``: blocks of at most about ``QUERY_ROWS`` rows."""
+    p = len(index.cols)
+
+    def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            leaf = index.tree.leaves(_matrix(batch.column(1), p)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], ["rid", "q", "home"])
+
+    placed = stage(queries.select("rid", "q").mapInArrow(homes, "rid long, q array<double>, home int"), "queries")
+    # One row a cell.
+    groups = placed.groupBy("home").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("groups"))
+    grp = F.expr("pmod(xxhash64(rid, 7), groups)").cast("int").alias("grp")
+    return placed.join(F.broadcast(groups), "home").select("rid", "q", "home", grp)
+
+
 def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = False) -> DataFrame:
     """Rows (rid, col, d2, donor, value, rank) of the k nearest donors.
 
     ``queries`` has (rid, q). For each missing column the donors must have that column; with
-    ``any_donor`` every other row is a donor and ``col`` is -1.
+    ``any_donor`` every other row is a donor and ``col`` is -1. Without donors there are no rows.
     """
-    queries = stage(queries, "queries")
-    queries = queries.repartition(-(-queries.count() // QUERY_ROWS) * TASKS_PER_QUERY_BLOCK or 1)
+    if not len(index.ids):
+        return _top(queries.sparkSession.createDataFrame([], HIT_SCHEMA), k)
+    dealt = stage(_dealt(queries, index), "queries")
+    batch = max(16, BOUNDS // len(index.ids))
+
+    def seen(q: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        return index.first_cells(bounds, _wanted(q, any_donor), k + int(any_donor))
+
+    def visits(part: pd.DataFrame, mask: np.ndarray) -> pd.DataFrame:
+        row, cell = np.nonzero(mask)
+        own = part[["home", "grp"]].iloc[row].reset_index(drop=True)
+        return own.assign(cell=index.ids[cell].astype("int32")).drop_duplicates()
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for part, q in _batches(pdf):
-                bounds = index.lower_bounds(q)
-                mask = index.first_cells(bounds, _wanted(q, any_donor), k + int(any_donor))
-                yield _emit(part["rid"].to_numpy(), q, mask, index.ids)
+            for part, q in _batches(pdf, batch):
+                yield visits(part, seen(q, index.lower_bounds(q)))
 
-    round1 = stage(_top(_search(queries.mapInPandas(first, PAIR_SCHEMA), index, k, any_donor), k), "hits")
+    closest = stage(dealt.mapInPandas(first, VISIT_SCHEMA).distinct(), "visits")
+    everywhere = dealt.withColumn("far", F.lit(float("inf")))
+    round1 = stage(_top(_search(everywhere, closest, index, k, any_donor), k), "hits")
     if len(index.ids) == 1:
         return round1
 
@@ -257,20 +375,17 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
         F.max("far").alias("far"), F.count_if(F.col("n") >= k).alias("full")
     )
     missing = F.lit(1) if any_donor else F.size(F.filter("q", F.isnan))
-    bounded = queries.join(reached, "rid", "left").select(
-        "rid", "q", F.when(F.col("full") == missing, F.col("far")).otherwise(F.lit(float("inf"))).alias("far")
-    )
+    far = F.when(F.col("full") == missing, F.col("far")).otherwise(F.lit(float("inf"))).alias("far")
+    bounded = stage(dealt.join(reached, "rid", "left").select("rid", "q", "home", "grp", far), "bounded")
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for part, q in _batches(pdf):
+            for part, q in _batches(pdf, batch):
                 bounds = index.lower_bounds(q)
-                seen = index.first_cells(bounds, _wanted(q, any_donor), k + int(any_donor))
-                mask = (bounds <= part["far"].to_numpy()[:, None]) & np.isfinite(bounds) & ~seen
-                yield _emit(part["rid"].to_numpy(), q, mask, index.ids)
+                yield visits(part, (bounds <= part["far"].to_numpy()[:, None]) & np.isfinite(bounds))
 
-    more = _search(bounded.mapInPandas(rest, PAIR_SCHEMA), index, k, any_donor)
-    return _top(round1.drop("rank").unionByName(more), k)
+    more = bounded.mapInPandas(rest, VISIT_SCHEMA).distinct().join(closest, ["home", "grp", "cell"], "left_anti")
+    return _top(round1.drop("rank").unionByName(_search(bounded, more, index, k, any_donor)), k)
 
 
 def impute(df: DataFrame, index: CellIndex, row_id: str, k: int, means: dict[str, float | None]) -> DataFrame:
@@ -317,7 +432,25 @@ class KNNImputer(Estimator):
         })
 
 
+class _DonorWriter(DefaultParamsWriter):
+    """Saves the donors beside the parameters, so that a saved model needs no other folder."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        self.sparkSession.read.parquet(self.instance.donors).write.parquet(f"{path}/donors")
+
+
+class _DonorReader(DefaultParamsReader):
+    def load(self, path: str) -> "KNNImputerModel":
+        model = super().load(path)
+        state = json.loads(model.getOrDefault(model.state))
+        state["index"]["path"] = f"{path}/donors"
+        return model._set(state=json.dumps(state))
+
+
 class KNNImputerModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+    """Donors lie where the fit wrote them until the model is saved; a loaded model reads its own copy."""
+
     state = Param(Params._dummy(), "state", "fitted values as JSON", TypeConverters.toString)
 
     def __init__(self, state: dict | None = None):
@@ -328,3 +461,14 @@ class KNNImputerModel(Model, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         s = json.loads(self.getOrDefault(self.state))
         return impute(dataset, CellIndex.from_state(s["index"]), s["row_id"], s["k"], s["means"])
+
+    @property
+    def donors(self) -> str:
+        return json.loads(self.getOrDefault(self.state))["index"]["path"]
+
+    def write(self) -> _DonorWriter:
+        return _DonorWriter(self)
+
+    @classmethod
+    def read(cls) -> _DonorReader:
+        return _DonorReader(cls)

@@ -11,7 +11,7 @@ from scorelake.operators.scorecard import Scorecard, factor_and_offset
 from scorelake.operators.smote import smote
 from scorelake.plans import fixtures as fx
 from scorelake.plans.catalog import query
-from scorelake.session import stage, stage_path
+from scorelake.session import discard, stage, stage_path
 
 FEATURES = f"WITH {fx.FEATURES_CTE}"
 SCORED = f"WITH {fx.SCORED_CTE}"
@@ -220,57 +220,63 @@ def e9(spark, sf):
     return _features_out(model.transform(df))
 
 
-@query("a11_saved_steps_agree")
+@query("a11_saved_steps_agree", "SELECT 0::BIGINT AS n_different, count(*) AS n_rows FROM customer")
 def a11(spark, sf):
     from pyspark.ml import Pipeline, PipelineModel
 
     df = stage(fx.features(spark, sf), "features")
     fitted = Pipeline(stages=[
-        prep.MedianImputer(KEEP), prep.Winsorizer(KEEP), prep.GroupPCA(fx.GROUPS, fx.COMPONENTS, KEEP),
+        KNNImputer("customer_id", ["label"], k=5), prep.MedianImputer(KEEP), prep.Winsorizer(KEEP), prep.GroupPCA(fx.GROUPS, fx.COMPONENTS, KEEP),
         prep.ConstantDropper(KEEP), prep.ZScaler(KEEP),
     ]).fit(df)
     path = stage_path(spark, "model")
     fitted.save(path)
+    before = stage(fitted.transform(df), "before")
+    # The loaded model has its own donors.
+    discard(spark.read.parquet(fitted.stages[0].donors))
     again = PipelineModel.load(path).transform(df)
-    return fitted.transform(df).exceptAll(again).agg(F.count("*").alias("n_different"))
+    return before.exceptAll(again).agg(F.count("*").alias("n_different")).withColumn("n_rows", F.lit(again.count()).cast("bigint"))
 
 
 # ---- C1, E3, E10: nearest neighbours ---------------------------------------------------------
 
 KNN_COLS = ["ORD_CNT_12M", "ORD_AVG_3M", "ORD_AVG_6M", "ORD_AVG_12M", "LI_QTY_12M"]
-KNN_GAPS = [c for c in KNN_COLS if c.startswith("ORD_AVG")]
 KNN_K = 5
 
 
-def _knn_sql() -> str:
-    both = {c: f"(a.{c} IS NOT NULL AND b.{c} IS NOT NULL)" for c in KNN_COLS}
-    total = " + ".join(f"CASE WHEN {both[c]} THEN (a.{c} - b.{c}) * (a.{c} - b.{c}) ELSE 0.0 END" for c in KNN_COLS)
-    shared = " + ".join(f"{both[c]}::INTEGER" for c in KNN_COLS)
-    gaps = " OR ".join(f"a.{c} IS NULL" for c in KNN_GAPS)
+def _knn_sql(cols, k) -> str:
+    """Brute force: all pairs of a row with gaps and a donor, ranked for each missing column."""
+    gaps = [c for c in cols if c.startswith(("ORD_AVG", "EVT_CNT"))]
+    both = {c: f"(a.{c} IS NOT NULL AND b.{c} IS NOT NULL)" for c in cols}
+    total = " + ".join(f"CASE WHEN {both[c]} THEN (a.{c} - b.{c}) * (a.{c} - b.{c}) ELSE 0.0 END" for c in cols)
+    shared = " + ".join(f"{both[c]}::INTEGER" for c in cols)
+    asks = " OR ".join(f"a.{c} IS NULL" for c in gaps)
     pairs = f"""pairs AS (SELECT a.customer_id AS rid, b.customer_id AS donor,
-      ({total}) * {len(KNN_COLS)} / ({shared}) AS d2, {', '.join(f'a.{c} AS q_{c}, b.{c} AS v_{c}' for c in KNN_GAPS)}
-      FROM features a, features b WHERE ({gaps}) AND ({shared}) > 0)"""
+      ({total}) * {len(cols)} / ({shared}) AS d2, {', '.join(f'a.{c} AS q_{c}, b.{c} AS v_{c}' for c in gaps)}
+      FROM features a, features b WHERE ({asks}) AND ({shared}) > 0)"""
     per = ", ".join(
         f"""n_{c} AS (SELECT rid, avg(v) AS v FROM (SELECT rid, v_{c} AS v,
         row_number() OVER (PARTITION BY rid ORDER BY d2, donor) AS rn FROM pairs WHERE q_{c} IS NULL AND v_{c} IS NOT NULL)
-        WHERE rn <= {KNN_K} GROUP BY rid)""" for c in KNN_GAPS)
+        WHERE rn <= {k} GROUP BY rid)""" for c in gaps)
     outs = ", ".join(
-        f"round(coalesce(f.{c}, n_{c}.v, (SELECT avg({c}) FROM features)), 4) AS {c}" if c in KNN_GAPS else f"f.{c}" for c in KNN_COLS)
-    joins = " ".join(f"LEFT JOIN n_{c} ON f.customer_id = n_{c}.rid" for c in KNN_GAPS)
+        f"round(coalesce(f.{c}, n_{c}.v, (SELECT avg({c}) FROM features)), 4) AS {c}" if c in gaps else f"f.{c}" for c in cols)
+    joins = " ".join(f"LEFT JOIN n_{c} ON f.customer_id = n_{c}.rid" for c in gaps)
     return f"{FEATURES}, {pairs}, {per} SELECT f.customer_id, {outs} FROM features f {joins}"
 
 
-@query("c1_knn_impute", _knn_sql())
+def _imputed(df, cols, k):
+    out = KNNImputer("customer_id", k=k).fit(df).transform(df)
+    return out.select("customer_id", *[F.round(c, 4).alias(c) if c.startswith(("ORD_AVG", "EVT_CNT")) else F.col(c) for c in cols])
+
+
+@query("c1_knn_impute", _knn_sql(KNN_COLS, KNN_K))
 def c1(spark, sf):
-    df = stage(fx.features(spark, sf).select("customer_id", *KNN_COLS), "features")
-    out = KNNImputer("customer_id", k=KNN_K).fit(df).transform(df)
-    return out.select("customer_id", *[F.round(c, 4).alias(c) if c in KNN_GAPS else F.col(c) for c in KNN_COLS])
+    return _imputed(stage(fx.features(spark, sf).select("customer_id", *KNN_COLS), "features"), KNN_COLS, KNN_K)
 
 
-@query("e3_knn_impute_all")
+@query("e3_knn_impute_all", _knn_sql(fx.FEATURES, 20))
 def e3(spark, sf):
-    df = stage(fx.features(spark, sf), "features")
-    return _features_out(KNNImputer("customer_id", ["label"], k=20).fit(df).transform(df))
+    return _imputed(stage(fx.features(spark, sf).drop("label"), "features"), fx.FEATURES, 20)
 
 
 SMOTE_COLS = ["ORD_CNT_12M", "ORD_URGENT_CNT_12M", "LI_QTY_12M"]

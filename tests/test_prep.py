@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from scorelake.operators import knn, prep
 from scorelake.operators.smote import smote
+from scorelake.session import discard
 
 KEEP = ["id", "label"]
 
@@ -101,6 +102,45 @@ def test_impute_equals_brute_force(spark, gaps, monkeypatch, rows_per_cell, bloc
     np.testing.assert_allclose(got, brute_impute(gaps, 4), atol=1e-9)
 
 
+def test_cells_that_cannot_be_split(spark):
+    """Equal rows are one cell however many they are; rows with and without a column are apart; no rows, no cells."""
+    rng = np.random.default_rng(4)
+    x = np.vstack([np.tile([1.0, 2.0, 3.0], (120, 1)), np.tile([1.0, np.nan, 3.0], (60, 1)), rng.normal(size=(40, 3))])
+    cols = ["x0", "x1", "x2"]
+    index = knn.build_index(frame(spark, x), cols, "id", rows_per_cell=10)
+    assert index.n.sum() == len(x) and {120, 60} <= set(index.n.tolist())
+    means = {c: float(np.nanmean(x[:, i])) for i, c in enumerate(cols)}
+    np.testing.assert_allclose(matrix(knn.impute(frame(spark, x), index, "id", 4, means), cols), brute_impute(x, 4), atol=1e-9)
+    none = frame(spark, x).limit(0)
+    index = knn.build_index(none, cols, "id")
+    assert not len(index.ids)
+    assert matrix(knn.impute(frame(spark, x[100:125]), index, "id", 4, means), cols)[24].tolist() == [1.0, means["x1"], 3.0]
+
+
+def test_many_columns_and_tiny_cells(spark, monkeypatch):
+    monkeypatch.setattr(knn, "QUERY_ROWS", 9)
+    monkeypatch.setattr(knn, "BOUNDS", 200)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(260, 2)) @ rng.normal(size=(2, 60)) + rng.normal(size=(260, 60)) * 0.1
+    x[rng.uniform(size=x.shape) < 0.04] = np.nan
+    cols = [f"x{i}" for i in range(60)]
+    index = knn.build_index(frame(spark, x).repartition(5), cols, "id", rows_per_cell=7)
+    assert len(index.ids) > 40
+    got = matrix(knn.impute(frame(spark, x), index, "id", 3, dict.fromkeys(cols, 0.0)), cols)
+    np.testing.assert_allclose(got, brute_impute(x, 3), atol=1e-9)
+
+
+def test_saved_model_has_its_own_donors(spark, gaps, tmp_path):
+    df = frame(spark, gaps)
+    model = knn.KNNImputer("id", ["label"], k=4).fit(df)
+    want = matrix(model.transform(df), ["x0", "x1", "x2", "x3"])
+    model.save(str(tmp_path / "m"))
+    discard(spark.read.parquet(model.donors))
+    again = knn.KNNImputerModel.load(str(tmp_path / "m"))
+    assert again.donors.startswith(str(tmp_path))
+    np.testing.assert_array_equal(matrix(again.transform(df), ["x0", "x1", "x2", "x3"]), want)
+
+
 def test_complete_rows_are_untouched(spark):
     x = np.random.default_rng(1).normal(size=(60, 3))
     df = frame(spark, x)
