@@ -136,7 +136,7 @@ def window_rows(table: DataFrame, key: str, sizes: list[int], bits: np.ndarray |
 
 
 def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, shift, windows, total, changed``: leaks, by how far the item is moved in the document.
+    """``doc_id, print, item_id, shift, windows, total, changed``: leaks, by how far the item is moved in the document.
 
     A group here is one item at one place of one text, so it has no more rows than the item has windows (times the
     repeated rows of a text); other rows of the same doc_id, or without one, don't mix into it.
@@ -161,7 +161,7 @@ def alignments(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     size = F.size("pairs")
     one_to_one = (F.size(F.array_distinct(F.col("pairs.asked"))) == size) & (F.size(F.array_distinct(F.col("pairs.slots"))) == size)
     changed = F.exists("pairs", lambda p: p["asked"] != p["slots"])
-    return found.where((enough & one_to_one) | (F.col("verbatim") >= LEAST_VERBATIM)).select("doc_id", "item_id", "shift", "windows", "total", changed.alias("changed"))
+    return found.where((enough & one_to_one) | (F.col("verbatim") >= LEAST_VERBATIM)).select("doc_id", "print", "item_id", "shift", "windows", "total", changed.alias("changed"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -185,6 +185,11 @@ def leak_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of ``docs``, with all their columns, that hold no benchmark item."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("__leak"))
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__leak")), "left_anti")
+    """Rows of ``docs``, with all their columns, whose own text holds no benchmark item.
+
+    A row goes by its doc_id and its text, so others with the same doc_id, or also without one, stay if they are clean;
+    repeated rows go together. Null and empty texts stay. Empty tables give no rows, or all of them.
+    """
+    found = alignments(docs, benchmark).select(F.col("doc_id").alias("__leak"), F.col("print").alias("__print")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__leak")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__print"))
+    return docs.join(found, same, "left_anti")

@@ -26,6 +26,8 @@ BLOCK_TEXTS = 256
 BLOCK_CHARS = 1 << 20
 #: A text gives its trigrams this much weight in all, in whole parts, whatever its length.
 TEXT_WEIGHT = 1 << 30
+#: Trigrams whose vectors are made at a time.
+STRIP = 4096
 #: Alphabet cubes up to this size are counted by a table, larger ones by sorting.
 CUBE = 1 << 22
 #: Fewer trigrams do not show that a text is in no learned language.
@@ -102,6 +104,15 @@ def pieces(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+def bundled(binder: Binder, weights: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Weighted sums of trigram vectors, row by row of ``weights``: a strip of trigrams at a time, so that memory doesn't
+    grow with the number of different ones. Sums of whole numbers below 2**53 are exact."""
+    out = np.zeros((len(weights), binder.third.shape[1]))
+    for at in range(0, len(codes), STRIP):
+        out += weights[:, at : at + STRIP].astype(np.float64) @ binder.vectors(codes[at : at + STRIP]).astype(np.float64)
+    return out
+
+
 def whole_shares(counts: np.ndarray) -> np.ndarray:
     """``TEXT_WEIGHT`` of each row split by its counts: running totals are rounded down, so what rounding leaves goes on
     to the next trigram and all of it is given."""
@@ -128,7 +139,7 @@ def fit_prototypes(rows: DataFrame, text: str, label: str, dimensions: int = DIM
                 own = np.array(names[first:end], dtype=object)
                 kinds = sorted(set(own))
                 by_kind = np.stack([weighted[own == k].sum(axis=0) for k in kinds]).astype(np.float64)
-                vectors = by_kind @ binder.vectors(codes).astype(np.float64)
+                vectors = bundled(binder, by_kind, codes)
                 for k, v in zip(kinds, vectors):
                     sums[k] = sums.get(k, 0) + v.astype(np.int64)
         for k, v in sums.items():
@@ -172,8 +183,7 @@ def labeller(prototypes: dict[str, np.ndarray], dimensions: int = DIMENSIONS) ->
                 codes, counts = binder.counts(texts[first:end])
                 if not len(codes):
                     continue
-                vectors = counts.astype(np.float32) @ binder.vectors(codes).astype(np.float32)
-                vectors = vectors.astype(np.float64)
+                vectors = bundled(binder, counts, codes)
                 cosine = (vectors @ table.T) / np.maximum(np.linalg.norm(vectors, axis=1), 1e-300)[:, None]
                 seen[first:end] = counts.sum(axis=1)
                 best, has = cosine.argmax(axis=1), seen[first:end] > 0

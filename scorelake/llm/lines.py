@@ -46,10 +46,11 @@ def is_long(line: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """``doc_id, site, pos, line, long``: the lines that can be judged. Documents without source share one site."""
+    """``doc_id, print, site, pos, line, long``: the lines that can be judged; ``print`` names the text. Documents without
+    source share one site."""
     keys = F.transform(lines_of(F.col("text")), lambda x: F.struct(line_key(x).alias("line"), is_long(x).alias("long")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("site"), F.posexplode(keys).alias("pos", "at"))
-    return rows.select("doc_id", "site", "pos", "at.line", "at.long").where(F.col("line").isNotNull())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("site"), F.posexplode(keys).alias("pos", "at"))
+    return rows.select("doc_id", "print", "site", "pos", "at.line", "at.long").where(F.col("line").isNotNull())
 
 
 def boilerplate(lines: DataFrame, sites: int = SITES, long_copies: bool = False) -> DataFrame:
@@ -70,24 +71,24 @@ def boilerplate(lines: DataFrame, sites: int = SITES, long_copies: bool = False)
 
 
 def dropped_lines(docs: DataFrame, sites: int = SITES, long_copies: bool = False) -> DataFrame:
-    """``doc_id, drops`` (hashes of lines to remove), ``holds`` (lines whose first place is in the document, and where)."""
+    """``doc_id, print, drops`` (places of the lines to remove from that text; the first place of a line is not among them)."""
     lines = stage(line_table(docs), "lines")
     common = boilerplate(lines, sites, long_copies).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = lines.drop("long").withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int"))
-    hits = salted.join(common, ["line", "salt"]).where(F.col("doc_id").isNotNull())
-    held = F.when((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.pos") == F.col("pos")), F.struct("line", "pos"))
-    return hits.groupBy("doc_id").agg(F.collect_set("line").alias("drops"), F.collect_set(held).alias("holds"))
+    salted = lines.select("doc_id", "print", "pos", "line", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(SALTS)).cast("int").alias("salt"))
+    hits = salted.where(F.col("doc_id").isNotNull()).join(common, ["line", "salt"])
+    own = F.coalesce((F.col("first.doc_id") == F.col("doc_id")) & (F.col("first.pos") == F.col("pos")), F.lit(False))
+    return hits.where(~own).groupBy("doc_id", "print").agg(F.collect_set("pos").alias("drops"))
 
 
-def without_lines(text: Column, drops: Column, holds: Column) -> Column:
-    """The text without the lines in ``drops``, but for those that ``holds`` has at their position."""
+def without_lines(text: Column, drops: Column) -> Column:
+    """The text without the lines at the places in ``drops``; linear in the number of lines."""
 
-    def stays(line: Column, pos: Column) -> Column:
-        key = line_key(line)
-        gone = F.coalesce(F.array_contains(drops, key), F.lit(False))
-        return ~gone | F.exists(holds, lambda h: (h["line"] == key) & (h["pos"] == pos))
+    def rest(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drops)
+        return F.array_join(F.transform(stay, lambda p: F.get(lines, p)), "\n")
 
-    return F.when(drops.isNull() | text.isNull(), text).otherwise(F.array_join(F.filter(lines_of(text), stays), "\n"))
+    # Bound by a lambda, so that the text is split once and not once for each line.
+    return F.when(drops.isNull() | text.isNull(), text).otherwise(F.get(F.transform(F.array(lines_of(text)), rest), 0))
 
 
 def cleaned(docs: DataFrame, sites: int = SITES, long_copies: bool = False) -> DataFrame:
@@ -97,9 +98,9 @@ def cleaned(docs: DataFrame, sites: int = SITES, long_copies: bool = False) -> D
     the same doc_id are one document. Rows without doc_id count for the spread of lines but are not changed.
     """
     columns = docs.columns
-    drops = dropped_lines(docs, sites, long_copies).select(F.col("doc_id").alias("__doc"), F.col("drops").alias("__drops"), F.col("holds").alias("__holds"))
-    joined = docs.join(drops, F.col("doc_id").cast("long") == F.col("__doc"), "left")
-    joined = joined.withColumn("text", without_lines(F.col("text"), F.col("__drops"), F.col("__holds")))
+    drops = dropped_lines(docs, sites, long_copies).select(F.col("doc_id").alias("__doc"), F.col("print").alias("__print"), F.col("drops").alias("__drops"))
+    joined = docs.join(drops, (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64("text") == F.col("__print")), "left")
+    joined = joined.withColumn("text", without_lines(F.col("text"), F.col("__drops")))
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         joined = joined.withColumn("n_chars", F.when(F.col("__drops").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))

@@ -11,8 +11,9 @@ With 40 bands of 4 registers a pair at the threshold of 0.75 has no bucket in co
 
 Documents with the same set are one class. In a bucket no pairs of all members are made. Every member is compared with
 two leaders: the member that shares most buckets overall, as the common origin of many copies does, and the smallest;
-then what is unlike the first leader is compared with a leader of its own. Confirmed pairs are links, and pairs with a
-fair estimate, links or not, make families. A family whose members are not all linked is compared in full: it is dealt
+then what is unlike the first leader is compared with a leader of its own, and what is unlike that one too is compared in
+blocks of bounded size, of which only pairs that join families leave. Confirmed pairs are links, and pairs with a fair
+estimate, links or not, make families. A family whose members are not all linked is compared in full: it is dealt
 to blocks of bounded size, pairs of blocks meet in tasks, and only links between different components leave them.
 """
 
@@ -221,12 +222,51 @@ def likely_pairs(classes: DataFrame) -> DataFrame:
     leaders = stage(members.groupBy("key").agg(top, F.min("id").alias("low")), "neardup-leaders")
     close = stage(likely(leader_pairs(members, leaders), classes), "neardup-likely")
 
-    family = components(close)
-    placed = members.join(family.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "shared", F.coalesce("component", "id").alias("family"))
-    first = leaders.join(family.withColumnRenamed("node", "top"), "top", "left").select("key", F.coalesce("component", "top").alias("first"))
-    others = stage(placed.join(first, "key").where(F.col("family") != F.col("first")).select("key", "id", "shared"), "neardup-others")
-    second = others.groupBy("key").agg(top, F.min("id").alias("low"))
-    return close.union(stage(likely(leader_pairs(others, second), classes), "neardup-likely"))
+    def unlike(rows: DataFrame, close: DataFrame, led: DataFrame) -> DataFrame:
+        """``key, id, shared`` of rows in another family than their bucket's ``top`` in ``led``."""
+        family = components(close)
+        placed = rows.join(family.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "shared", F.coalesce("component", "id").alias("family"))
+        first = led.join(family.withColumnRenamed("node", "top"), "top", "left").select("key", F.coalesce("component", "top").alias("first"))
+        return stage(placed.join(first, "key").where(F.col("family") != F.col("first")).select("key", "id", "shared"), "neardup-others")
+
+    others = unlike(members, close, leaders)
+    second = stage(others.groupBy("key").agg(top, F.min("id").alias("low")), "neardup-leaders")
+    close = stage(close.union(likely(leader_pairs(others, second), classes)).distinct(), "neardup-likely")
+    return close.union(block_pairs(unlike(others, close, second), classes))
+
+
+def block_pairs(rest: DataFrame, classes: DataFrame) -> DataFrame:
+    """Likely pairs ``a, b`` among the members (``key, id``) of each bucket, as many as connect them as all would.
+
+    A bucket is dealt to blocks, and every two blocks, and each with itself, meet in a group of bounded size.
+    """
+    sizes = rest.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    blocks = sizes.select("key", F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = rest.join(blocks, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", F.col("id").alias("print"))
+    wide = dealt.join(classes.select("print", "n", "sketch"), "print")
+
+    def compare(rows: pa.Table) -> pa.Table:
+        ids, own = rows.column("print").to_numpy(), rows.column("own").to_numpy()
+        sizes = rows.column("n").to_numpy().astype(np.float64)
+        sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype=np.uint16).reshape(-1, REGISTERS)
+        across, part, found = len(np.unique(own)) > 1, np.arange(len(ids)), []
+        for at in range(len(ids)):
+            # What is in one part already needs no more pairs; sizes rule out most others.
+            near = np.flatnonzero((part != part[at]) & (np.arange(len(ids)) > at) & (np.minimum(sizes, sizes[at]) * 100 >= np.maximum(sizes, sizes[at]) * PERCENT))
+            near = near[own[near] != own[at]] if across else near
+            if len(near):
+                ours = np.broadcast_to(sketches[at], (len(near), REGISTERS))
+                near = near[overlap_estimate(ours, sketches[near], np.full(len(near), sizes[at]), sizes[near]) >= PERCENT / 100 - ESTIMATE_MARGIN]
+            for other in near:
+                if part[other] != part[at]:
+                    part[part == part[other]] = part[at]
+                    found.append((ids[at], ids[other]))
+        pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    return stage(wide.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct(), "neardup-blocks")
 
 
 def family_links(docs: DataFrame, close: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
@@ -285,13 +325,9 @@ def class_components(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return components(links.union(family_links(docs, close, links, classes))).withColumnRenamed("node", "print")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row.
-
-    ``component_id`` is the smallest doc_id of the rows that links connect, ``kept`` whether it is the row's own. Rows
-    with a null text or without words are linked with nothing. Repeated rows are in one component and have one doc_id,
-    so each is kept. A null doc_id is never the smallest unless its component has no other; then it is its own.
-    """
+def placed_rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, n, print, component, component_id`` of every row: its component as a number (null without words), and the
+    smallest doc_id there."""
     rows = stage(sketch_table(docs), "neardup-sketches")
     filled = rows.where(F.col("n") > 0)
     classes = stage(filled.select("print", "n", "sketch", "keys").dropDuplicates(["print"]), "neardup-classes")
@@ -300,13 +336,52 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = filled.groupBy("print").agg(F.min("doc_id").alias("first"))
     named = first.join(parts, "print", "left").withColumn("component", F.coalesce("component", "print"))
     lowest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    found = stage(named.select("print", "component").join(lowest, "component").select("print", "component_id"), "neardup-found")
-    out = rows.select("doc_id", "n", "print").join(found, "print", "left")
+    found = stage(named.select("print", "component").join(lowest, "component").select("print", "component", "component_id"), "neardup-found")
+    return rows.select("doc_id", "n", "print").join(found, "print", "left")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row.
+
+    ``component_id`` is the smallest doc_id of the rows that links connect, ``kept`` whether it is the row's own. Rows
+    with a null text or without words are linked with nothing. Repeated rows are in one component and have one doc_id,
+    so each is kept. A null doc_id is never the smallest unless its component has no other; then it is its own.
+    """
     component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return placed_rows(docs).select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs``, with all their columns, that are kept; those with the same doc_id share the decision."""
-    gone = near_duplicates(docs).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """Rows of ``docs``, with all their columns: one of each group of near-duplicates.
+
+    Of rows with a doc_id those with the smallest stay, repeated ones too; rows with the same doc_id share the decision.
+    Rows without a doc_id go where their group has a row with one; else one of the group stays. Rows without words are
+    in no group and stay. Empty tables give no rows.
+    """
+    placed = placed_rows(docs)
+    other = F.col("component_id") != F.col("doc_id")
+    gone = placed.where(other).select(F.col("doc_id").alias("__gone")).distinct()
+    named = docs.where(F.col("doc_id").isNotNull()).join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    # Rows without doc_id know their set only by its shingles, so each text's group is looked up by its fingerprint.
+    nameless = set_prints(docs.where(F.col("doc_id").isNull()))
+    groups = placed.where(F.col("doc_id").isNull() & F.col("print").isNotNull()).select(F.col("print").alias("__print"), "component", "component_id").distinct()
+    groups = groups.select("__print", F.col("component").alias("__component"), F.col("component_id").isNotNull().alias("__named"))
+    grouped = nameless.join(groups, "__print", "left")
+    loose = grouped.where(F.col("__component").isNull())
+    single = grouped.where(~F.col("__named")).dropDuplicates(["__component"])
+    return named.unionByName(loose.unionByName(single).select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
+def set_prints(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__print``, the fingerprint of each text's set (null without words)."""
+    texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").isNotNull()).distinct()
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for first, end, sets, begin in text_sets(batch.column(0), hasher):
+                own = pa.array(fingerprints(sets, begin).view(np.int64), mask=np.diff(begin) == 0)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), own], ["__text", "__print"])
+
+    found = texts.mapInArrow(prints, "__text string, __print long")
+    return docs.join(found, F.col("text").cast("string") == F.col("__text"), "left").drop("__text")

@@ -96,3 +96,11 @@ def test_short_items_in_longer_texts(spark):
     bench = [(1, "who wrote this odd poem"), (2, "why not")]
     got = flags(spark, ["they asked me who wrote this odd poem last night at home", "who wrote this odd poem", "so why not go there and see for yourself", "why not", "who wrote that odd poem"], bench)
     assert [got[i].item_id for i in range(5)] == [1, 1, None, 2, None]
+
+
+def test_clean_rows_stay_whatever_their_id(spark):
+    """One leaking row takes neither other rows without an id with it, nor others of the same id."""
+    clean = "a plain row of words that has nothing at all to do with trains or stations of any kind"
+    docs = spark.createDataFrame([(None, ITEM), (None, clean), (1, ITEM), (1, clean), (1, clean), (None, None), (2, "")], "doc_id long, text string")
+    kept = decontaminate.without_leaks(docs, spark.createDataFrame([(1, ITEM)], BENCH)).collect()
+    assert sorted(((r.doc_id or 0), r.text or "") for r in kept) == sorted([(0, clean), (1, clean), (1, clean), (0, ""), (2, "")])

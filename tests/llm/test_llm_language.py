@@ -72,3 +72,15 @@ def test_a_text_gives_all_its_weight():
     assert got.sum(axis=1).tolist() == [langid.TEXT_WEIGHT, langid.TEXT_WEIGHT, 0, langid.TEXT_WEIGHT]
     exact = counts * langid.TEXT_WEIGHT / np.maximum(1, counts.sum(axis=1))[:, None]
     assert np.abs(got - exact).max() <= 1 and (got[counts == 0] == 0).all()
+
+
+def test_large_alphabets_in_strips(spark, monkeypatch):
+    """Sums over strips are those of the whole, and a text of many different trigrams needs little memory."""
+    binder = langid.Binder(64)
+    text = "".join(map(chr, np.random.default_rng(3).integers(0x4E00, 0x9F00, 200_000)))
+    codes, counts = binder.counts([text, "plain words in a row"])
+    assert len(codes) > 50_000
+    whole = counts.astype(float) @ binder.vectors(codes).astype(float)
+    assert (langid.bundled(binder, counts, codes) == whole).all()
+    monkeypatch.setattr(langid, "STRIP", 7)
+    assert (langid.bundled(binder, counts[:, :1000], codes[:1000]) == counts[:, :1000].astype(float) @ binder.vectors(codes[:1000]).astype(float)).all()

@@ -73,3 +73,11 @@ def test_passages_within_one_site(spark):
     got = {r.doc_id: r.text for r in lines.cleaned(docs, long_copies=True).collect()}
     assert got[0] == rows[0][1] and all(got[i] == f"start {i}\n{short}" for i in (1, 2, 3))
     assert (got[9], got[10]) == (f"{short} again", "") and got[20] == f"{passage} twice\n{passage} twice" and got[None] == f"{passage}\nx"
+
+
+def test_many_common_lines_in_one_text(spark):
+    """Linear in the number of lines: 60,000 of them on two sites."""
+    text = "\n".join(f"one common line of text with number {i}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (2, "another row of the same document", "b")], "doc_id long, text string, source string")
+    got = sorted(((r.doc_id, r.n_lines, r.n_removed) for r in lines.line_rows(docs).collect()))
+    assert got == [(1, 60_000, 0), (2, 1, 0), (2, 60_000, 60_000)]

@@ -74,3 +74,30 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 200: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_every_family_of_a_bucket_has_a_leader(spark, monkeypatch):
+    """Six unlike families of two in one bucket, dealt to several blocks: each pair is found."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 3)
+    rng = random.Random(2)
+    rows = []
+    for family in range(6):
+        words = [f"f{family}w{rng.randrange(10**6)}" for _ in range(200)]
+        rows += [(2 * family, " ".join(words)), (2 * family + 1, " ".join(words + ["and one more"]))]
+    table = neardup.stage(neardup.sketch_table(spark.createDataFrame(rows, "doc_id long, text string")), "test")
+    classes = table.withColumn("keys", F.array(F.lit(7).cast("long")))
+    ids = {r["print"]: r.doc_id for r in table.collect()}
+    got = {r.node: r.component for r in components(neardup.likely_pairs(classes)).collect()}
+    assert len(got) == 12 and all(ids[a] // 2 == ids[b] // 2 for a, b in got.items()) and len(set(got.values())) == 6
+
+
+def test_one_of_each_group_stays_without_ids(spark):
+    one, two, three = ("the quick brown fox jumps over a lazy dog " + w * 12 for w in ("near the river ", "by the old mill ", "on some far hill "))
+    rows = [(1, one), (None, one), (None, one.upper()), (None, two), (None, two), (None, two + "x"), (None, None), (None, " "), (None, " "), (4, three), (4, three), (5, three), (None, "tiny")]
+    frame = spark.createDataFrame([(*r, {"k": 1}) for r in rows], "doc_id long, text string, component map<string,int>").repartition(3)
+    got = [(r.doc_id, (r.text or "").strip()[:60]) for r in neardup.keep_first(frame).collect()]
+    assert sorted(i for i, _ in got if i) == [1, 4, 4]
+    texts = sorted(t for i, t in got if i is None)
+    assert texts == sorted(["", "", "", "tiny", two[:60]])
