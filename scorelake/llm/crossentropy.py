@@ -5,12 +5,13 @@ same smoothing, and one vocabulary and one set of bigrams for both. A document's
 the target model's loss less the background model's; the lower, the nearer to the target.
 
 Counts cover all documents, and all words and bigrams count, however rare (``WORD_SHARE`` and ``PAIR_SHARE`` are 0 for
-that; with larger ones, rarer words are one unknown word and rarer bigrams have no entry). They stay tables: bigrams are
-counted in tasks, words are their sums, and each distinct bigram is given its loss under both models. A bigram without
-entry gets its word's share of what its context has left, so each model sums to one.
+that; with larger ones, rarer words are one unknown word and rarer bigrams have no entry). A bigram without entry gets
+its word's share of what its context has left, so each model sums to one.
 
-Words and bigrams with at least ``HOT_WORD`` and ``HOT_PAIR`` of all tokens, of which there are at most 1 / share, are
-sent to every task; the others, none of which many rows have, are joined. This only spares shuffles, results are the same.
+Texts are packed into units of a few megabytes. A unit counts its distinct words and bigrams once and sends each to the
+bucket of its hash, as sorted 64-bit keys whose differences are packed; a bucket adds up what all units sent and answers
+each unit with the sums, in the order of its keys. So nothing is sent for each token, a frequent word is one entry a
+unit, and the keys themselves travel once. Units then score their texts, in double precision.
 """
 
 from __future__ import annotations
@@ -18,138 +19,189 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.blocks import Hasher, bitmap, in_bitmap, mix, text_blocks
+from scorelake.llm.blocks import SPACES, Hasher, bitmap, in_bitmap, mix, spans, text_blocks
 from scorelake.session import ship_by_value, stage
 
 #: Least shares of all tokens of the words and bigrams that are told apart.
 WORD_SHARE, PAIR_SHARE = 0.0, 0.0
-HOT_WORD, HOT_PAIR = 4e-6, 5e-7
 #: Weight of a context's own counts, and what every word has been seen more than it was.
 BIGRAM_WEIGHT, PSEUDO = 0.6, 0.5
-#: A task's counts are merged when so many have come together.
-MERGE_ROWS = 1 << 21
-#: Context of a text's first word.
-START = 0
+#: Bytes of text in a unit (a longer text is one of its own), and tokens for each bucket.
+UNIT_BYTES, BUCKET_TOKENS = 8 << 20, 1 << 21
+WORDS, PAIRS, FOLLOWED = 0, 1, 2
 
 ship_by_value(__name__)
 
 
-class Counter:
-    """Counts of bigrams, merged now and then; given away when merging leaves many, so memory is bounded."""
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, all lowest bytes first, so that small ones take little room once compressed."""
+    return pa.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, ...]] = []
-        self.rows = 0
 
-    def add(self, before: np.ndarray, after: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append(merged([(pair_keys(before, after), before, after, np.ones(len(after), dtype=np.int64))]))
-        self.rows += len(self.parts[-1][0])
-        if self.rows > MERGE_ROWS:
-            self.parts = [merged(self.parts)]
-            self.rows = len(self.parts[0][0])
-            if self.rows > MERGE_ROWS // 2:
-                yield from self.rest()
+def unpack(blob: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, size * 8, codec="zstd", asbytes=True), dtype=np.uint8).reshape(8, size)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(size)
 
-    def rest(self) -> Iterator[pa.RecordBatch]:
-        if self.parts:
-            _, before, after, counts = merged(self.parts)
-            for at in range(0, len(counts), 1 << 18):
-                own = slice(at, at + (1 << 18))
-                yield pa.RecordBatch.from_arrays([pa.array(before[own].view(np.int64)), pa.array(after[own].view(np.int64)), pa.array(counts[own])], ["a", "b", "count"])
-        self.parts, self.rows = [], 0
 
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences."""
+    return pack(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
 
-def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Distinct keys, their words and the sums of their counts."""
-    keys, before, after, counts = (np.concatenate(p) for p in zip(*parts))
-    keys, one, at = np.unique(keys, return_index=True, return_inverse=True)
-    return keys, before[one], after[one], np.bincount(at, counts, len(keys)).astype(np.int64)
+
+def unpack_keys(blob: bytes, size: int) -> np.ndarray:
+    return np.cumsum(unpack(blob, size).view(np.uint64), dtype=np.uint64)
 
 
 def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(after))
 
 
-def contexts_of(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The word before each word, ``START`` for the first of a text."""
-    before = np.concatenate([np.full(1, START, dtype=np.uint64), tokens[:-1]])[: len(tokens)]
-    before[first[:-1][first[:-1] < len(tokens)]] = START
-    return before
-
+def marked(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """``doc_id, text, own``: whether the row's doc_id is in ``target``.
 
-def counted(docs: DataFrame) -> DataFrame:
-    """``a, b, count`` of bigrams over all texts, by task."""
+    A bit set of fixed size tells most others from them, so that little more than the target's text is shuffled.
+    """
+    ids = target.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct()
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids, F.xxhash64("doc_id")))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, counter = Hasher(), Counter()
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(bits.value, keys.to_numpy(dtype=np.int64).view(np.uint64)))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("maybe", F.col("doc_id").isNotNull() & maybe(F.xxhash64("doc_id")))
+    found = rows.where("maybe").join(ids.withColumn("own", F.lit(True)).hint("shuffle_hash"), "doc_id", "left")
+    others = rows.where("NOT maybe").select("doc_id", "text", F.lit(False).alias("own"))
+    return others.union(found.select("doc_id", "text", F.coalesce("own", F.lit(False)).alias("own")))
+
+
+def units_of(rows: DataFrame) -> DataFrame:
+    """One row for each unit: ids, marks and text of its documents, and how many tokens it and its target texts have."""
+    names = ["doc_id", "own", "offsets", "text", "tokens", "own_tokens"]
+
+    def units(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        table = table.combine_chunks()
+        ids, own = (table.column(c).combine_chunks() for c in (0, 2))
+        for begin, end, data, offsets in text_blocks(table.column(1).combine_chunks(), UNIT_BYTES):
+            sizes = np.diff(spans(~SPACES[data], offsets)[2])
+            marks = own.slice(begin, end - begin)
+            own_tokens = int(sizes[marks.to_numpy(zero_copy_only=False).astype(bool)].sum())
+            columns = [[ids.slice(begin, end - begin).to_pylist()], [marks.to_pylist()], [pack(offsets)], [pa.compress(data.tobytes(), codec="zstd", asbytes=True)]]
+            types = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary()]
+            columns = [pa.array(c, t) for c, t in zip(columns, types)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([int(sizes.sum())]), pa.array([own_tokens])], names)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            for _, _, data, offsets in text_blocks(batch.column(0)):
-                tokens, first = hasher.words(data, offsets)
-                yield from counter.add(contexts_of(tokens, first), tokens)
-        yield from counter.rest()
+            parts.append(batch)
+            held += batch.nbytes
+            if held >= UNIT_BYTES:
+                yield from units(pa.Table.from_batches(parts))
+                parts, held = [], 0
+        if parts:
+            yield from units(pa.Table.from_batches(parts))
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(count, "a long, b long, count long")
+    types = "doc_id array<long>, own array<boolean>, offsets binary, text binary, tokens long, own_tokens long"
+    return stage(rows.mapInArrow(gather, types).withColumn("unit", F.monotonically_increasing_id()), "crossentropy-units")
 
 
-def target_texts(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """Texts of the rows of ``docs`` whose doc_id is in ``target``: a bit set of fixed size spares most others the shuffle."""
-    ids = target.select(F.col("doc_id").cast("long").alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct()
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(ids, F.xxhash64("doc_id")))
+class Unit:
+    """Distinct words and bigrams of a unit, in the order of their keys."""
+
+    def __init__(self, row: dict, hasher: Hasher) -> None:
+        own = np.asarray(row["own"], dtype=bool)
+        offsets = unpack(row["offsets"], len(own) + 1)
+        data = np.frombuffer(pa.decompress(row["text"], int(offsets[-1]), codec="zstd", asbytes=True), dtype=np.uint8)
+        tokens, self.first = hasher.words(data, offsets)
+        self.sizes = np.diff(self.first)
+        self.own = np.repeat(own, self.sizes)
+        self.words, self.word_at = np.unique(tokens, return_inverse=True)
+        #: Whether a token has one before it, and one after it, in its text.
+        self.later, self.followed = np.ones(len(tokens), dtype=bool), np.ones(len(tokens), dtype=bool)
+        full = self.sizes > 0
+        self.later[self.first[:-1][full]] = False
+        self.followed[self.first[1:][full] - 1] = False
+        after = np.flatnonzero(self.later)
+        self.pairs, one, self.pair_at = np.unique(pair_keys(tokens[after - 1], tokens[after]), return_index=True, return_inverse=True)
+        self.before, self.after = self.word_at[after[one] - 1], self.word_at[after[one]]
+
+    def counts(self) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
+        """Kind, keys and counts: of words in all and in target texts and where no word follows, of bigrams in both."""
+        number = lambda at, chosen, size: np.bincount(at[chosen], minlength=size)
+        w, last = len(self.words), ~self.followed
+        yield WORDS, self.words, [np.bincount(self.word_at, minlength=w), number(self.word_at, self.own, w), number(self.word_at, last, w), number(self.word_at, last & self.own, w)]
+        p = len(self.pairs)
+        yield PAIRS, self.pairs, [np.bincount(self.pair_at, minlength=p), number(self.pair_at, self.own[self.later], p)]
+
+
+def parcels(unit: int, kind: int, keys: np.ndarray, counts: list[np.ndarray], buckets: int) -> Iterator[tuple]:
+    """A unit's keys and counts, cut where the buckets of equal key ranges end."""
+    at = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    cuts = np.append(np.flatnonzero(np.diff(at, prepend=np.uint64(buckets))), len(keys))
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        yield kind, int(at[low]), unit, int(high - low), pack_keys(keys[low:high]), pack(np.concatenate([c[low:high] for c in counts]))
 
-    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield batch.filter(pa.array(in_bitmap(bits.value, keys)))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
-    found = rows.select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(maybe, "doc_id long, text string, h long")
-    # The same join at every size: what is shuffled is the target's text, once.
-    return stage(found.join(ids.hint("shuffle_hash"), "doc_id", "left_semi").select("text"), "crossentropy-target")
+PARCEL = "kind int, bucket int, unit long, size int, keys binary, counts binary"
+REPLY = "unit long, kind int, bucket int, size int, counts binary, kinds long, seen long, own_seen long"
 
 
-def looked_up(rows: DataFrame, column: str, words: DataFrame) -> DataFrame:
-    """``rows`` with the columns of ``words`` (``word``, ``hot`` and others) of the word in ``column``; null without."""
-    named = words.withColumnRenamed("word", column)
-    hot, cold = F.broadcast(named.where("hot").drop("hot")), named.where("NOT hot").drop("hot")
-    return rows.join(hot, column).unionByName(rows.join(hot.select(column), column, "left_anti").join(cold, column, "left"))
+def record(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
 
-def pair_losses(docs: DataFrame, chosen: DataFrame) -> tuple[DataFrame, int]:
-    """``a, b, n, target, background``: every bigram of the texts, how often it is there and the log of its second word's
-    share under both models; and the number of tokens."""
-    both = counted(docs).select("a", "b", F.col("count").alias("n"), F.lit(0).cast("long").alias("own"))
-    both = both.union(counted(chosen).select("a", "b", F.lit(0).cast("long"), "count"))
-    pairs = stage(both.groupBy("a", "b").agg(F.sum("n").alias("n"), F.sum("own").alias("own")), "crossentropy-pairs")
-    words = stage(pairs.groupBy(F.col("b").alias("word")).agg(F.sum("n").alias("n"), F.sum("own").alias("own")), "crossentropy-words")
-    total, own_total = (int(v or 0) for v in words.agg(F.sum("n"), F.sum("own")).first())
-    known, hot = F.col("n") >= WORD_SHARE * total, (F.col("n") >= HOT_WORD * total).alias("hot")
-    kinds, seen, own_seen = (int(v or 0) for v in words.where(known).agg(F.count("*"), F.sum("n"), F.sum("own")).first())
+def parcel_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    return record(rows, ["kind", "bucket", "unit", "size", "keys", "counts"], types)
 
-    def share(count: Column, rest: int, size: int) -> Column:
-        """Share of a word; all unknown ones are one."""
-        return (F.when(known, count).otherwise(rest) + PSEUDO) / (size + PSEUDO * (kinds + 1))
 
-    shares = words.select("word", hot, known.alias("after_known"), share(F.col("own"), own_total - own_seen, own_total).alias("target_share"), share(F.col("n"), total - seen, total).alias("share"))
-    rows = looked_up(pairs, "b", shares)
-    entry = (F.col("a") != START) & F.col("after_known") & (F.col("n") >= PAIR_SHARE * total)
-    rows = stage(rows.withColumn("entry", entry).drop("after_known"), "crossentropy-shares")
+def answered(sent: DataFrame, least: float) -> DataFrame:
+    """For each parcel the sums over all units, in the order of its keys.
 
-    followed = rows.where("entry").groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n_on"), F.sum("own").alias("own_on"))
-    left = lambda on, count: F.when(known, 1 - BIGRAM_WEIGHT * F.coalesce(on, F.lit(0)) / F.greatest(count, F.lit(1))).otherwise(1.0)
-    befores = words.join(followed, "word", "left").select("word", hot, F.col("n").alias("n_a"), F.col("own").alias("own_a"), known.alias("known_a"), left(F.col("own_on"), F.col("own")).alias("target_left"), left(F.col("n_on"), F.col("n")).alias("left"))
-    befores = stage(befores, "crossentropy-contexts")
-    rows = looked_up(rows, "a", befores)
-    used = F.col("entry") & F.coalesce("known_a", F.lit(False))
+    One parcel of each bucket also says how many of its keys have ``least`` or more, and how often those are there.
+    """
+
+    widths = {WORDS: 4, PAIRS: 2, FOLLOWED: 2}
+
+    def add(_: tuple, table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        keys = [unpack_keys(r["keys"], r["size"]) for r in rows]
+        width = widths[rows[0]["kind"]]
+        counts = [unpack(r["counts"], width * r["size"]).reshape(width, r["size"]) for r in rows]
+        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = [np.bincount(at, np.concatenate([c[i] for c in counts])).astype(np.int64) for i in range(width)]
+        often = sums[0] >= least
+        about = (int(often.sum()), int(sums[0][often].sum()), int(sums[1][often].sum()))
+        out, low = [], 0
+        for r in rows:
+            own = at[low : low + r["size"]]
+            out.append((r["unit"], r["kind"], r["bucket"], r["size"], pack(np.concatenate([s[own] for s in sums])), *(about if not low else (0, 0, 0))))
+            low += r["size"]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        return pa.Table.from_batches([record(out, ["unit", "kind", "bucket", "size", "counts", "kinds", "seen", "own_seen"], types)])
+
+    return stage(sent.groupBy("kind", "bucket").applyInArrow(add, REPLY), "crossentropy-replies")
+
+
+def reply(table: pa.Table, kind: int, width: int) -> np.ndarray:
+    """The sums of one kind for a unit, in the order of its keys."""
+    rows = sorted((r for r in table.to_pylist() if r["kind"] == kind), key=lambda r: r["bucket"])
+    return np.concatenate([np.zeros((width, 0), dtype=np.int64), *(unpack(r["counts"], width * r["size"]).reshape(width, r["size"]) for r in rows)], axis=1)
 
-    def chance(count: str, context: str, rest: str, own_share: str) -> Column:
-        own = F.when(used, BIGRAM_WEIGHT * F.col(count) / F.greatest(F.col(context), F.lit(1))).otherwise(0.0)
-        return F.log(own + F.coalesce(rest, F.lit(1.0)) * F.col(own_share))
 
-    return rows.select("a", "b", "n", chance("own", "own_a", "target_left", "target_share").alias("target"), chance("n", "n_a", "left", "share").alias("background")), total
+def met(units: DataFrame, replies: DataFrame, work, types: str) -> DataFrame:
+    """``work(unit row, replies)`` for each unit."""
+
+    def each(_: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        return work(left.to_pylist()[0], right)
+
+    return units.groupBy("unit").cogroup(replies.select("unit", "kind", "bucket", "size", "counts").groupBy("unit")).applyInArrow(each, types)
 
 
 def cross_entropy_rows(docs: DataFrame, target: DataFrame) -> DataFrame:
@@ -159,59 +211,56 @@ def cross_entropy_rows(docs: DataFrame, target: DataFrame) -> DataFrame:
     scored each; a null doc_id is in no target. Without target documents, or in an empty corpus, a model knows nothing
     and gives all words the same share.
     """
-    sc = docs.sparkSession.sparkContext
-    losses, total = pair_losses(docs, target_texts(docs, target))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            before, after = (batch.column(c).to_numpy().view(np.uint64) for c in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(pair_keys(before, after).view(np.int64)), *batch.columns[2:]], ["key", "n", "target", "background"])
-
-    losses = stage(losses.mapInArrow(keyed, "key long, n long, target double, background double"), "crossentropy-losses")
-    often = F.col("n") >= HOT_PAIR * total
-    hot = losses.where(often).select("key", "target", "background").toPandas()
-    keys = hot["key"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    shared = sc.broadcast((keys[order], *(hot[c].to_numpy(dtype=np.float32)[order] for c in ("target", "background"))))
-
-    def parts(column: pa.Array) -> Iterator[tuple]:
-        """Rows from, to, number of words, text of each word, bigram keys, places in the hot table and whether there."""
-        hasher, known = Hasher(), shared.value[0]
-        for begin, end, data, offsets in text_blocks(column):
-            tokens, first = hasher.words(data, offsets)
-            bigrams = pair_keys(contexts_of(tokens, first), tokens)
-            at = np.minimum(np.searchsorted(known, bigrams), max(0, len(known) - 1))
-            there = known[at] == bigrams if len(known) else np.zeros(len(bigrams), dtype=bool)
-            yield begin, end, np.diff(first), np.repeat(np.arange(end - begin), np.diff(first)), bigrams, at, there
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            prints = batch.column(1).to_numpy()
-            for begin, _, _, owner, bigrams, _, there in parts(batch.column(0)):
-                yield pa.RecordBatch.from_arrays([pa.array(prints[begin + owner[~there]]), pa.array(bigrams[~there].view(np.int64))], ["print", "key"])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, *models = shared.value
+    units = units_of(marked(docs, target))
+    total, own_total = (int(v or 0) for v in units.agg(F.sum("tokens"), F.sum("own_tokens")).first())
+    buckets = max(1, -(-total // BUCKET_TOKENS))
+    word_least, pair_least = WORD_SHARE * total, PAIR_SHARE * total
+    weight, pseudo = BIGRAM_WEIGHT, PSEUDO
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
         for batch in batches:
-            prints = batch.column(2).to_numpy()
-            for begin, end, sizes, owner, _, at, there in parts(batch.column(1)):
-                sums = [np.bincount(owner[there], m[at[there]], end - begin).astype(np.float64) for m in models]
-                open_ = np.bincount(owner[~there], minlength=end - begin)
-                # A text that is done needs no partner; it gets a key of its own, so that many such don't meet in one task.
-                own = np.where(open_ > 0, prints[begin:end], mix(np.arange(begin, end).astype(np.uint64) ^ prints[begin:end].view(np.uint64)).view(np.int64))
-                columns = [batch.column(0).slice(begin, end - begin), pa.array(own), pa.array(sizes.astype(np.int64)), pa.array(open_), *map(pa.array, sums)]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "print", "n_tokens", "open", "own_target", "own_background"])
-
-    # Rows with the same text have the same losses, so texts are named by their hash. Copies add up and are divided again.
-    text, name = F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("print")
-    asked = docs.select(text, name).mapInArrow(rare, "print long, key long")
-    found = asked.join(losses.where(~often).drop("n"), "key").groupBy("print").agg(F.count("*").alias("met"), F.sum("target").alias("target"), F.sum("background").alias("background"))
-    types = "doc_id long, print long, n_tokens long, open long, own_target double, own_background double"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, name).mapInArrow(score, types).join(found, "print", "left")
-
-    def loss(model: str) -> Column:
-        others = F.when(F.col("open") > 0, F.col(model) * F.col("open") / F.col("met")).otherwise(0.0)
-        return (0.0 - F.col(f"own_{model}") - others) / F.greatest("n_tokens", F.lit(1))
-
-    out = rows.select("doc_id", "n_tokens", loss("target").alias("target_loss"), loss("background").alias("background_loss"))
-    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                for kind, keys, counts in Unit(row, hasher).counts():
+                    yield parcel_batch(list(parcels(row["unit"], kind, keys, counts, buckets)))
+
+    replies = answered(units.mapInArrow(send, PARCEL), word_least)
+    about = replies.where(F.col("kind") == WORDS).agg(F.sum("kinds"), F.sum("seen"), F.sum("own_seen")).first()
+    kinds, seen, own_seen = (int(v or 0) for v in about)
+
+    def entries(unit: Unit, words: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        known = words[0] >= word_least
+        return known[unit.before] & known[unit.after] & (pairs[0] >= pair_least)
+
+    cut = bool(word_least or pair_least)
+    if cut:
+        # How often a word is followed by one that makes an entry: what units have of it is added up by word.
+        def send_followed(row: dict, answers: pa.Table) -> pa.Table:
+            unit = Unit(row, Hasher())
+            there = entries(unit, reply(answers, WORDS, 4), reply(answers, PAIRS, 2))[unit.pair_at]
+            at, own = unit.word_at[np.flatnonzero(unit.later) - 1], unit.own[unit.later]
+            counts = [np.bincount(at[m], minlength=len(unit.words)) for m in (there, there & own)]
+            return pa.Table.from_batches([parcel_batch(list(parcels(row["unit"], FOLLOWED, unit.words, counts, buckets)))])
+
+        replies = replies.union(answered(met(units, replies, send_followed, PARCEL), 0))
+
+    def score(row: dict, answers: pa.Table) -> pa.Table:
+        unit = Unit(row, Hasher())
+        words, pairs = reply(answers, WORDS, 4), reply(answers, PAIRS, 2)
+        followed = reply(answers, FOLLOWED, 2) if cut else words[:2] - words[2:]
+        known, used = words[0] >= word_least, entries(unit, words, pairs)
+        losses = []
+        for m, size, rest in ((1, own_total, own_total - own_seen), (0, total, total - seen)):
+            share = (np.where(known, words[m], rest) + pseudo) / (size + pseudo * (kinds + 1))
+            of = np.maximum(words[m], 1)
+            left = np.where(known, 1 - weight * followed[m] / of, 1.0)
+            chance = np.where(used, weight * pairs[m] / of[unit.before], 0.0) + left[unit.before] * share[unit.after]
+            each = np.log(share)[unit.word_at]
+            each[unit.later] = np.log(chance)[unit.pair_at]
+            sums = np.bincount(np.repeat(np.arange(len(unit.sizes)), unit.sizes), each, len(unit.sizes))
+            losses.append((0.0 - sums) / np.maximum(unit.sizes, 1))
+        columns = [pa.array(row["doc_id"], pa.int64()), pa.array(unit.sizes.astype(np.int64)), *map(pa.array, losses), pa.array(losses[0] - losses[1])]
+        return pa.table(columns, names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return met(units, replies, score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
