@@ -8,7 +8,7 @@ Counts cover all documents, and all words and bigrams count, however rare (``WOR
 that; with larger ones, rarer words are one unknown word and rarer bigrams have no entry). A bigram without entry gets
 its word's share of what its context has left, so each model sums to one.
 
-Texts are packed into units of a few megabytes. A unit counts its distinct words and bigrams once and sends each to the
+Texts are packed into units of a few megabytes, in which words are numbers from then on. A unit counts its distinct words and bigrams once and sends each to the
 bucket of its hash, as sorted 64-bit keys whose differences are packed; a bucket adds up what all units sent and answers
 each unit with the sums, in the order of its keys. So nothing is sent for each token, a frequent word is one entry a
 unit, and the keys themselves travel once. Units then score their texts, in double precision.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelake.llm.blocks import SPACES, Hasher, bitmap, in_bitmap, mix, spans, text_blocks
+from scorelake.llm.blocks import Hasher, bitmap, in_bitmap, mix, text_blocks
 from scorelake.session import ship_by_value, stage
 
 #: Least shares of all tokens of the words and bigrams that are told apart.
@@ -39,18 +39,24 @@ ship_by_value(__name__)
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Whole numbers byte by byte, all lowest bytes first, so that small ones take little room once compressed."""
-    return pa.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+    """Whole numbers from 0 as their lowest bytes, then the next ones, as far as the largest needs them; compressed."""
+    values = values.astype("<u8")
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def unpack(blob: bytes, size: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(blob, size * 8, codec="zstd", asbytes=True), dtype=np.uint8).reshape(8, size)
-    return np.ascontiguousarray(planes.T).view("<i8").reshape(size)
+    width = blob[0]
+    planes = np.frombuffer(pa.decompress(blob[1:], size * width, codec="zstd", asbytes=True), dtype=np.uint8)
+    out = np.zeros((size, 8), dtype=np.uint8)
+    out[:, :width] = planes.reshape(width, size).T
+    return out.view("<i8").reshape(size)
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
     """Sorted keys as differences."""
-    return pack(np.diff(keys, prepend=np.uint64(0)).view(np.int64))
+    return pack(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpack_keys(blob: bytes, size: int) -> np.ndarray:
@@ -61,6 +67,17 @@ def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
     return mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(after))
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, a place of each, and for each place the number of its key."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    at = np.empty(len(keys), dtype=np.int64)
+    at[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], at
+
+
 def marked(docs: DataFrame, target: DataFrame) -> DataFrame:
     """``doc_id, text, own``: whether the row's doc_id is in ``target``.
 
@@ -81,55 +98,53 @@ def marked(docs: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def units_of(rows: DataFrame) -> DataFrame:
-    """One row for each unit: ids, marks and text of its documents, and how many tokens it and its target texts have."""
-    names = ["doc_id", "own", "offsets", "text", "tokens", "own_tokens"]
-
-    def units(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        table = table.combine_chunks()
-        ids, own = (table.column(c).combine_chunks() for c in (0, 2))
-        for begin, end, data, offsets in text_blocks(table.column(1).combine_chunks(), UNIT_BYTES):
-            sizes = np.diff(spans(~SPACES[data], offsets)[2])
-            marks = own.slice(begin, end - begin)
-            own_tokens = int(sizes[marks.to_numpy(zero_copy_only=False).astype(bool)].sum())
-            columns = [[ids.slice(begin, end - begin).to_pylist()], [marks.to_pylist()], [pack(offsets)], [pa.compress(data.tobytes(), codec="zstd", asbytes=True)]]
-            types = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary()]
-            columns = [pa.array(c, t) for c, t in zip(columns, types)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([int(sizes.sum())]), pa.array([own_tokens])], names)
+    """One row for each unit: ids, marks and numbers of words of its documents, its distinct words, and its text by them."""
+    names = ["doc_id", "own", "sizes", "words", "n_words", "text", "tokens", "own_tokens"]
+    kinds = [pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+
+    def units(table: pa.Table, hasher: Hasher) -> Iterator[pa.RecordBatch]:
+        ids, texts, own = (table.column(c).combine_chunks() for c in range(3))
+        for begin, end, data, offsets in text_blocks(texts, UNIT_BYTES):
+            tokens, first = hasher.words(data, offsets)
+            found, words = pd.factorize(tokens)
+            order = np.argsort(words)
+            place = np.empty(len(words), dtype=np.int64)
+            place[order] = np.arange(len(words))
+            sizes, marks = np.diff(first), own.slice(begin, end - begin)
+            own_tokens = int(sizes[np.asarray(marks.to_pylist(), dtype=bool)].sum())
+            row = (ids.slice(begin, end - begin).to_pylist(), marks.to_pylist(), pack(sizes), pack_keys(words[order]), len(words), pack(place[found]), len(tokens), own_tokens)
+            yield record([row], names, kinds)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+        hasher, parts, held = Hasher(), [], 0
         for batch in batches:
             parts.append(batch)
             held += batch.nbytes
             if held >= UNIT_BYTES:
-                yield from units(pa.Table.from_batches(parts))
+                yield from units(pa.Table.from_batches(parts), hasher)
                 parts, held = [], 0
         if parts:
-            yield from units(pa.Table.from_batches(parts))
+            yield from units(pa.Table.from_batches(parts), hasher)
 
-    types = "doc_id array<long>, own array<boolean>, offsets binary, text binary, tokens long, own_tokens long"
+    types = "doc_id array<long>, own array<boolean>, sizes binary, words binary, n_words long, text binary, tokens long, own_tokens long"
     return stage(rows.mapInArrow(gather, types).withColumn("unit", F.monotonically_increasing_id()), "crossentropy-units")
 
 
 class Unit:
     """Distinct words and bigrams of a unit, in the order of their keys."""
 
-    def __init__(self, row: dict, hasher: Hasher) -> None:
-        own = np.asarray(row["own"], dtype=bool)
-        offsets = unpack(row["offsets"], len(own) + 1)
-        data = np.frombuffer(pa.decompress(row["text"], int(offsets[-1]), codec="zstd", asbytes=True), dtype=np.uint8)
-        tokens, self.first = hasher.words(data, offsets)
-        self.sizes = np.diff(self.first)
-        self.own = np.repeat(own, self.sizes)
-        self.words, self.word_at = np.unique(tokens, return_inverse=True)
+    def __init__(self, row: dict) -> None:
+        self.sizes = unpack(row["sizes"], len(row["own"]))
+        self.own = np.repeat(np.asarray(row["own"], dtype=bool), self.sizes)
+        self.words, self.word_at = unpack_keys(row["words"], row["n_words"]), unpack(row["text"], row["tokens"])
         #: Whether a token has one before it, and one after it, in its text.
-        self.later, self.followed = np.ones(len(tokens), dtype=bool), np.ones(len(tokens), dtype=bool)
-        full = self.sizes > 0
-        self.later[self.first[:-1][full]] = False
-        self.followed[self.first[1:][full] - 1] = False
-        after = np.flatnonzero(self.later)
-        self.pairs, one, self.pair_at = np.unique(pair_keys(tokens[after - 1], tokens[after]), return_index=True, return_inverse=True)
-        self.before, self.after = self.word_at[after[one] - 1], self.word_at[after[one]]
+        self.later, self.followed = np.ones(len(self.word_at), dtype=bool), np.ones(len(self.word_at), dtype=bool)
+        ends = np.cumsum(self.sizes)[self.sizes > 0]
+        self.later[ends - self.sizes[self.sizes > 0]] = False
+        self.followed[ends - 1] = False
+        before, after = self.word_at[self.followed], self.word_at[self.later]
+        self.pairs, one, self.pair_at = distinct(pair_keys(self.words[before], self.words[after]))
+        self.before, self.after = before[one], after[one]
 
     def counts(self) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
         """Kind, keys and counts: of words in all and in target texts and where no word follows, of bigrams in both."""
@@ -174,7 +189,7 @@ def answered(sent: DataFrame, least: float) -> DataFrame:
         keys = [unpack_keys(r["keys"], r["size"]) for r in rows]
         width = widths[rows[0]["kind"]]
         counts = [unpack(r["counts"], width * r["size"]).reshape(width, r["size"]) for r in rows]
-        _, at = np.unique(np.concatenate(keys), return_inverse=True)
+        _, _, at = distinct(np.concatenate(keys))
         sums = [np.bincount(at, np.concatenate([c[i] for c in counts])).astype(np.int64) for i in range(width)]
         often = sums[0] >= least
         about = (int(often.sum()), int(sums[0][often].sum()), int(sums[1][often].sum()))
@@ -218,11 +233,10 @@ def cross_entropy_rows(docs: DataFrame, target: DataFrame) -> DataFrame:
     weight, pseudo = BIGRAM_WEIGHT, PSEUDO
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                for kind, keys, counts in Unit(row, hasher).counts():
+                for kind, keys, counts in Unit(row).counts():
                     yield parcel_batch(list(parcels(row["unit"], kind, keys, counts, buckets)))
 
     replies = answered(units.mapInArrow(send, PARCEL), word_least)
@@ -237,16 +251,16 @@ def cross_entropy_rows(docs: DataFrame, target: DataFrame) -> DataFrame:
     if cut:
         # How often a word is followed by one that makes an entry: what units have of it is added up by word.
         def send_followed(row: dict, answers: pa.Table) -> pa.Table:
-            unit = Unit(row, Hasher())
+            unit = Unit(row)
             there = entries(unit, reply(answers, WORDS, 4), reply(answers, PAIRS, 2))[unit.pair_at]
-            at, own = unit.word_at[np.flatnonzero(unit.later) - 1], unit.own[unit.later]
+            at, own = unit.word_at[unit.followed], unit.own[unit.later]
             counts = [np.bincount(at[m], minlength=len(unit.words)) for m in (there, there & own)]
             return pa.Table.from_batches([parcel_batch(list(parcels(row["unit"], FOLLOWED, unit.words, counts, buckets)))])
 
         replies = replies.union(answered(met(units, replies, send_followed, PARCEL), 0))
 
     def score(row: dict, answers: pa.Table) -> pa.Table:
-        unit = Unit(row, Hasher())
+        unit = Unit(row)
         words, pairs = reply(answers, WORDS, 4), reply(answers, PAIRS, 2)
         followed = reply(answers, FOLLOWED, 2) if cut else words[:2] - words[2:]
         known, used = words[0] >= word_least, entries(unit, words, pairs)
