@@ -63,8 +63,9 @@ def unpack_keys(blob: bytes, size: int) -> np.ndarray:
     return np.cumsum(unpack(blob, size).view(np.uint64), dtype=np.uint64)
 
 
-def pair_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-    return mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(after))
+def pair_keys(words: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Keys of bigrams, by the places of their words in ``words``."""
+    return mix((words * np.uint64(0x9E3779B97F4A7C15))[before] + mix(words)[after])
 
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,6 +79,13 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[new], order[new], at
 
 
+def tally(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and how often each is there."""
+    ordered = np.sort(keys)
+    begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), dtype=bool), ordered[1:] != ordered[:-1]]))
+    return ordered[begin], np.diff(np.append(begin, len(keys)))
+
+
 def marked(docs: DataFrame, target: DataFrame) -> DataFrame:
     """``doc_id, text, own``: whether the row's doc_id is in ``target``.
 
@@ -142,17 +150,23 @@ class Unit:
         ends = np.cumsum(self.sizes)[self.sizes > 0]
         self.later[ends - self.sizes[self.sizes > 0]] = False
         self.followed[ends - 1] = False
-        before, after = self.word_at[self.followed], self.word_at[self.later]
-        self.pairs, one, self.pair_at = distinct(pair_keys(self.words[before], self.words[after]))
-        self.before, self.after = before[one], after[one]
+        self.keys = pair_keys(self.words, self.word_at[self.followed], self.word_at[self.later])
+
+    def place_pairs(self) -> None:
+        """Number of its bigram for each place, and the words of each bigram."""
+        self.pairs, one, self.pair_at = distinct(self.keys)
+        self.before, self.after = self.word_at[self.followed][one], self.word_at[self.later][one]
 
     def counts(self) -> Iterator[tuple[int, np.ndarray, list[np.ndarray]]]:
         """Kind, keys and counts: of words in all and in target texts and where no word follows, of bigrams in both."""
         number = lambda at, chosen, size: np.bincount(at[chosen], minlength=size)
         w, last = len(self.words), ~self.followed
         yield WORDS, self.words, [np.bincount(self.word_at, minlength=w), number(self.word_at, self.own, w), number(self.word_at, last, w), number(self.word_at, last & self.own, w)]
-        p = len(self.pairs)
-        yield PAIRS, self.pairs, [np.bincount(self.pair_at, minlength=p), number(self.pair_at, self.own[self.later], p)]
+        pairs, n = tally(self.keys)
+        own_pairs, own_n = tally(self.keys[self.own[self.later]])
+        own = np.zeros_like(n)
+        own[np.searchsorted(pairs, own_pairs)] = own_n
+        yield PAIRS, pairs, [n, own]
 
 
 def parcels(unit: int, kind: int, keys: np.ndarray, counts: list[np.ndarray], buckets: int) -> Iterator[tuple]:
@@ -252,6 +266,7 @@ def cross_entropy_rows(docs: DataFrame, target: DataFrame) -> DataFrame:
         # How often a word is followed by one that makes an entry: what units have of it is added up by word.
         def send_followed(row: dict, answers: pa.Table) -> pa.Table:
             unit = Unit(row)
+            unit.place_pairs()
             there = entries(unit, reply(answers, WORDS, 4), reply(answers, PAIRS, 2))[unit.pair_at]
             at, own = unit.word_at[unit.followed], unit.own[unit.later]
             counts = [np.bincount(at[m], minlength=len(unit.words)) for m in (there, there & own)]
@@ -261,6 +276,7 @@ def cross_entropy_rows(docs: DataFrame, target: DataFrame) -> DataFrame:
 
     def score(row: dict, answers: pa.Table) -> pa.Table:
         unit = Unit(row)
+        unit.place_pairs()
         words, pairs = reply(answers, WORDS, 4), reply(answers, PAIRS, 2)
         followed = reply(answers, FOLLOWED, 2) if cut else words[:2] - words[2:]
         known, used = words[0] >= word_least, entries(unit, words, pairs)
