@@ -7,6 +7,7 @@ a watermark.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -146,6 +147,27 @@ def held_alerts(
     )
 
 
+def rule_alerts(df: DataFrame, ts: str, rules: Sequence[tuple], step_s: int) -> DataFrame:
+    """Held alerts of ``(rule, measure, of what, window minutes, threshold, hold seconds)`` over an event log.
+
+    Measures are the ``rate`` a second and the ``increase`` of the events of a condition, and a histogram ``quantile`` of
+    ``(value, bounds, q)``. They are taken each step over the window that ends there; without events a rule does not hold.
+    """
+    out = []
+    for rule, measure, what, minutes, threshold, hold_s in rules:
+        width, slide = f"{minutes} minutes", f"{step_s} seconds"
+        if measure == "quantile":
+            value, bounds, q = what
+            hist = windowed(df, ts, width, bucket_aggs(value, bounds), slide)
+            series = hist.withColumn("v", histogram_quantile(q, F.col("cum"), bounds))
+        else:
+            per = minutes * 60.0 if measure == "rate" else 1.0
+            series = windowed(df.filter(what), ts, width, [(F.count("*") / F.lit(per)).alias("v")], slide)
+        series = series.select("window_end", "v", F.lit(rule).alias("rule"))
+        out.append(held_alerts(series, step_s, hold_s, F.col("v") > F.lit(float(threshold)), "window_end"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def silent_gaps(df: DataFrame, by: str, ts: str, limit_s: float, segment_s: int = 86_400) -> DataFrame:
     """Pauses longer than ``limit_s`` between consecutive events of a source.
 

@@ -104,3 +104,12 @@ REPORTED = [
 LATENCY_BOUNDS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0]
 PROBABILITY_BOUNDS = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
 MISSING_BOUNDS = [0.0, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9, 1.0]
+
+# Alert rules as (rule, measure, of what, window in minutes, threshold, hold in seconds), evaluated each minute.
+ALERT_STEP_S = 60
+ALERT_RULES = [
+    ("HighErrorRate", "rate", "status = 500", 5, 0.01, 120),
+    ("HighLatencyP95", "quantile", ("latency", LATENCY_BOUNDS, 0.95), 5, 0.5, 300),
+    ("ModelReloadFailing", "increase", "reload_failed", 15, 0.0, 60),
+    ("HighFeatureMissingRate", "quantile", ("missing_rate", MISSING_BOUNDS, 0.9), 10, 0.7, 300),
+]

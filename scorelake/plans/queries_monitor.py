@@ -451,6 +451,39 @@ def k8(spark, sf):
     return _ts(tm.held_alerts(series, 600, 1200, high), "pending_since", "firing_since", "last_true")
 
 
+def _rules_sql():
+    """Runs of the minutes at which each rule's measure is above its threshold, held long enough."""
+    hot = []
+    for rule, measure, what, minutes, threshold, hold in credit.ALERT_RULES:
+        rows = _sliding("watched", minutes, 1)
+        if measure == "quantile":
+            value, bounds, q = what
+            edges = [0.0, *bounds]
+            cums = ", ".join(f"count(*) FILTER (WHERE {value} <= {b!r}::DOUBLE)::DOUBLE AS c{i + 1}" for i, b in enumerate(bounds))
+            cases = " ".join(
+                f"WHEN c{i + 1} >= {q}::DOUBLE * n THEN "
+                + ("0.0" if b <= 0 else f"{edges[i]!r}::DOUBLE + {b - edges[i]!r}::DOUBLE * coalesce(({q}::DOUBLE * n - {f'c{i}' if i else '0'}) / nullif(c{i + 1} - {f'c{i}' if i else '0'}, 0), 0)")
+                for i, b in enumerate(bounds)
+            )
+            series = f"SELECT ws, CASE {cases} ELSE {bounds[-1]!r}::DOUBLE END AS v FROM (SELECT ws, 0.0 AS c0, {cums}, count({value}) AS n FROM {rows} GROUP BY ws) WHERE n > 0"
+        else:
+            series = f"SELECT ws, count(*) / {minutes * 60.0 if measure == 'rate' else 1.0}::DOUBLE AS v FROM {rows} WHERE {what} GROUP BY ws"
+        hot.append(f"SELECT '{rule}' AS rule, {hold} AS hold, (epoch(ws) / 60)::BIGINT + {minutes} AS i FROM ({series}) WHERE v > {float(threshold)!r}::DOUBLE")
+    return f"""{REQUESTS}, watched AS (SELECT * REPLACE (latency * 2 AS latency), endpoint = 'signup' AS reload_failed FROM requests),
+    hot AS ({' UNION ALL '.join(hot)}),
+    runs AS (SELECT rule, hold, min(i) AS a, max(i) AS b FROM (SELECT *, i - row_number() OVER (PARTITION BY rule ORDER BY i) AS g FROM hot) GROUP BY rule, hold, g)
+    SELECT rule, make_timestamp(a * 60 * 1000000) AS pending_since, make_timestamp((a * 60 + hold) * 1000000) AS firing_since,
+    make_timestamp(b * 60 * 1000000) AS last_true FROM runs WHERE (b - a) * 60 >= hold"""
+
+
+@query("k8_credit_rules", _rules_sql())
+def k8_credit_rules(spark, sf):
+    """The application's rules. Latencies count twice, so that some windows pass half a second; signups stand for failed reloads."""
+    watched = fx.requests(spark, sf).withColumn("latency", F.col("latency") * 2).withColumn("reload_failed", F.col("endpoint") == "signup")
+    alerts = tm.rule_alerts(watched, "ts", credit.ALERT_RULES, credit.ALERT_STEP_S)
+    return _ts(alerts, "pending_since", "firing_since", "last_true")
+
+
 @query(
     "k9_silent_sources",
     f"""{REQUESTS}, i AS (SELECT DISTINCT key, epoch_us(ts) AS us FROM requests),
