@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import brute
+import numpy as np
 import pytest
 
 from scorelake.llm import crossentropy as ce
@@ -110,3 +111,11 @@ def test_rare_words_count_at_every_size(spark, monkeypatch, sizes):
     for i in (0, 100, 101, 102):
         assert (got[i].target_loss, got[i].background_loss) == (pytest.approx(want[i][1], rel=1e-9), pytest.approx(want[i][2], rel=1e-9))
     assert got[100].score < got[102].score
+
+
+@pytest.mark.parametrize("keys", [[], [7], [3, 3, 1, 3], [(9 << 40) + 2, (9 << 40) + 1, 9 << 40, 1], [2**64 - 1, 0, 2**64 - 2, 2**63]])
+def test_in_order(keys):
+    """Also keys that differ in their low bits alone, which the packed sort leaves out."""
+    keys = np.array(keys, dtype=np.uint64)
+    order, ordered = ce.in_order(keys)
+    assert (ordered == np.sort(keys)).all() and (keys[order] == ordered).all() and sorted(order) == list(range(len(keys)))
