@@ -6,7 +6,8 @@ span, and the span's own shape. Expectation-maximisation over the counts of vote
 labeler is, without labels. Its posteriors train the final span classifier, naive Bayes over votes and span features, by
 weighted counts. Candidates that it accepts are added to the base spans, which stay as they are.
 
-Texts are read once; matches and the words before them go to a narrow table. Vote patterns are at most 3**4 a kind and
+Texts are read once; matches and the words before them go to a narrow table. Positions and overlaps come from running
+totals in rounds, so a text of very many matches takes little more than its length. Vote patterns are at most 3**4 a kind and
 features a few dozen values, so everything learned is small whatever the corpus holds.
 """
 
@@ -53,22 +54,41 @@ ACCEPT = 0.9
 BEFORE = 24
 
 
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` reads it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running totals of an array under an associative ``join``, in a number of rounds that grows as its logarithm.
+
+    Round k joins each total with the one 2**k places before, which covers the places just before its own.
+    """
+
+    def turn(totals: Column, k: Column) -> Column:
+        step = F.pow(F.lit(2), k).cast("int")
+        return F.transform(totals, lambda t, i: F.when(i >= step, join(F.get(totals, i - step), t)).otherwise(t))
+
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    return F.when(rounds == 0, values).otherwise(F.aggregate(F.sequence(F.lit(0), rounds - 1), values, turn))
+
+
 def matches(text: Column, kind: str, patterns: dict[str, str]) -> Column:
     """Leftmost non-overlapping matches as ``start, end`` (code points, end exclusive), ``found`` and ``before``."""
     pattern = patterns[kind]
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     none = F.array().cast("array<struct<start:int,end:int,found:string,before:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-    def add(state: Column, pair: Column) -> Column:
-        begin = state["at"] + F.length(pair["piece"])
-        end = begin + F.length(pair["hit"])
-        entry = F.struct(begin.alias("start"), end.alias("end"), pair["hit"].alias("found"), F.substring(pair["piece"], -BEFORE, BEFORE).alias("before"))
-        return F.struct(end.alias("at"), F.array_append(state["out"], entry).alias("out"))
+    def entry(pair: Column, end: Column) -> Column:
+        before = F.substring(pair["piece"], -BEFORE, BEFORE)
+        return F.struct((end - F.length(pair["hit"])).alias("start"), end.alias("end"), pair["hit"].alias("found"), before.alias("before"))
+
+    def placed(pairs: Column) -> Column:
+        sizes = F.transform(pairs, lambda p: F.length(p["piece"]) + F.length(p["hit"]))
+        return F.zip_with(pairs, with_value(sizes, lambda v: running(v, lambda x, y: x + y)), entry)
 
-    pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, h: F.struct(p.alias("piece"), h.alias("hit")))
-    spans = F.aggregate(pairs, start, add, lambda s: s["out"])
-    return F.when(F.rlike(text, F.lit(HINT[kind])) & F.rlike(text, F.lit(pattern)), spans).otherwise(none)
+    pairs = with_value(found, lambda f: F.zip_with(F.slice(pieces, F.lit(1), F.size(f)), f, lambda p, h: F.struct(p.alias("piece"), h.alias("hit"))))
+    return F.when(F.rlike(text, F.lit(HINT[kind])) & F.rlike(text, F.lit(pattern)), with_value(pairs, placed)).otherwise(none)
 
 
 def digits(text: Column) -> Column:
@@ -158,6 +178,33 @@ def candidates(text: Column) -> Column:
     return F.concat(*[F.transform(matches(text, kind, LOOSE), one(kind, place)) for place, kind in enumerate(KINDS)])
 
 
+def with_free(base: Column, found: Column) -> Column:
+    """Candidates with ``free``: whether they share no character with a base span of their kind.
+
+    All spans stand on one line, each kind on a stretch of its own, in order; then the furthest end of the base spans up to
+    a candidate and the first start of those after it tell.
+    """
+    far = F.lit(1 << 40)
+
+    def at(s: Column, field: str) -> Column:
+        return s["place"].cast("long") * F.lit(1 << 32) + s[field]
+
+    nothing = F.lit(None).cast("struct<start:int,place:int,kind:string,end:int,votes:array<int>,names:array<string>>")
+    known = F.transform(base, lambda b: F.struct(at(b, "start").alias("low"), F.lit(0).alias("candidate"), at(b, "end").alias("high"), nothing.alias("span")))
+    asked = F.transform(found, lambda c: F.struct(at(c, "start").alias("low"), F.lit(1).alias("candidate"), at(c, "end").alias("high"), c.alias("span")))
+
+    def marked(line: Column) -> Column:
+        ends = F.transform(line, lambda s: F.when(s["candidate"] == 0, s["high"]).otherwise(F.lit(-1).cast("long")))
+        starts = F.reverse(F.transform(line, lambda s: F.when(s["candidate"] == 0, s["low"]).otherwise(far)))
+        before = with_value(ends, lambda v: running(v, F.greatest))
+        after = F.reverse(with_value(starts, lambda v: running(v, F.least)))
+        clear = F.zip_with(before, after, lambda x, y: F.struct(x.alias("before"), y.alias("after")))
+        told = F.zip_with(line, clear, lambda s, c: F.struct(s["candidate"].alias("candidate"), s["span"].alias("span"), ((c["before"] <= s["low"]) & (c["after"] >= s["high"])).alias("free")))
+        return F.transform(F.filter(told, lambda t: t["candidate"] == 1), lambda t: F.struct(t["span"].alias("span"), t["free"].alias("free")))
+
+    return with_value(F.array_sort(F.concat(known, asked)), marked)
+
+
 def estimate(patterns: DataFrame) -> DataFrame:
     """``kind, votes, posterior`` of every vote pattern, by expectation-maximisation inside one expression.
 
@@ -223,15 +270,15 @@ def personal_rows(docs: DataFrame) -> DataFrame:
     doc_id and text have the same spans; columns other than doc_id and text are not read.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), base_spans(text).alias("base"), candidates(text).alias("candidates"))
-    read = stage(read, "pii")
-    spans = read.where(F.size("candidates") > 0).select("doc_id", "tie", "base", F.explode("candidates").alias("c")).select("doc_id", "tie", "base", "c.*")
+    both = F.struct(base_spans(text).alias("base"), candidates(text).alias("found"))
+    told = with_value(both, lambda r: F.struct(r["base"].alias("base"), with_free(r["base"], r["found"]).alias("candidates")))
+    read = stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), told.alias("read")), "pii").select("doc_id", "tie", "read.*")
+    spans = read.where(F.size("candidates") > 0).select("doc_id", "tie", F.explode("candidates").alias("c")).select("doc_id", "tie", "c.span.*", "c.free")
     patterns = stage(spans.groupBy("kind", "votes").count(), "pii-votes")
     weighed = spans.join(F.broadcast(estimate(patterns)), ["kind", "votes"])
     model = stage(classifier(weighed), "pii-model")
-    free = ~F.exists("base", lambda b: (b["kind"] == F.col("kind")) & (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
     score = F.aggregate("names", F.col("odds"), lambda s, n: s + F.coalesce(F.element_at("weights", n), F.lit(0.0)))
-    accepted = spans.where(free).join(F.broadcast(model), "kind").where(score >= F.log(F.lit(ACCEPT / (1 - ACCEPT))))
+    accepted = spans.where("free").join(F.broadcast(model), "kind").where(score >= F.log(F.lit(ACCEPT / (1 - ACCEPT))))
     added = accepted.groupBy(F.col("doc_id").alias("id"), F.col("tie").alias("hash")).agg(F.collect_set(F.struct("start", "place", "kind", "end")).alias("added"))
     out = read.drop("candidates").join(added, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("tie") == F.col("hash")), "left")
     more = F.coalesce("added", F.array().cast("array<struct<start:int,place:int,kind:string,end:int>>"))

@@ -1,7 +1,10 @@
 import hashlib
+import time
+from itertools import accumulate
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from scorelake.llm import pii
 
@@ -47,6 +50,33 @@ def test_added_spans(spark):
     assert all(r.n_email == 1 and r.n_added == 0 for i, r in out.items() if i >= 100)
 
 
+def test_running(spark):
+    rows = [([3, 1, 4, 1, 5, 9, 2, 6, 5],), ([],), ([7],), (None,), ([2, 2],)]
+    frame = spark.createDataFrame(rows, "v array<int>")
+    got = frame.select(pii.running(F.col("v"), lambda x, y: x + y).alias("total"), pii.running(F.col("v"), F.greatest).alias("most"), "v").collect()
+    for r in got:
+        assert r.total == (None if r.v is None else list(accumulate(r.v))) and r.most == (None if r.v is None else list(accumulate(r.v, max)))
+
+
+def test_overlaps(spark):
+    """A candidate that meets a base span of its kind on either side isn't free, one that only touches it is."""
+    kind = "array<struct<start:int,place:int,kind:string,end:int%s>>"
+    base = [(5, 0, "email", 9), (20, 0, "email", 30), (7, 1, "ip", 12)]
+    spans = [(s, p, k, e, [1], ["a"]) for s, p, k, e in [(0, 0, "email", 5), (0, 0, "email", 6), (9, 0, "email", 20), (8, 0, "email", 10), (5, 0, "email", 9), (25, 0, "email", 26), (15, 0, "email", 40), (0, 1, "ip", 7), (3, 1, "ip", 20), (12, 1, "ip", 13), (7, 2, "card", 12)]]
+    frame = spark.createDataFrame([(base, spans), ([], spans), (base, [])], f"base {kind % ''}, found {kind % ',votes:array<int>,names:array<string>'}")
+    for r in frame.select("base", "found", pii.with_free(F.col("base"), F.col("found")).alias("out")).collect():
+        plain = {tuple(map(str, c)): not any(b.kind == c.kind and b.start < c.end and b.end > c.start for b in r.base) for c in r.found}
+        assert {tuple(map(str, c.span)): c.free for c in r.out} == plain
+
+
+def test_many_matches(spark):
+    """Work grows in proportion to the matches of one text, not as their square."""
+    text = " ".join(f"u{i}@h{i % 7}.com" if i % 3 else f"mail u{i} [at] h.org" for i in range(40_000))
+    begin = time.monotonic()
+    row = pii.personal_rows(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert base_only(row) == expected(text) and time.monotonic() - begin < 120
+
+
 def test_posteriors(spark):
     rows = [("card", [1, 1, 1, 1], 50), ("card", [1, 1, 0, 1], 40), ("card", [-1, -1, 0, -1], 60), ("card", [-1, 1, 0, -1], 5), ("ip", [-1, 0, -1, 1], 1)]
     got = {(r.kind, tuple(r.votes)): r.posterior for r in pii.estimate(spark.createDataFrame(rows, "kind string, votes array<int>, count long")).collect()}
