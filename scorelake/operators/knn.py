@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from scorelake.session import ship_by_value, stage, stage_path
 
@@ -37,6 +37,8 @@ QUERY_ROWS = 4_096
 #: Bounds held at a time: rows times cells.
 BOUNDS = 1 << 21
 SLACK = 1.0 - 1e-9
+#: Equal rows that one task joins with their answer.
+HOT_ROWS = 50_000
 ANY = -1
 TASK = ["home", "grp", "cell", "block"]
 
@@ -252,19 +254,74 @@ def _wanted(q: np.ndarray, any_donor: bool) -> np.ndarray:
     return np.zeros_like(q, dtype=bool) if any_donor else np.isnan(q)
 
 
-def _search(queries: DataFrame, visits: DataFrame, index: CellIndex, k: int, any_donor: bool) -> DataFrame:
+def _kept(index: CellIndex, spark: SparkSession, k: int) -> tuple[DataFrame, DataFrame]:
+    """Donors that can be among k nearest, and the number of blocks of each cell.
+
+    Of equal rows only the k with the lowest ids can, so a value that very many rows share is k rows.
+    """
+    order = Window.partitionBy("cell", "x").orderBy(F.asc_nulls_last("donor"))
+    saved = spark.read.parquet(index.path).select("cell", "donor", "x", "h").withColumn("rank", F.row_number().over(order))
+    donors = stage(saved.filter(F.col("rank") <= k).drop("rank"), "donors")
+    # One row a cell.
+    sizes = donors.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    return donors, F.broadcast(sizes)
+
+
+def _apart(q: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Distance of each row of ``q`` to the row of ``d`` beside it; inf if no column is shared."""
+    total, shared = np.zeros(len(q)), np.zeros(len(q))
+    for j in range(q.shape[1]):
+        diff = q[:, j] - d[:, j]
+        both = ~np.isnan(diff)
+        total += np.where(both, diff * diff, 0.0)
+        shared += both
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(shared > 0, total * q.shape[1] / shared, np.inf)
+
+
+def _ranges(q: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Between what the distances of all rows of ``q`` and ``d`` lie: products of matrices with room for their rounding."""
+    p = q.shape[1]
+    q_has, d_has = (~np.isnan(q)).astype(float), (~np.isnan(d)).astype(float)
+    q, d = np.where(q_has > 0, q, 0.0), np.where(d_has > 0, d, 0.0)
+    with np.errstate(all="ignore"):
+        squares = (q * q) @ d_has.T + q_has @ (d * d).T
+        mixed, shared = 2.0 * (q @ d.T), q_has @ d_has.T
+        room = (p + 10) * 1e-15
+        low, high = (squares * (1.0 - room) - mixed) * (p / shared), (squares * (1.0 + room) - mixed) * (p / shared)
+    # Where squares overflow nothing is known.
+    known = np.isfinite(high)
+    return np.where(shared > 0, np.where(known, low, -np.inf), np.inf), np.where((shared > 0) & known, high, np.inf)
+
+
+def _nearest_rows(q: np.ndarray, d: np.ndarray, donor: np.ndarray, low: np.ndarray, high: np.ndarray, most: np.ndarray, k: int):
+    """(row, place in ``d``, distance) of the k nearest of each row, at most ``most`` apart, ties to the lower donor."""
+    reach = np.partition(high, k - 1, axis=1)[:, k - 1] if high.shape[1] > k else np.full(len(q), np.inf)
+    row, at = np.nonzero((low <= np.minimum(reach, most)[:, None]) & (low < np.inf))
+    d2 = _apart(q[row], d[at])
+    fine = (d2 <= most[row]) & np.isfinite(d2)
+    row, at, d2 = row[fine], at[fine], d2[fine]
+    order = np.lexsort((donor[at], d2, row))
+    row, at, d2 = row[order], at[order], d2[order]
+    first = np.searchsorted(row, row)
+    top = np.arange(len(row)) - first < k
+    return row[top], at[top], d2[top]
+
+
+def _search(
+    queries: DataFrame, visits: DataFrame, index: CellIndex, kept: tuple[DataFrame, DataFrame], k: int, any_donor: bool
+) -> DataFrame:
     """Local top-k per (row, column) of every visit of a query block to a donor block.
 
     ``queries`` has (rid, q, home, grp, far); a row takes part where its lower bound of the cell is at most ``far``.
     """
     spark = queries.sparkSession
-    # One row a cell.
-    sizes = F.broadcast(spark.createDataFrame([(int(c), -(-int(n) // BLOCK_ROWS)) for c, n in zip(index.ids, index.n)], "cell int, blocks int"))
+    saved, sizes = kept
     tasks = visits.join(sizes, "cell").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
     tasks = stage(tasks.select(*TASK, "blocks"), "knn-tasks")
     left = queries.join(tasks, ["home", "grp"]).select(*TASK, "rid", "q", "far")
-    saved = spark.read.parquet(index.path).join(sizes, "cell").withColumn("block", F.expr("pmod(h, blocks)").cast("int"))
-    right = saved.drop("blocks").join(tasks, ["cell", "block"]).select(*TASK, "donor", "x")
+    placed = saved.join(sizes, "cell").withColumn("block", F.expr("pmod(h, blocks)").cast("int"))
+    right = placed.drop("blocks", "h").join(tasks, ["cell", "block"]).select(*TASK, "donor", "x")
     p, place = len(index.cols), {int(c): i for i, c in enumerate(index.ids)}
 
     def local_top(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -274,37 +331,32 @@ def _search(queries: DataFrame, visits: DataFrame, index: CellIndex, k: int, any
             by_id = np.argsort(right["donor"].to_numpy(), kind="stable")
             d, donor = d[by_id], right["donor"].to_numpy()[by_id]
             at = place[int(left["cell"].iloc[0])]
+            has = ~np.isnan(d)
             for part, q in _batches(left, 256):
                 near = index.lower_bounds(q, slice(at, at + 1))[:, 0] <= part["far"].to_numpy()
                 part, q = part[near], q[near]
-                total = np.zeros((len(q), len(d)))
-                shared = np.zeros_like(total)
-                for j in range(p):
-                    diff = q[:, j, None] - d[None, :, j]
-                    both = ~np.isnan(diff)
-                    total += np.where(both, diff * diff, 0.0)
-                    shared += both
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    dist = np.where(shared > 0, total * p / shared, np.inf)
-                rid = part["rid"].to_numpy()
+                rid, most = part["rid"].to_numpy(), part["far"].to_numpy()
+                low, high = _ranges(q, d)
                 if any_donor:
-                    dist[rid[:, None] == donor[None, :]] = np.inf
-                targets = [ANY] if any_donor else np.flatnonzero(np.isnan(q).any(axis=0)).tolist()
-                for j in targets:
-                    rows = np.arange(len(q)) if any_donor else np.flatnonzero(np.isnan(q[:, j]))
-                    usable = np.arange(len(d)) if any_donor else np.flatnonzero(~np.isnan(d[:, j]))
-                    if not len(usable):
+                    own = rid[:, None] == donor[None, :]
+                    low[own] = high[own] = np.inf
+                # Columns that the same rows lack and the same donors have are answered at once.
+                alike: dict[tuple[bytes, bytes], list[int]] = {}
+                for j in [ANY] if any_donor else np.flatnonzero(np.isnan(q).any(axis=0)).tolist():
+                    alike.setdefault((b"", b"") if any_donor else (np.isnan(q[:, j]).tobytes(), has[:, j].tobytes()), []).append(j)
+                for columns in alike.values():
+                    rows = np.arange(len(q)) if any_donor else np.flatnonzero(np.isnan(q[:, columns[0]]))
+                    usable = np.arange(len(d)) if any_donor else np.flatnonzero(has[:, columns[0]])
+                    if not len(rows) or not len(usable):
                         continue
-                    apart = dist[np.ix_(rows, usable)]
-                    take = np.argsort(apart, axis=1, kind="stable")[:, :k]
-                    best = np.take_along_axis(apart, take, axis=1)
-                    ok = np.isfinite(best)
-                    who = usable[take][ok]
-                    value = np.zeros(len(who)) if any_donor else d[who, j]
-                    out.append(pd.DataFrame({
-                        "rid": np.repeat(rid[rows], ok.sum(axis=1)), "col": np.int32(j),
-                        "d2": best[ok], "donor": donor[who], "value": value,
-                    }))
+                    box = np.ix_(rows, usable)
+                    row, who, d2 = _nearest_rows(q[rows], d[usable], donor[usable], low[box], high[box], most[rows], k)
+                    who = usable[who]
+                    for j in columns:
+                        value = np.zeros(len(who)) if any_donor else d[who, j]
+                        out.append(pd.DataFrame({
+                            "rid": rid[rows[row]], "col": np.int32(j), "d2": d2, "donor": donor[who], "value": value,
+                        }))
         if out:
             return pd.concat(out, ignore_index=True)
         return pd.DataFrame({"rid": [], "col": [], "d2": [], "donor": [], "value": []}).astype(
@@ -349,6 +401,7 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
     if not len(index.ids):
         return _top(queries.sparkSession.createDataFrame([], HIT_SCHEMA), k)
     dealt = stage(_dealt(queries, index), "queries")
+    kept = _kept(index, queries.sparkSession, k + int(any_donor))
     batch = max(16, BOUNDS // len(index.ids))
 
     def seen(q: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -366,7 +419,7 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
 
     closest = stage(dealt.mapInPandas(first, VISIT_SCHEMA).distinct(), "visits")
     everywhere = dealt.withColumn("far", F.lit(float("inf")))
-    round1 = stage(_top(_search(everywhere, closest, index, k, any_donor), k), "hits")
+    round1 = stage(_top(_search(everywhere, closest, index, kept, k, any_donor), k), "hits")
     if len(index.ids) == 1:
         return round1
 
@@ -385,16 +438,40 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
                 yield visits(part, (bounds <= part["far"].to_numpy()[:, None]) & np.isfinite(bounds))
 
     more = bounded.mapInPandas(rest, VISIT_SCHEMA).distinct().join(closest, ["home", "grp", "cell"], "left_anti")
-    return _top(round1.drop("rank").unionByName(_search(bounded, more, index, k, any_donor)), k)
+    return _top(round1.drop("rank").unionByName(_search(bounded, more, index, kept, k, any_donor)), k)
+
+
+def _means(found: DataFrame, of: str = "rid") -> DataFrame:
+    """Map of column and mean for each ``of`` of the hits."""
+    mean = found.groupBy(of, "col").agg(F.avg("value").alias("v"))
+    return mean.groupBy(of).agg(F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("_fill"))
 
 
 def impute(df: DataFrame, index: CellIndex, row_id: str, k: int, means: dict[str, float | None]) -> DataFrame:
-    """Fill each missing value with the mean over its k nearest donors, else the column mean."""
+    """Fill each missing value with the mean over its k nearest donors, else the column mean.
+
+    Equal rows have the same nearest donors, so each different row asks once. What was found is staged: a later pass over
+    the result does not search again.
+    """
     cols = index.cols
     gaps = df.filter(F.exists(F.array(*[F.col(c).isNull() for c in cols]), lambda b: b))
-    queries = gaps.select(F.col(row_id).cast("bigint").alias("rid"), _vector(cols).alias("q"))
-    found = nearest(queries, index, k).groupBy("rid", "col").agg(F.avg("value").alias("v"))
-    filled = found.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("_fill"))
+    asked = stage(gaps.select(F.col(row_id).cast("bigint").alias("rid"), _vector(cols).alias("q")).filter("rid is not null"), "asked")
+    unlike = asked.groupBy("q").agg(F.count("*").alias("n")).withColumn("qid", F.monotonically_increasing_id())
+    unlike = stage(unlike, "unlike")
+    found = stage(nearest(unlike.select(F.col("qid").alias("rid"), "q"), index, k).withColumnRenamed("rid", "qid"), "found")
+    # A row that very many share is dealt to several tasks; there are few of them, and they are in the table often.
+    hot = F.broadcast(unlike.filter(F.col("n") > HOT_ROWS).select("q", F.ceil(F.col("n") / HOT_ROWS).alias("salts")))
+    salt = F.coalesce(F.expr("pmod(xxhash64(rid), salts)"), F.lit(0)).cast("int").alias("salt")
+    own = asked.join(hot, "q", "left").select("rid", "q", salt)
+    spread = F.explode(F.expr(f"sequence(0, cast(ceil(n / {HOT_ROWS}) as int) - 1)")).alias("salt")
+    answers = _means(found, "qid").join(unlike, "qid").select("q", "_fill", spread)
+    filled = own.join(answers, ["q", "salt"]).select("rid", "_fill")
+    # Rows under one key share the nearest donors of all of them.
+    again = stage(asked.groupBy("rid").count().filter("count > 1").select("rid"), "again")
+    if not again.isEmpty():
+        hits = asked.join(again, "rid").join(unlike.select("q", "qid"), "q").join(found.drop("rank"), "qid")
+        filled = filled.join(again, "rid", "left_anti").unionByName(_means(_top(hits.select("rid", "col", "d2", "donor", "value"), k)))
+    filled = stage(filled, "filled")
     wide = df.join(filled, F.col(row_id) == F.col("rid"), "left")
     return wide.select(
         *[

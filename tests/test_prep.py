@@ -102,6 +102,47 @@ def test_impute_equals_brute_force(spark, gaps, monkeypatch, rows_per_cell, bloc
     np.testing.assert_allclose(got, brute_impute(gaps, 4), atol=1e-9)
 
 
+def test_equal_rows_ask_once(spark, gaps, monkeypatch):
+    """Rows that many share are searched once, dealt to several tasks, and donors equal to them are k at most."""
+    monkeypatch.setattr(knn, "HOT_ROWS", 7)
+    asked, nearest = [], knn.nearest
+    monkeypatch.setattr(knn, "nearest", lambda q, *a: (asked.append(q.count()), nearest(q, *a))[1])
+    x = np.vstack([gaps[:60], np.tile([3.0, np.nan, 1.0, 0.5], (90, 1)), np.tile([3.0, 8.0, 1.0, 0.5], (90, 1))])
+    df, cols = frame(spark, x), ["x0", "x1", "x2", "x3"]
+    index = knn.build_index(df, cols, "id", rows_per_cell=20)
+    means = {c: float(np.nanmean(x[:, i])) for i, c in enumerate(cols)}
+    np.testing.assert_allclose(matrix(knn.impute(df, index, "id", 4, means), cols), brute_impute(x, 4), atol=1e-9)
+    unlike = {tuple(np.nan_to_num(r, nan=-1.0)) for r in x if np.isnan(r).any()}
+    assert asked == [len(unlike)]
+    assert knn._kept(index, spark, 4)[0].where("x[0] = 3 and x[1] = 8").count() == 4
+
+
+def test_result_does_not_search_again(spark, gaps):
+    """A later pass over imputed rows is a join with what was found, not another search."""
+    out = knn.KNNImputer("id", ["label"], k=4).fit(frame(spark, gaps)).transform(frame(spark, gaps))
+    assert "FlatMapCoGroupsInPandas" not in out._jdf.queryExecution().toString()
+
+
+def test_rows_under_one_key_share_their_donors(spark):
+    x = np.array([[1.0, np.nan], [9.0, np.nan], [1.1, 10.0], [1.3, 20.0], [8.9, 30.0], [5.0, 40.0]])
+    df, cols = frame(spark, x), ["x0", "x1"]
+    index = knn.build_index(df, cols, "id")
+    two = df.withColumn("id", F.when(F.col("id") == 1, 0).otherwise(F.col("id")).cast("long"))
+    out = {(r.id, r.x0): r.x1 for r in knn.impute(two, index, "id", 2, {"x0": 0.0, "x1": 0.0}).collect()}
+    # 0.01 from 1.1 to 1.0 and from 8.9 to 9.0 (each twice as only one of two columns is shared).
+    assert out[(0, 1.0)] == out[(0, 9.0)] == 20.0
+
+
+def test_ranges_hold_the_distance():
+    rng = np.random.default_rng(6)
+    q, d = (rng.normal(size=(n, 5)) * [1e6, 1, 1e-3, 1e3, 1e160] for n in (30, 40))
+    q[rng.random(q.shape) < 0.4] = np.nan
+    d[rng.random(d.shape) < 0.4] = np.nan
+    low, high = knn._ranges(q, d)
+    apart = np.array([knn._apart(np.tile(row, (len(d), 1)), d) for row in q])
+    assert ((low <= apart) & (apart <= high)).all()
+
+
 def test_cells_that_cannot_be_split(spark):
     """Equal rows are one cell however many they are; rows with and without a column are apart; no rows, no cells."""
     rng = np.random.default_rng(4)
