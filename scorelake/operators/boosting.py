@@ -1,9 +1,9 @@
 """Second-order boosted trees on histograms.
 
 Columns are cut into bins once, and rows are packed into blocks of narrow columns. A tree grows level by level: tasks add
-up gradients and second derivatives by node, column and bin, their histograms are merged in a tree of tasks, and the best
-split of each node is read off the sums. Only histograms leave the tasks, and their size depends on nodes, columns and bins
-alone. Sums are whole numbers (``UNIT``), so with given cuts trees do not depend on how rows are dealt to tasks.
+up gradients and second derivatives by node, column and bin, their histograms are merged by column, and the task that has a
+column's sums reads the best split of each node off them. Only these splits come to the driver, a row for each column and
+node. Sums are whole numbers (``UNIT``), so with given cuts trees do not depend on how rows are dealt to tasks.
 
 A row's margin is that of its block plus what the trees since then add; after ``REFRESH`` trees blocks are written anew.
 Levels are many and short jobs over arrays that stay in memory, so they run on an RDD of decoded blocks.
@@ -188,7 +188,9 @@ def level_splits(
     slot_of = np.full(len(tree.feature), -1, dtype=np.int64)
     slot_of[list(nodes)] = np.arange(len(nodes))
 
-    def histogram(parts: Iterator[tuple]) -> Iterator[np.ndarray]:
+    cut_counts = [len(model.cuts[f]) for f in columns]
+
+    def histogram(parts: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray]]:
         sums = np.zeros((len(columns), len(nodes) * BINS, 2), dtype=np.int64)
         for x, y, u, margin in parts:
             mine = np.flatnonzero(sampled(u, cfg.rows, seed))
@@ -203,14 +205,20 @@ def level_splits(
                 for k, v in enumerate((g, h)):
                     # Doubles add whole numbers below 2**53 exactly, and a block stays below that.
                     sums[i, :, k] += np.bincount(key, v, len(nodes) * BINS).astype(np.int64)
-        yield sums
+        yield from enumerate(sums)
+
+    def splits(own: tuple[int, np.ndarray]) -> list[tuple]:
+        i, sums = own
+        return [(i, *best) for best in best_splits(sums.reshape(len(nodes), BINS, 2), cut_counts[i], cfg)]
 
-    merged = blocks.mapPartitions(histogram).treeReduce(np.add)
+    merged = blocks.mapPartitions(histogram)
+    if blocks.getNumPartitions() > 1:
+        merged = merged.reduceByKey(np.add, min(len(columns), blocks.context.defaultParallelism))
     found: dict[int, tuple] = {}
-    for i, f in enumerate(columns):
-        for slot, gain, *rest in best_splits(merged[i].reshape(len(nodes), BINS, 2), len(model.cuts[f]), cfg):
-            if nodes[slot] not in found or gain > found[nodes[slot]][0]:
-                found[nodes[slot]] = (gain, f, *rest)
+    # One row for each column and node; columns in order, so that ties go to the first.
+    for i, slot, gain, *rest in sorted(merged.flatMap(splits).collect(), key=lambda r: r[:2]):
+        if nodes[slot] not in found or gain > found[nodes[slot]][0]:
+            found[nodes[slot]] = (gain, columns[i], *rest)
     return found
 
 

@@ -1,9 +1,11 @@
 """Second-order boosting against a plain version that compares all splits by loops."""
 
 import math
+import pickle
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml import PipelineModel
 
 from scorelake.operators import boosting as bo
@@ -109,3 +111,23 @@ def test_each_tree_sees_a_share_of_the_rows():
 def test_needs_both_classes(spark):
     with pytest.raises(ValueError, match="both classes"):
         bo.fit_boosting(spark.createDataFrame([(1, 1.0, 1), (2, 2.0, 1)], "id long, a double, label int"), ["a"], "label", "id")
+
+
+def test_driver_gets_splits_not_histograms(spark, monkeypatch):
+    """What comes to the driver at each level is a row for each column and node, however many tasks there are."""
+    sent, collect = [], RDD.collect
+
+    def watched(rdd):
+        rows = collect(rdd)
+        sent.append(len(pickle.dumps(rows)))
+        return rows
+
+    df = table(spark).repartition(30)
+    cfg = bo.BoostConfig(trees=2, depth=3, rows=1.0, columns=1.0)
+    cuts = [[-0.5, 0.0, 0.7], [1.0, 2.0, 3.0], [0.25, 0.5, 0.75]]
+    monkeypatch.setattr(bo, "compact", lambda rows, n: rows)
+    monkeypatch.setattr(RDD, "collect", watched)
+    many = bo.fit_boosting(df, COLS, "label", "id", cfg, cuts)
+    monkeypatch.undo()
+    assert sent and max(sent) < 10_000
+    assert many == bo.fit_boosting(df.coalesce(1), COLS, "label", "id", cfg, cuts)
