@@ -7,15 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, functions as F
 
 from scorelake.functions.decision import decision
+from scorelake.operators import logistic
 from scorelake.operators.boosting import BoostConfig, BoostingModel, fit_boosting
-from scorelake.operators.metrics import all_metrics, score_curve
+from scorelake.operators.metrics import all_metrics, roc_auc, score_curve
 from scorelake.operators.prep import ZScaler, with_balanced_weight
 from scorelake.operators.smote import smote
 from scorelake.operators.split import stratified_folds
@@ -86,29 +85,44 @@ def grid_search(
     penalties: Sequence[str] = ("l1", "l2"),
     folds: int = 5,
     seed: int = 42,
-    parallelism: int = 4,
 ) -> GridResult:
-    """Best of C x penalty by mean AUC over stratified folds, refitted on all rows."""
+    """Best of C x penalty by mean AUC over stratified folds, refitted on all rows.
+
+    All fits of the grid share their passes over the rows.
+    """
     folded = stratified_folds(df, row_id, label, folds, seed)
     data = stage(VectorAssembler(inputCols=list(cols), outputCol="_x").transform(folded).select("_x", label, "fold"), "grid")
-    n = data.count()
+    # One row a fold and label.
+    sizes = data.groupBy("fold", label).count().collect()
+    if {r[label] for r in sizes} - {0, 1}:
+        raise ValueError("labels must be 0 or 1")
+    if len({r.fold for r in sizes}) < folds:
+        raise ValueError("a fold is empty")
+    n = sum(r["count"] for r in sizes)
     data = compact(data, n)
-    in_fold = n * (folds - 1) / folds
-    lr = LogisticRegression(featuresCol="_x", labelCol=label, maxIter=1000, standardization=False)
-    mix = {"l1": 1.0, "l2": 0.0}
+    blocks, width = logistic.pack_blocks(data, "_x", label, "fold", len(cols)), len(cols)
     combos = [(c, pen) for c in regularisation for pen in penalties]
-    grid = [{lr.regParam: 1.0 / (c * in_fold), lr.elasticNetParam: mix[pen]} for c, pen in combos]
-    evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(
-        estimator=lr, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds, foldCol="fold",
-        parallelism=parallelism,
-    ).fit(data)
-    best = max(range(len(combos)), key=lambda i: (cv.avgMetrics[i], -i))
+
+    def wanted(c: float, pen: str, rows: float, without: int | None = None) -> logistic.Fit:
+        weight = 1.0 / (c * rows)
+        return logistic.Fit(*{"l1": (weight, 0.0), "l2": (0.0, weight)}[pen], without)
+
+    grid = {i: [wanted(c, pen, n * (folds - 1) / folds, i) for c, pen in combos] for i in range(folds)}
+    fitted = logistic.fit_all(blocks, [fit for fits in grid.values() for fit in fits], width)
+    scored = logistic.margins(data, "_x", label, "fold", {i: [fitted[fit] for fit in fits] for i, fits in grid.items()})
+    found = roc_auc(score_curve(scored, "score", "label", by=["combo", "fold"]), ["combo", "fold"])
+    # One row a combination and fold.
+    auc = {(r.combo, r.fold): r.auc for r in found.collect()}
+    # Of one class only: nothing above 0 without positives, nothing below 1 without negatives.
+    positive = {r.fold for r in sizes if r[label] == 1}
+    auc = {k: float(k[1] in positive) if v is None else v for k, v in auc.items()}
+    means = [sum(auc[(i, f)] for f in range(folds)) / folds for i in range(len(combos))]
+    best = max(range(len(combos)), key=lambda i: (means[i], -i))
     c, pen = combos[best]
-    final = lr.copy({lr.regParam: 1.0 / (c * n), lr.elasticNetParam: mix[pen]}).fit(data)
-    return GridResult(
-        c, pen, float(2 * cv.avgMetrics[best] - 1), [float(x) for x in final.coefficients], float(final.intercept)
-    )
+    final = wanted(c, pen, n)
+    values = logistic.fit_all(blocks, [final], width)[final].tolist()
+    blocks.unpersist()
+    return GridResult(c, pen, float(2 * means[best] - 1), values[:-1], values[-1])
 
 
 def compare_models(scored: Mapping[str, DataFrame], label: str = "label") -> DataFrame:
