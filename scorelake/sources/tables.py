@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from scorelake.functions.scalars import nan_to_null
+from scorelake.sources import hashing
+
+#: Larger files are hashed range by range.
+WHOLE_BYTES = 256 << 20
 
 
 def clean_missing(df: DataFrame) -> DataFrame:
@@ -33,10 +39,22 @@ def applicant_schema(features: Sequence[str], row_id: str = "customer_id") -> T.
     )
 
 
-def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of the bytes of each file under ``path``."""
+def file_hashes(spark: SparkSession, path: str, whole: int = WHOLE_BYTES) -> DataFrame:
+    """SHA-256 of the bytes of each file under ``path``.
+
+    A file of more than ``whole`` bytes is hashed range by range, so no task reads or holds all of it.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256"))
+    # One row a large file; this reads no contents.
+    large = files.filter(F.col("length") > whole).select("path", "length").collect() if hashing.resumable() else []
+    if not large:
+        return files.select("path", F.sha2("content", 256).alias("sha256"))
+    with ThreadPoolExecutor(min(len(large), spark.sparkContext.defaultParallelism)) as pool:
+        found = list(pool.map(inheritable_thread_target(spark)(lambda f: hashing.sha256_by_ranges(spark, f.path, f.length)), large))
+    made = [(f.path, h) for f, h in zip(large, found) if h is not None]
+    changed = [f.path for f, h in zip(large, found) if h is None]
+    rest = files.filter((F.col("length") <= whole) | F.col("path").isin(changed)).select("path", F.sha2("content", 256).alias("sha256"))
+    return rest.unionByName(spark.createDataFrame(made, rest.schema))
 
 
 def content_version(spark: SparkSession, path: str) -> str:
