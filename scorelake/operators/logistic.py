@@ -111,7 +111,7 @@ def _step(point: np.ndarray, slope: np.ndarray, curve: np.ndarray, l1: float) ->
     return z
 
 
-def fit_all(blocks: RDD, fits: Sequence[Fit], width: int, start: Mapping[Fit, np.ndarray] | None = None) -> dict[Fit, np.ndarray]:
+def fit_all(blocks: RDD, fits: Sequence[Fit], width: int) -> dict[Fit, np.ndarray]:
     """Coefficients and, last, the intercept of each fit. With labels of one class only the intercept counts, and is infinite."""
     def counts(parts: Iterator[tuple]) -> Iterator[tuple[int, np.ndarray]]:
         for _, y, own in parts:
@@ -130,7 +130,7 @@ def fit_all(blocks: RDD, fits: Sequence[Fit], width: int, start: Mapping[Fit, np
         if positive in (0, rows):
             done[fit] = np.append(np.zeros(width), math.inf if positive else -math.inf)
         else:
-            trial[fit] = (start or {}).get(fit, np.append(np.zeros(width), math.log(positive / (rows - positive))))
+            trial[fit] = np.append(np.zeros(width), math.log(positive / (rows - positive)))
     best: dict[Fit, tuple] = {}
 
     def cost(fit: Fit, at: np.ndarray) -> float:

@@ -88,7 +88,7 @@ def grid_search(
 ) -> GridResult:
     """Best of C x penalty by mean AUC over stratified folds, refitted on all rows.
 
-    All fits of the grid share their passes over the rows.
+    The fits of all folds share their passes over the rows.
     """
     folded = stratified_folds(df, row_id, label, folds, seed)
     data = stage(VectorAssembler(inputCols=list(cols), outputCol="_x").transform(folded).select("_x", label, "fold"), "grid")
@@ -103,11 +103,11 @@ def grid_search(
     blocks, width = logistic.pack_blocks(data, "_x", label, "fold", len(cols)), len(cols)
     combos = [(c, pen) for c in regularisation for pen in penalties]
 
-    def wanted(c: float, pen: str, rows: float, without: int | None = None) -> logistic.Fit:
-        weight = 1.0 / (c * rows)
+    def wanted(c: float, pen: str, without: int) -> logistic.Fit:
+        weight = 1.0 / (c * n * (folds - 1) / folds)
         return logistic.Fit(*{"l1": (weight, 0.0), "l2": (0.0, weight)}[pen], without)
 
-    grid = {i: [wanted(c, pen, n * (folds - 1) / folds, i) for c, pen in combos] for i in range(folds)}
+    grid = {i: [wanted(c, pen, i) for c, pen in combos] for i in range(folds)}
     fitted = logistic.fit_all(blocks, [fit for fits in grid.values() for fit in fits], width)
     scored = logistic.margins(data, "_x", label, "fold", {i: [fitted[fit] for fit in fits] for i, fits in grid.items()})
     found = roc_auc(score_curve(scored, "score", "label", by=["combo", "fold"]), ["combo", "fold"])
@@ -119,10 +119,13 @@ def grid_search(
     means = [sum(auc[(i, f)] for f in range(folds)) / folds for i in range(len(combos))]
     best = max(range(len(combos)), key=lambda i: (means[i], -i))
     c, pen = combos[best]
-    final = wanted(c, pen, n)
-    values = logistic.fit_all(blocks, [final], width)[final].tolist()
     blocks.unpersist()
-    return GridResult(c, pen, float(2 * means[best] - 1), values[:-1], values[-1])
+    lr = LogisticRegression(
+        featuresCol="_x", labelCol=label, maxIter=1000, standardization=False, regParam=1.0 / (c * n),
+        elasticNetParam={"l1": 1.0, "l2": 0.0}[pen],
+    )
+    final = lr.fit(data)
+    return GridResult(c, pen, float(2 * means[best] - 1), [float(x) for x in final.coefficients], float(final.intercept))
 
 
 def compare_models(scored: Mapping[str, DataFrame], label: str = "label") -> DataFrame:
