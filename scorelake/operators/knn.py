@@ -183,10 +183,11 @@ def _node_stats(donors: DataFrame, tree: CellTree, nodes: Sequence[int], p: int)
     return out
 
 
-def _medians(donors: DataFrame, tree: CellTree, chosen: dict[int, int], p: int) -> dict[int, float]:
-    """About the median of the chosen column of each node."""
-    column = np.full(len(tree.column), -1)
+def _cuts(donors: DataFrame, tree: CellTree, chosen: dict[int, int], highest: dict[int, float], p: int) -> dict[int, tuple]:
+    """About the median of the chosen column of each node, and its largest value below the ``highest``."""
+    column, top = np.full(len(tree.column), -1), np.full(len(tree.column), np.inf)
     column[list(chosen)] = list(chosen.values())
+    top[list(highest)] = list(highest.values())
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,10 +195,13 @@ def _medians(donors: DataFrame, tree: CellTree, chosen: dict[int, int], p: int)
             node = tree.leaves(x)
             mine = np.flatnonzero(column[node] >= 0)
             v = x[mine, column[node[mine]]]
-            yield pa.RecordBatch.from_arrays([pa.array(node[mine]), pa.array(v, mask=np.isnan(v))], ["node", "v"])
+            own = [pa.array(node[mine]), pa.array(v, mask=np.isnan(v)), pa.array(v, mask=~(v < top[node[mine]]))]
+            yield pa.RecordBatch.from_arrays(own, ["node", "v", "lower"])
 
-    values = donors.select("x").mapInArrow(pick, "node long, v double").groupBy("node")
-    return {r.node: r.v for r in values.agg(F.percentile_approx("v", 0.5, 1000).alias("v")).collect()}
+    values = donors.select("x").mapInArrow(pick, "node long, v double, lower double").groupBy("node")
+    cuts = values.agg(F.percentile_approx("v", 0.5, 1000).alias("middle"), F.max("lower").alias("lower"))
+    # One row for each open cell.
+    return {r.node: (r.middle, r.lower) for r in cuts.collect()}
 
 
 def build_index(
@@ -220,12 +224,15 @@ def build_index(
             splits = np.where(s["lo"] < s["hi"], 1 + np.maximum(spread, 0), np.where((s["seen"] > 0) & (s["seen"] < s["n"]), 0.5, 0))
             if s["n"] > most and splits.max() > 0:
                 chosen[node] = int(splits.argmax())
-        cuts = _medians(donors, tree, chosen, p) if chosen else {}
+        highest = {node: stats[node]["hi"][j] for node, j in chosen.items()}
+        cuts = _cuts(donors, tree, chosen, highest, p) if chosen else {}
         nodes = []
         for node, j in sorted(chosen.items()):
             lo, hi, seen = (stats[node][c][j] for c in ("lo", "hi", "seen"))
-            # Both sides have rows: the cut is from the least value up to below the largest.
-            cut = cuts[node] if lo <= cuts[node] < hi else lo / 2 + hi / 2 if lo <= lo / 2 + hi / 2 < hi else lo
+            # Both sides have rows: the cut is from the least value up to below the largest. Where half of the rows have the
+            # largest, they come apart at once.
+            middle, lower = cuts[node]
+            cut = middle if lo <= middle < hi else lower if lower is not None and lo <= lower < hi else lo
             nodes += tree.split(node, j, float(cut), lo < hi, seen < stats[node]["n"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,12 +289,19 @@ def _apart(q: np.ndarray, d: np.ndarray) -> np.ndarray:
 def _ranges(q: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Between what the distances of all rows of ``q`` and ``d`` lie: products of matrices with room for their rounding."""
     p = q.shape[1]
+    room = (p + 10) * 1e-15
     q_has, d_has = (~np.isnan(q)).astype(float), (~np.isnan(d)).astype(float)
+    if q_has.all() and d_has.all():
+        with np.errstate(all="ignore"):
+            squares = (q * q).sum(axis=1)[:, None] + (d * d).sum(axis=1)
+            mixed = 2.0 * (q @ d.T)
+            low, high = squares * (1.0 - room) - mixed, squares * (1.0 + room) - mixed
+        known = np.isfinite(high)
+        return (low, high) if known.all() else (np.where(known, low, -np.inf), np.where(known, high, np.inf))
     q, d = np.where(q_has > 0, q, 0.0), np.where(d_has > 0, d, 0.0)
     with np.errstate(all="ignore"):
         squares = (q * q) @ d_has.T + q_has @ (d * d).T
         mixed, shared = 2.0 * (q @ d.T), q_has @ d_has.T
-        room = (p + 10) * 1e-15
         low, high = (squares * (1.0 - room) - mixed) * (p / shared), (squares * (1.0 + room) - mixed) * (p / shared)
     # Where squares overflow nothing is known.
     known = np.isfinite(high)
@@ -309,11 +323,12 @@ def _nearest_rows(q: np.ndarray, d: np.ndarray, donor: np.ndarray, low: np.ndarr
 
 
 def _search(
-    queries: DataFrame, visits: DataFrame, index: CellIndex, kept: tuple[DataFrame, DataFrame], k: int, any_donor: bool
+    queries: DataFrame, visits: DataFrame, index: CellIndex, kept: tuple[DataFrame, DataFrame], k: int, any_donor: bool, others: bool
 ) -> DataFrame:
     """Local top-k per (row, column) of every visit of a query block to a donor block.
 
     ``queries`` has (rid, q, home, grp, far); a row takes part where its lower bound of the cell is at most ``far``.
+    With ``others`` a donor under the row's own key is none.
     """
     spark = queries.sparkSession
     saved, sizes = kept
@@ -337,7 +352,7 @@ def _search(
                 part, q = part[near], q[near]
                 rid, most = part["rid"].to_numpy(), part["far"].to_numpy()
                 low, high = _ranges(q, d)
-                if any_donor:
+                if others:
                     own = rid[:, None] == donor[None, :]
                     low[own] = high[own] = np.inf
                 # Columns that the same rows lack and the same donors have are answered at once.
@@ -349,7 +364,8 @@ def _search(
                     usable = np.arange(len(d)) if any_donor else np.flatnonzero(has[:, columns[0]])
                     if not len(rows) or not len(usable):
                         continue
-                    box = np.ix_(rows, usable)
+                    whole = len(rows) == len(q) and len(usable) == len(d)
+                    box = (slice(None), slice(None)) if whole else np.ix_(rows, usable)
                     row, who, d2 = _nearest_rows(q[rows], d[usable], donor[usable], low[box], high[box], most[rows], k)
                     who = usable[who]
                     for j in columns:
@@ -392,20 +408,22 @@ def _dealt(queries: DataFrame, index: CellIndex) -> DataFrame:
     return placed.join(F.broadcast(groups), "home").select("rid", "q", "home", grp)
 
 
-def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = False) -> DataFrame:
+def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = False, keyed: bool = True) -> DataFrame:
     """Rows (rid, col, d2, donor, value, rank) of the k nearest donors.
 
     ``queries`` has (rid, q). For each missing column the donors must have that column; with
-    ``any_donor`` every other row is a donor and ``col`` is -1. Without donors there are no rows.
+    ``any_donor`` every other row is a donor and ``col`` is -1. Where ``rid`` is no donor's key (not ``keyed``), every row is.
+    Without donors there are no rows.
     """
     if not len(index.ids):
         return _top(queries.sparkSession.createDataFrame([], HIT_SCHEMA), k)
     dealt = stage(_dealt(queries, index), "queries")
-    kept = _kept(index, queries.sparkSession, k + int(any_donor))
+    others = any_donor and keyed
+    kept = _kept(index, queries.sparkSession, k + int(others))
     batch = max(16, BOUNDS // len(index.ids))
 
     def seen(q: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        return index.first_cells(bounds, _wanted(q, any_donor), k + int(any_donor))
+        return index.first_cells(bounds, _wanted(q, any_donor), k + int(others))
 
     def visits(part: pd.DataFrame, mask: np.ndarray) -> pd.DataFrame:
         row, cell = np.nonzero(mask)
@@ -419,7 +437,7 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
 
     closest = stage(dealt.mapInPandas(first, VISIT_SCHEMA).distinct(), "visits")
     everywhere = dealt.withColumn("far", F.lit(float("inf")))
-    round1 = stage(_top(_search(everywhere, closest, index, kept, k, any_donor), k), "hits")
+    round1 = stage(_top(_search(everywhere, closest, index, kept, k, any_donor, others), k), "hits")
     if len(index.ids) == 1:
         return round1
 
@@ -438,7 +456,7 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
                 yield visits(part, (bounds <= part["far"].to_numpy()[:, None]) & np.isfinite(bounds))
 
     more = bounded.mapInPandas(rest, VISIT_SCHEMA).distinct().join(closest, ["home", "grp", "cell"], "left_anti")
-    return _top(round1.drop("rank").unionByName(_search(bounded, more, index, kept, k, any_donor)), k)
+    return _top(round1.drop("rank").unionByName(_search(bounded, more, index, kept, k, any_donor, others)), k)
 
 
 def _means(found: DataFrame, of: str = "rid") -> DataFrame:

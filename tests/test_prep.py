@@ -7,6 +7,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from scorelake.operators import knn, prep
+from scorelake.operators import smote as smotes
 from scorelake.operators.smote import smote
 from scorelake.session import discard
 
@@ -221,6 +222,71 @@ def test_smote_reaches_parity_between_neighbours(spark):
         assert min(np.abs(along * u[:, None] - step).sum(axis=1)) < 1e-9
 
 
+def test_shared_values_come_apart_at_once(spark, monkeypatch):
+    """Where half of the rows have the largest value, one split takes them off, however close the others come to it."""
+    passes, stats = [], knn._node_stats
+    monkeypatch.setattr(knn, "_node_stats", lambda *a: (passes.append(1), stats(*a))[1])
+    x = np.concatenate([np.full(600, 1.0), 1.0 - 2.0 ** -np.arange(1, 41)])[:, None]
+    index = knn.build_index(frame(spark, x), ["x0"], "id", rows_per_cell=50)
+    assert sorted(index.n) == [40, 600] and len(passes) == 2
+
+
+@pytest.mark.parametrize("hole", [False, True])
+def test_ranges_hold_the_distance(hole):
+    rng = np.random.default_rng(6)
+    q, d = rng.normal(size=(40, 5)) * 1e5, rng.normal(size=(30, 5)) * 1e5
+    d[:10] = q[:10]
+    q[39], d[29] = 1e200, 2.0
+    if hole:
+        q[3, 2] = d[4, 1] = np.nan
+    low, high = knn._ranges(q, d)
+    with np.errstate(over="ignore"):
+        exact = np.array([knn._apart(np.repeat(r[None], len(d), axis=0), d) for r in q])
+    assert (low <= exact).all() and (exact <= high).all()
+
+
+def brute_others(rids, x, k):
+    """Keys of the k nearest rows under another key, of all rows under a key together."""
+    out = {}
+    for r in set(rids.tolist()):
+        mine, rest = np.flatnonzero(rids == r), np.flatnonzero(rids != r)
+        hits = sorted((float(((x[i] - x[j]) ** 2).sum()), int(rids[j])) for i in mine for j in rest)
+        out[r] = [donor for _, donor in hits[:k]]
+    return out
+
+
+@pytest.mark.parametrize("keys", ["single", "repeated"])
+def test_smote_equal_rows_ask_once(spark, monkeypatch, keys):
+    """Equal rows are searched once, leave out themselves, and are dealt to several tasks."""
+    monkeypatch.setattr(smotes, "HOT_ROWS", 7)
+    asked, nearest = [], smotes.nearest
+    monkeypatch.setattr(smotes, "nearest", lambda q, *a, **b: (asked.append(q.count()), nearest(q, *a, **b))[1])
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.integers(0, 6, size=(70, 3)), np.tile([2, 3, 1], (90, 1)), rng.integers(0, 40, size=(60, 3))]).astype(float)
+    rids = rng.permutation(len(x)) * 3
+    if keys == "repeated":
+        rids[[5, 80, 170]] = rids[[100, 81, 171]]
+    df = spark.createDataFrame(pd.DataFrame({"rid": rids, "x0": x[:, 0], "x1": x[:, 1], "x2": x[:, 2]}))
+    cols = ["x0", "x1", "x2"]
+    index = knn.build_index(df, cols, "rid", rows_per_cell=30)
+    assert len(index.ids) > 1
+    got = smotes.near_rows(df, cols, index, 4).collect()
+    assert {r.rid: [e.donor for e in r.near] for r in got} == brute_others(rids, x, 4) and len(got) == len(set(rids.tolist()))
+    single = np.array([(rids == r).sum() == 1 for r in rids])
+    assert asked == [len(np.unique(x[single], axis=0))] + [6] * (keys == "repeated")
+
+
+def test_smote_hot_rows(spark, monkeypatch):
+    """Copies of very many equal rows, which have the same few near rows, are the same however they are dealt."""
+    x = np.vstack([np.tile([1.0, 2.0], (60, 1)), np.random.default_rng(4).normal(size=(200, 2))])
+    df = frame(spark, x, label=(np.arange(260) < 80).astype(int))
+    rows = []
+    for hot in (50_000, 5):
+        monkeypatch.setattr(smotes, "HOT_ROWS", hot)
+        rows.append(sorted(map(tuple, smote(df, ["x0", "x1"], "id").collect())))
+    assert rows[0] == rows[1] and len(rows[0]) == 360
+
+
 def test_elimination_keeps_what_matters(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 6))
