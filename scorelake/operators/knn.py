@@ -26,6 +26,8 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from scorelake.operators.leaves import SLACK, CellTree, apart, lay_out, matrix
+from scorelake.operators.patterns import LARGEST, LEAST_SAMPLED, SAMPLE, answers, mean_of, of_units, plan, sampled
 from scorelake.session import ship_by_value, stage, stage_path
 
 ship_by_value(__name__)
@@ -36,7 +38,6 @@ BLOCK_ROWS = 4_096
 QUERY_ROWS = 4_096
 #: Bounds held at a time: rows times cells.
 BOUNDS = 1 << 21
-SLACK = 1.0 - 1e-9
 #: Equal rows that one task joins with their answer.
 HOT_ROWS = 50_000
 ANY = -1
@@ -46,42 +47,6 @@ HIT_SCHEMA = "rid bigint, col int, d2 double, donor bigint, value double"
 VISIT_SCHEMA = "home int, grp int, cell int"
 
 
-class CellTree:
-    """Splits by node: column (-1 at a leaf), cut, and the nodes of smaller, larger and missing values."""
-
-    def __init__(self, column=(-1,), cut=(0.0,), below=(0,), above=(0,), gone=(0,)):
-        self.column, self.cut = list(column), list(cut)
-        self.below, self.above, self.gone = list(below), list(above), list(gone)
-
-    def split(self, node: int, column: int, cut: float, above: bool, gone: bool) -> list[int]:
-        """New leaves below ``node``. Without rows above or without missing ones, such values go with the smaller ones."""
-        self.column[node], self.cut[node] = column, cut
-        self.below[node] = self.above[node] = self.gone[node] = self._leaf()
-        if above:
-            self.above[node] = self._leaf()
-        if gone:
-            self.gone[node] = self._leaf()
-        return sorted({self.below[node], self.above[node], self.gone[node]})
-
-    def _leaf(self) -> int:
-        for values, start in ((self.column, -1), (self.cut, 0.0), (self.below, 0), (self.above, 0), (self.gone, 0)):
-            values.append(start)
-        return len(self.column) - 1
-
-    def leaves(self, x: np.ndarray) -> np.ndarray:
-        """Leaf of each row."""
-        column, cut, below, above, gone = (np.array(v) for v in (self.column, self.cut, self.below, self.above, self.gone))
-        node, rows = np.zeros(len(x), dtype=np.int64), np.arange(len(x))
-        while len(x) and (column[node] >= 0).any():
-            v = x[rows, np.maximum(column[node], 0)]
-            step = np.where(np.isnan(v), gone[node], np.where(v <= cut[node], below[node], above[node]))
-            node = np.where(column[node] >= 0, step, node)
-        return node
-
-    def to_state(self) -> list:
-        return [self.column, self.cut, self.below, self.above, self.gone]
-
-
 class CellIndex:
     """Donor cells: the tree, and per cell the size, column counts and bounding box."""
 
@@ -143,17 +108,13 @@ def _vector(cols: Sequence[str]) -> Column:
     return F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols])
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), width)
-
-
 def _node_stats(donors: DataFrame, tree: CellTree, nodes: Sequence[int], p: int) -> dict[int, dict[str, np.ndarray]]:
     """Rows, and per column the values there are, their sums, squares and range, of each of ``nodes``."""
     names = ["seen", "total", "square", "lo", "hi"]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(0), p)
+            x = matrix(batch.column(0), p)
             node = tree.leaves(x)
             mine = np.flatnonzero(np.isin(node, nodes))
             if not len(mine):
@@ -191,7 +152,7 @@ def _cuts(donors: DataFrame, tree: CellTree, chosen: dict[int, int], highest: di
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _matrix(batch.column(0), p)
+            x = matrix(batch.column(0), p)
             node = tree.leaves(x)
             mine = np.flatnonzero(column[node] >= 0)
             v = x[mine, column[node[mine]]]
@@ -215,7 +176,13 @@ def build_index(
     most = rows_per_cell
     while nodes:
         found = _node_stats(donors, tree, nodes, p)
-        most = most or max(LEAST_CELL, int(CELL_ROOTS * math.sqrt(found[0]["n"] if 0 in found else 0)))
+        rows = found[0]["n"] if 0 in found else 0
+        most = most or max(LEAST_CELL, int(CELL_ROOTS * math.sqrt(rows)))
+        if rows > SAMPLE and most >= LEAST_SAMPLED * rows / SAMPLE:
+            # Most splits are laid out over a sample; what they leave too large is split on below.
+            tree = lay_out(sampled(donors, rows, p), range(p), 0.8 * most * SAMPLE / rows)
+            nodes = [i for i, c in enumerate(tree.column) if c < 0]
+            found = _node_stats(donors, tree, nodes, p)
         chosen: dict[int, int] = {}
         for node, s in found.items():
             stats[node] = s
@@ -237,7 +204,7 @@ def build_index(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaf = pa.array(tree.leaves(_matrix(batch.column(1), p)).astype(np.int32))
+            leaf = pa.array(tree.leaves(matrix(batch.column(1), p)).astype(np.int32))
             yield pa.RecordBatch.from_arrays([*batch.columns, leaf], [*batch.schema.names, "cell"])
 
     path = path or stage_path(df.sparkSession, "donors")
@@ -276,14 +243,7 @@ def _kept(index: CellIndex, spark: SparkSession, k: int) -> tuple[DataFrame, Dat
 
 def _apart(q: np.ndarray, d: np.ndarray) -> np.ndarray:
     """Distance of each row of ``q`` to the row of ``d`` beside it; inf if no column is shared."""
-    total, shared = np.zeros(len(q)), np.zeros(len(q))
-    for j in range(q.shape[1]):
-        diff = q[:, j] - d[:, j]
-        both = ~np.isnan(diff)
-        total += np.where(both, diff * diff, 0.0)
-        shared += both
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(shared > 0, total * q.shape[1] / shared, np.inf)
+    return apart(q, d, q.shape[1])
 
 
 def _ranges(q: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -398,7 +358,7 @@ def _dealt(queries: DataFrame, index: CellIndex) -> DataFrame:
 
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leaf = index.tree.leaves(_matrix(batch.column(1), p)).astype(np.int32)
+            leaf = index.tree.leaves(matrix(batch.column(1), p)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(leaf)], ["rid", "q", "home"])
 
     placed = stage(queries.select("rid", "q").mapInArrow(homes, "rid long, q array<double>, home int"), "queries")
@@ -409,12 +369,37 @@ def _dealt(queries: DataFrame, index: CellIndex) -> DataFrame:
 
 
 def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = False, keyed: bool = True) -> DataFrame:
-    """Rows (rid, col, d2, donor, value, rank) of the k nearest donors.
+    """The k nearest donors of each row of ``queries`` (rid, q).
+
+    For missing columns, whose donors must have them: rows (rid, cols, mean, hits) with the columns that share their donors, the
+    means of their values, and (d2, donor, v) of each donor where a row is ``open``, a third column of ``queries``. Rows whose
+    gaps many have are searched pattern by pattern, others in the cells of the index.
 
-    ``queries`` has (rid, q). For each missing column the donors must have that column; with
-    ``any_donor`` every other row is a donor and ``col`` is -1. Where ``rid`` is no donor's key (not ``keyed``), every row is.
-    Without donors there are no rows.
+    With ``any_donor`` every other row is a donor, in rows (rid, col, d2, donor, value, rank), where ``col`` is -1. Where
+    ``rid`` is no donor's key (not ``keyed``), every row is. Without donors there are no rows.
     """
+    if any_donor:
+        return _in_cells(queries, index, k, True, keyed)
+    spark, p = queries.sparkSession, len(index.cols)
+    none = spark.createDataFrame([], "rid bigint, cols array<int>, mean array<double>, hits array<struct<d2: double, donor: bigint, v: array<double>>>")
+    if not len(index.ids):
+        return none
+    queries = queries if "open" in queries.columns else queries.withColumn("open", F.lit(False))
+    donors = spark.read.parquet(index.path)
+    # Squares of the largest values overflow, which only the cells of the index allow for.
+    wide = max(np.abs(index.lo).max(), np.abs(index.hi).max()) >= LARGEST
+    units, left = ([], True) if wide else plan(queries, donors, p, int(index.n.sum()))
+    found = answers(queries, donors, units, p, k) if units else none
+    if left:
+        rest = queries.filter(~of_units(units, p)(F.col("q"))) if units else queries
+        one = F.struct("d2", "donor", F.array("value").alias("v"))
+        hits = _in_cells(rest, index, k, False, False).groupBy("rid", "col").agg(F.array_sort(F.collect_list(one)).alias("hits"))
+        found = found.unionByName(hits.select("rid", F.array("col").alias("cols"), mean_of("hits"), "hits"))
+    return found
+
+
+def _in_cells(queries: DataFrame, index: CellIndex, k: int, any_donor: bool, keyed: bool) -> DataFrame:
+    """Rows (rid, col, d2, donor, value, rank) of the k nearest donors, by the cells of the index."""
     if not len(index.ids):
         return _top(queries.sparkSession.createDataFrame([], HIT_SCHEMA), k)
     dealt = stage(_dealt(queries, index), "queries")
@@ -459,10 +444,10 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
     return _top(round1.drop("rank").unionByName(_search(bounded, more, index, kept, k, any_donor, others)), k)
 
 
-def _means(found: DataFrame, of: str = "rid") -> DataFrame:
-    """Map of column and mean for each ``of`` of the hits."""
-    mean = found.groupBy(of, "col").agg(F.avg("value").alias("v"))
-    return mean.groupBy(of).agg(F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("_fill"))
+def _means(found: DataFrame) -> DataFrame:
+    """Map of column and mean for each row of the hits."""
+    mean = found.groupBy("rid", "col").agg(F.avg("value").alias("v"))
+    return mean.groupBy("rid").agg(F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("_fill"))
 
 
 def impute(df: DataFrame, index: CellIndex, row_id: str, k: int, means: dict[str, float | None]) -> DataFrame:
@@ -474,21 +459,27 @@ def impute(df: DataFrame, index: CellIndex, row_id: str, k: int, means: dict[str
     cols = index.cols
     gaps = df.filter(F.exists(F.array(*[F.col(c).isNull() for c in cols]), lambda b: b))
     asked = stage(gaps.select(F.col(row_id).cast("bigint").alias("rid"), _vector(cols).alias("q")).filter("rid is not null"), "asked")
-    unlike = asked.groupBy("q").agg(F.count("*").alias("n")).withColumn("qid", F.monotonically_increasing_id())
-    unlike = stage(unlike, "unlike")
-    found = stage(nearest(unlike.select(F.col("qid").alias("rid"), "q"), index, k).withColumnRenamed("rid", "qid"), "found")
+    # Rows under one key share the nearest donors of all of them.
+    again = stage(asked.groupBy("rid").count().filter("count > 1").select("rid", F.lit(True).alias("open")), "again")
+    repeated = not again.isEmpty()
+    each = asked.join(again, "rid", "left") if repeated else asked.withColumn("open", F.lit(False))
+    unlike = each.groupBy("q").agg(F.count("*").alias("n"), F.coalesce(F.bool_or("open"), F.lit(False)).alias("open"))
+    unlike = stage(unlike.withColumn("qid", F.monotonically_increasing_id()), "unlike")
+    found = nearest(unlike.select(F.col("qid").alias("rid"), "q", "open"), index, k).withColumnRenamed("rid", "qid")
+    found = stage(found, "found")
     # A row that very many share is dealt to several tasks; there are few of them, and they are in the table often.
     hot = F.broadcast(unlike.filter(F.col("n") > HOT_ROWS).select("q", F.ceil(F.col("n") / HOT_ROWS).alias("salts")))
     salt = F.coalesce(F.expr("pmod(xxhash64(rid), salts)"), F.lit(0)).cast("int").alias("salt")
     own = asked.join(hot, "q", "left").select("rid", "q", salt)
     spread = F.explode(F.expr(f"sequence(0, cast(ceil(n / {HOT_ROWS}) as int) - 1)")).alias("salt")
-    answers = _means(found, "qid").join(unlike, "qid").select("q", "_fill", spread)
-    filled = own.join(answers, ["q", "salt"]).select("rid", "_fill")
-    # Rows under one key share the nearest donors of all of them.
-    again = stage(asked.groupBy("rid").count().filter("count > 1").select("rid"), "again")
-    if not again.isEmpty():
-        hits = asked.join(again, "rid").join(unlike.select("q", "qid"), "q").join(found.drop("rank"), "qid")
-        filled = filled.join(again, "rid", "left_anti").unionByName(_means(_top(hits.select("rid", "col", "d2", "donor", "value"), k)))
+    fill = F.map_from_entries(F.flatten(F.collect_list(F.arrays_zip("cols", "mean")))).alias("_fill")
+    means_of = found.groupBy("qid").agg(fill)
+    filled = own.join(means_of.join(unlike, "qid").select("q", "_fill", spread), ["q", "salt"]).select("rid", "_fill")
+    if repeated:
+        hits = asked.join(again, "rid").join(unlike.select("q", "qid"), "q").join(found, "qid")
+        hits = hits.select("rid", "cols", F.explode("hits").alias("hit")).select("rid", "hit.*", F.posexplode(F.arrays_zip("cols", "hit.v")).alias("_", "e"))
+        hits = hits.select("rid", F.col("e.cols").alias("col"), "d2", "donor", F.col("e.v").alias("value"))
+        filled = filled.join(again, "rid", "left_anti").unionByName(_means(_top(hits, k)))
     filled = stage(filled, "filled")
     wide = df.join(filled, F.col(row_id) == F.col("rid"), "left")
     return wide.select(
