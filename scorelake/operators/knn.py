@@ -391,7 +391,7 @@ def nearest(queries: DataFrame, index: CellIndex, k: int, any_donor: bool = Fals
     units, left = ([], True) if wide else plan(queries, donors, p, int(index.n.sum()))
     found = answers(queries, donors, units, p, k) if units else none
     if left:
-        rest = queries.filter(~of_units(units, p)(F.col("q"))) if units else queries
+        rest = queries.filter(~of_units(units, p, "q")) if units else queries
         one = F.struct("d2", "donor", F.array("value").alias("v"))
         hits = _in_cells(rest, index, k, False, False).groupBy("rid", "col").agg(F.array_sort(F.collect_list(one)).alias("hits"))
         found = found.unionByName(hits.select("rid", F.array("col").alias("cols"), mean_of("hits"), "hits"))
@@ -453,36 +453,36 @@ def _means(found: DataFrame) -> DataFrame:
 def impute(df: DataFrame, index: CellIndex, row_id: str, k: int, means: dict[str, float | None]) -> DataFrame:
     """Fill each missing value with the mean over its k nearest donors, else the column mean.
 
-    Equal rows have the same nearest donors, so each different row asks once. What was found is staged: a later pass over
-    the result does not search again.
+    Equal rows have the same nearest donors, so each different row asks once. The result is staged: a later pass over it
+    neither searches nor joins again.
     """
     cols = index.cols
     gaps = df.filter(F.exists(F.array(*[F.col(c).isNull() for c in cols]), lambda b: b))
-    asked = stage(gaps.select(F.col(row_id).cast("bigint").alias("rid"), _vector(cols).alias("q")).filter("rid is not null"), "asked")
+    asked = stage(gaps.select(F.col(row_id).cast("bigint").alias("rid"), _vector(cols).alias("q")).filter("rid is not null").withColumn("h", F.xxhash64("q")), "asked")
     # Rows under one key share the nearest donors of all of them.
     again = stage(asked.groupBy("rid").count().filter("count > 1").select("rid", F.lit(True).alias("open")), "again")
     repeated = not again.isEmpty()
     each = asked.join(again, "rid", "left") if repeated else asked.withColumn("open", F.lit(False))
-    unlike = each.groupBy("q").agg(F.count("*").alias("n"), F.coalesce(F.bool_or("open"), F.lit(False)).alias("open"))
+    unlike = each.groupBy("h", "q").agg(F.count("*").alias("n"), F.coalesce(F.bool_or("open"), F.lit(False)).alias("open"))
     unlike = stage(unlike.withColumn("qid", F.monotonically_increasing_id()), "unlike")
     found = nearest(unlike.select(F.col("qid").alias("rid"), "q", "open"), index, k).withColumnRenamed("rid", "qid")
     found = stage(found, "found")
     # A row that very many share is dealt to several tasks; there are few of them, and they are in the table often.
-    hot = F.broadcast(unlike.filter(F.col("n") > HOT_ROWS).select("q", F.ceil(F.col("n") / HOT_ROWS).alias("salts")))
+    hot = F.broadcast(unlike.filter(F.col("n") > HOT_ROWS).select("h", "q", F.ceil(F.col("n") / HOT_ROWS).alias("salts")))
     salt = F.coalesce(F.expr("pmod(xxhash64(rid), salts)"), F.lit(0)).cast("int").alias("salt")
-    own = asked.join(hot, "q", "left").select("rid", "q", salt)
+    # Rows meet by a hash first, which sorts faster than vectors.
+    own = asked.join(hot, ["h", "q"], "left").select("rid", "h", "q", salt)
     spread = F.explode(F.expr(f"sequence(0, cast(ceil(n / {HOT_ROWS}) as int) - 1)")).alias("salt")
     fill = F.map_from_entries(F.flatten(F.collect_list(F.arrays_zip("cols", "mean")))).alias("_fill")
     means_of = found.groupBy("qid").agg(fill)
-    filled = own.join(means_of.join(unlike, "qid").select("q", "_fill", spread), ["q", "salt"]).select("rid", "_fill")
+    filled = own.join(means_of.join(unlike, "qid").select("h", "q", "_fill", spread), ["h", "q", "salt"]).select("rid", "_fill")
     if repeated:
-        hits = asked.join(again, "rid").join(unlike.select("q", "qid"), "q").join(found, "qid")
+        hits = asked.join(again, "rid").join(unlike.select("h", "q", "qid"), ["h", "q"]).join(found, "qid")
         hits = hits.select("rid", "cols", F.explode("hits").alias("hit")).select("rid", "hit.*", F.posexplode(F.arrays_zip("cols", "hit.v")).alias("_", "e"))
         hits = hits.select("rid", F.col("e.cols").alias("col"), "d2", "donor", F.col("e.v").alias("value"))
         filled = filled.join(again, "rid", "left_anti").unionByName(_means(_top(hits, k)))
-    filled = stage(filled, "filled")
     wide = df.join(filled, F.col(row_id) == F.col("rid"), "left")
-    return wide.select(
+    full = wide.select(
         *[
             F.coalesce(F.col(c).cast("double"), F.col("_fill")[cols.index(c)], F.lit(means.get(c))).alias(c)
             if c in cols
@@ -490,6 +490,7 @@ def impute(df: DataFrame, index: CellIndex, row_id: str, k: int, means: dict[str
             for c in df.columns
         ]
     )
+    return stage(full, "filled")
 
 
 class KNNImputer(Estimator):

@@ -10,7 +10,7 @@ what was found. A row whose other cells are all too far is done in round one, an
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,8 +26,13 @@ ship_by_value(__name__)
 MOST_UNITS, LEAST_SHARE = 64, 0.01
 #: Rows of the sample, and those of it that a cell has at least.
 SAMPLE, LEAST_SAMPLED = 65_536, 64
-UNIT_ROWS = 65_536
-ASKING_ROWS = 16_384
+#: Donors of a cell: this, or what holds so many values, whichever is less. A task holds twice as many at most.
+UNIT_ROWS, UNIT_VALUES = 131_072, 1 << 21
+ASKING_ROWS = 32_768
+#: Rows of a pattern that are so few that each batch of donors sends only what is nearest to them.
+FEW = 64
+#: Rows that make a task worth while.
+TASK_ROWS = 20_000
 #: Squares of larger values may overflow.
 LARGEST = 1e100
 
@@ -41,21 +46,23 @@ HIT_TYPE = pa.list_(pa.struct([("d2", pa.float64()), ("donor", pa.int64()), ("v"
 
 @dataclass
 class Unit:
-    """A pattern of gaps (packed), the columns its rows have and those wanted; tree, sizes and boxes of its cells."""
+    """A pattern of gaps (packed), the columns its rows have and those wanted, donors of a cell; tree, sizes and boxes of its cells; its rows if few."""
 
     pattern: bytes
     has: np.ndarray
     wants: np.ndarray
+    most: int
     tree: CellTree = field(default_factory=CellTree)
     cells: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=int))
     n: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=int))
     lo: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     hi: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     scale: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    few: np.ndarray | None = None
 
     def blocks(self) -> dict[int, int]:
         """Blocks of each cell that has more donors than a task should hold."""
-        return {int(c): max(1, -(-int(n) // (2 * UNIT_ROWS))) for c, n in zip(self.cells, self.n, strict=True)}
+        return {int(c): max(1, -(-int(n) // (2 * self.most))) for c, n in zip(self.cells, self.n, strict=True)}
 
     def lower_bounds(self, q: np.ndarray) -> np.ndarray:
         total = np.zeros((len(q), len(self.cells)))
@@ -131,6 +138,9 @@ def _placed(donors: DataFrame, units: list[Unit], p: int, k: int, groups: dict[t
                 mine = rows[some[:, unit.wants[0]] & some[:, unit.has].any(axis=1)]
                 # What many rows share is k rows, as far as this unit sees them.
                 mine = mine[least_of_equal(x[np.ix_(mine, unit.has)], ids[mine], k)]
+                if unit.few is not None:
+                    near = search(unit.few, x[np.ix_(mine, unit.has)], ids[mine], p, k, np.full(len(unit.few), np.inf))[1]
+                    mine = mine[np.unique(near)]
                 cell = unit.tree.leaves(x[mine])
                 known, at = np.unique(cell, return_inverse=True)
                 times = np.array([groups.get((u, int(c)), 0) for c in known], dtype=int)[at]
@@ -268,7 +278,7 @@ def _asked(asking: DataFrame, placed: DataFrame, units: list[Unit], p: int, k: i
     dealt = asking.mapInArrow(deal, "unit int, cell int, block int, grp int, rid bigint, q array<double>, far double, open boolean")
     tasks = sum(n * blocks[u].get(c, 0) for (u, c), n in groups.items())
     wide = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = max(1, min(tasks, wide))
+    parts = max(1, min(tasks, wide, sum(int(u.n.sum()) for u in units) // TASK_ROWS))
     left, right = dealt.repartition(parts, *KEY), placed.repartition(parts, *KEY)
     return left.groupBy(*KEY).cogroup(right.groupBy(*KEY)).applyInArrow(find, FOUND)
 
@@ -280,12 +290,12 @@ def _round(asking: DataFrame, donors: DataFrame, units: list[Unit], p: int, k: i
 
 def plan(queries: DataFrame, donors: DataFrame, p: int, donor_rows: int) -> tuple[list[Unit], bool]:
     """Units with their cells, and whether rows of other patterns are left."""
-    counted = _patterns(queries, p).filter(F.col("top") < LARGEST)
-    often = counted.orderBy(F.desc("n"), "pattern").limit(MOST_UNITS + 1).collect()
-    total = queries.count()
+    often = _patterns(queries, p).orderBy(F.desc("n"), "pattern").limit(MOST_UNITS + 1).collect()
+    total = sum(r.n for r in often) if len(often) <= MOST_UNITS else queries.count()
+    often = [r for r in often if r.top < LARGEST]
     pairs = _together(donors, p)
     units: list[Unit] = []
-    covered = 0
+    covered, most = 0, max(1, min(UNIT_ROWS, UNIT_VALUES // p))
     for r in often:
         gaps = np.unpackbits(np.frombuffer(bytes(r.pattern), dtype=np.uint8))[:p].astype(bool)
         has, left = np.flatnonzero(~gaps), [j for j in np.flatnonzero(gaps) if pairs[j, j]]
@@ -298,7 +308,7 @@ def plan(queries: DataFrame, donors: DataFrame, p: int, donor_rows: int) -> tupl
         if len(units) + len(sets) > MOST_UNITS:
             break
         # Rows that have nothing have no neighbours.
-        units += [Unit(bytes(r.pattern), has, np.array(s)) for s in sets if len(has)]
+        units += [Unit(bytes(r.pattern), has, np.array(s), most) for s in sets if len(has)]
         covered += r.n
     if covered < total:
         least = LEAST_SHARE * total
@@ -309,9 +319,17 @@ def plan(queries: DataFrame, donors: DataFrame, p: int, donor_rows: int) -> tupl
         x = sampled(donors, donor_rows, p)
         for unit in units:
             own = x[~np.isnan(x[:, unit.wants[0]])]
-            unit.tree = lay_out(own, unit.has, max(LEAST_SAMPLED, UNIT_ROWS * len(x) / max(donor_rows, 1)))
+            unit.tree = lay_out(own, unit.has, max(LEAST_SAMPLED, most * len(x) / max(donor_rows, 1)))
         _cells(donors, units, p)
         units = [u for u in units if len(u.cells)]
+        rare = {bytes(r.pattern) for r in often if r.n <= FEW} & {u.pattern for u in units}
+        if rare:
+            few = queries.filter(_shape("q").isin([_text(b, p) for b in sorted(rare)])).select("q").toArrow()
+            q = matrix(few.column(0).combine_chunks(), p)
+            kind = [k.tobytes() for k in np.packbits(np.isnan(q), axis=1)]
+            for unit in units:
+                if unit.pattern in rare:
+                    unit.few = q[[k == unit.pattern for k in kind]][:, unit.has]
     return units, covered < total
 
 
@@ -346,6 +364,8 @@ def answers(queries: DataFrame, donors: DataFrame, units: list[Unit], p: int, k:
     wanted = F.lit(json.dumps([u.wants.tolist() for u in units]))
     cols = F.element_at(F.from_json(wanted, "array<array<int>>"), F.col("unit") + 1).alias("cols")
     done = first.filter(F.size("mean") > 0).select("rid", cols, "mean", F.when(F.col("open"), F.col("hits")).alias("hits"))
+    if all(len(u.cells) == 1 and u.blocks()[int(u.cells[0])] == 1 for u in units):
+        return done
     visits = first.filter(F.size("cells") > 0).select("unit", F.explode("cells").alias("cell"), "rid", "q", "far", F.lit(True).alias("open"))
     visits = stage(visits, "visits")
     second = _round(visits, donors, units, p, k, True)
@@ -362,8 +382,15 @@ def mean_of(hits: str) -> Column:
     ).alias("mean")
 
 
-def of_units(units: list[Unit], p: int) -> Callable[[Column], Column]:
+def _text(pattern: bytes, p: int) -> str:
+    return "".join(map(str, np.unpackbits(np.frombuffer(pattern, dtype=np.uint8))[:p]))
+
+
+def _shape(q: str) -> Column:
+    """Gaps of a vector as text."""
+    return F.array_join(F.transform(q, lambda v: F.when(F.isnan(v), "1").otherwise("0")), "")
+
+
+def of_units(units: list[Unit], p: int, q: str) -> Column:
     """Whether a vector has a pattern that ``units`` search."""
-    known = [np.unpackbits(np.frombuffer(b, dtype=np.uint8))[:p] for b in sorted({u.pattern for u in units})]
-    texts = ["".join(map(str, bits)) for bits in known]
-    return lambda q: F.array_join(F.transform(q, lambda v: F.when(F.isnan(v), "1").otherwise("0")), "").isin(texts)
+    return _shape(q).isin([_text(b, p) for b in sorted({u.pattern for u in units})])
